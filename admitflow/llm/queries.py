@@ -5,16 +5,135 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import ngram_jaccard_join
 
-    return ngram_jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
+
+
+def op2_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk_search import top_k_search
+
+    return top_k_search(_table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
+def url_rules() -> list:
+    from .url_filter import Rule
+
+    return [
+        Rule("block", "com", "/en/"),
+        Rule("allow", "example.com", "/en/7"),
+        Rule("allow", "net", "/de/"),
+        Rule("block", "example.net", "/de/8"),
+        Rule("block", "org", "/es/"),
+    ]
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import filter_urls
+
+    return filter_urls(_table(spark, sf_dir, "pages"), url_rules())
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_quality, train_quality_model
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_quality(docs, train_quality_model(docs)).drop("text")
+
+
+def op5_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack_sequences
+
+    return pack_sequences(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import hilbert_shards
+
+    return hilbert_shards(_table(spark, sf_dir, "documents"))
+
+
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import find_contamination
+
+    return find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def held_out():
+    """Documents that language models don't learn from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify_language, train_language_models
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = train_language_models(docs.where(~F.coalesce(held_out(), F.lit(False))))
+    judged = identify_language(docs.select("doc_id", "text"), model)
+    return judged.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
+def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive_round_trip
+
+    return archive_round_trip(_table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard_join,
+        op2_exact_topk_search,
+        op3_url_filters,
+        op4_quality_classifier,
+        op5_cost_balanced_packing,
+        op6_hilbert_sharding,
+        op7_license_scans,
+        op8_benchmark_decontamination,
+        op9_language_id,
+        op10_warc_revisits,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_exact_topk_search": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+          SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+          FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+        FROM s QUALIFY rank <= 5""",
+    "op3_url_filters": """
+        WITH u AS (
+          SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), h AS (
+          SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(substr(rest, length(regexp_extract(rest, '^([^/?#]*)', 1)) + 1), '^([^?#]*)', 1) AS path FROM u
+        ), r(verdict, rule_host, rule_path) AS (
+          VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')
+        ), m AS (
+          SELECT page_id, host, path, r.rule_host || r.rule_path AS rule, r.verdict,
+            row_number() OVER (PARTITION BY page_id ORDER BY length(r.rule_host || r.rule_path) DESC) AS n
+          FROM h LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        )
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE n = 1""",
+}
