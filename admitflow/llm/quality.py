@@ -1,7 +1,7 @@
 """Quality classifier from weak labels.
 
 Overlapping heuristic labellers vote on every document; only the counts of vote patterns, of which there are a fixed
-number, reach the driver. Expectation-maximisation estimates each labeller's accuracy from them, the posterior of a
+number, reach the driver. Expectation-maximisation estimates each labeller's accuracies from them, the posterior of a
 document's pattern is its soft label, and a bounded sample of so labelled documents trains a linear scorer on hashed
 features, which then judges every whole text.
 """
@@ -87,30 +87,32 @@ def _pattern(v: np.ndarray) -> np.ndarray:
 
 @dataclass
 class QualityModel:
-    accuracies: dict[str, float]
+    caught: dict[str, float]  # by labeller, chance of a bad vote on a bad document on which it votes
+    alarms: dict[str, float]  # the same on a good document
     prior: float
     posterior: np.ndarray  # of good, by vote pattern
     weights: np.ndarray
     bias: float
 
 
-def estimate(counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, float, np.ndarray]:
-    """Accuracies of the labellers when they vote, share of good documents, and posterior of good by pattern.
+def estimate(counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
+    """Chances of a bad vote on bad and on good documents, share of good ones, and posterior of good by pattern.
 
-    Expectation-maximisation over the pattern counts. Labellers start as better than chance and stay so.
+    Expectation-maximisation over the pattern counts. Each labeller has an accuracy for either class, as a labeller
+    that knows one kind of junk calls the other kinds good. Votes not cast say nothing. A few counts of the starting
+    values are added, and the ranges of the two chances don't overlap, so that the classes can't change places.
     """
     k = len(LABELLERS)
     vote = np.arange(3**k)[:, None] // 3 ** np.arange(k) % 3 - 1
-    accuracy, prior = np.full(k, 0.85), 0.9
+    caught, alarms, prior = np.full(k, 0.4), np.full(k, 0.01), 0.9
+    logs = lambda p: np.where(vote == -1, np.log(p), np.where(vote == 1, np.log(1 - p), 0)).sum(axis=1)
     for _ in range(rounds):
-        good = np.where(vote == 1, np.log(accuracy), np.where(vote == -1, np.log(1 - accuracy), 0)).sum(axis=1)
-        bad = np.where(vote == -1, np.log(accuracy), np.where(vote == 1, np.log(1 - accuracy), 0)).sum(axis=1)
-        posterior = 1 / (1 + np.exp(np.clip(bad + np.log(1 - prior) - good - np.log(prior), -50, 50)))
-        right = (counts[:, None] * np.where(vote == 1, posterior[:, None], np.where(vote == -1, 1 - posterior[:, None], 0))).sum(axis=0)
-        voted = (counts[:, None] * (vote != 0)).sum(axis=0)
-        accuracy = np.clip((right + 8.5) / (voted + 10), 0.55, 0.995)
-        prior = float(np.clip(((counts * posterior).sum() + 9) / (counts.sum() + 10), 0.05, 0.99))
-    return accuracy, prior, posterior
+        posterior = 1 / (1 + np.exp(np.clip(logs(caught) + np.log(1 - prior) - logs(alarms) - np.log(prior), -50, 50)))
+        bad, good = counts * (1 - posterior), counts * posterior
+        caught = np.clip((bad @ (vote == -1) + 2) / (bad @ (vote != 0) + 5), 0.15, 0.99)
+        alarms = np.clip((good @ (vote == -1) + 0.1) / (good @ (vote != 0) + 10), 1e-4, 0.1)
+        prior = float(np.clip((good.sum() + 9) / (counts.sum() + 10), 0.3, 0.99))
+    return caught, alarms, prior, posterior
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,13 +124,13 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(pattern), pa.array([a.astype(np.int16).tobytes() for a, _ in got]), pa.array([v.astype(np.float32).tobytes() for _, v in got])], ["pattern", "at", "value"])
 
 
-def train_quality_model(docs: DataFrame, sample_rows: int = 6000, epochs: int = 300) -> QualityModel:
+def train_quality_model(docs: DataFrame, sample_rows: int = 4000, epochs: int = 120) -> QualityModel:
     """Votes of all ``docs(doc_id, text)``; a scorer fitted on about ``sample_rows`` of them, chosen by hash of text."""
     table = docs.select("text").mapInArrow(_vote, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(3 ** len(LABELLERS), np.int64)
     for r in table:
         counts[r.pattern] = r.n
-    accuracy, prior, posterior = estimate(counts)
+    caught, alarms, prior, posterior = estimate(counts)
     share = min(1.0, sample_rows / max(1, int(counts.sum())))
     sample = docs.select("text").where("text is not null").where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000))
     rows = sorted(sample.mapInArrow(_train, "pattern long, at binary, value binary").collect())
@@ -147,7 +149,7 @@ def train_quality_model(docs: DataFrame, sample_rows: int = 6000, epochs: int =
             step = np.bincount(flat, value * error[row], DIMS) + 1e-5 * weights
             square, square_bias = square + step**2, square_bias + error.sum() ** 2
             weights, bias = weights - 0.3 * step / np.sqrt(square), bias - 0.3 * error.sum() / np.sqrt(square_bias)
-    return QualityModel(dict(zip(LABELLERS, accuracy.tolist())), prior, posterior, weights, float(bias))
+    return QualityModel(dict(zip(LABELLERS, caught.tolist())), dict(zip(LABELLERS, alarms.tolist())), prior, posterior, weights, float(bias))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.5) -> DataFrame:
