@@ -23,6 +23,12 @@ def any_of(nodes: Column) -> Column:
     return F.concat(F.lit('{"kind":"any","rules":['), F.array_join(nodes, ","), F.lit("]}"))
 
 
+def _split_group(nodes: Column, group: list[str]) -> tuple[Column, Column]:
+    """Plain nodes of the group's subjects, and the others."""
+    inside = lambda n: F.coalesce(n["slug"].isin([g for g in group if g not in v.LANGUAGE_NAMES]), F.lit(False))
+    return F.filter(nodes, inside), F.filter(nodes, lambda n: ~inside(n))
+
+
 def build_tree(cells: Column, exclusive: list[list[str]] = ()) -> Column:
     """struct(tree, excluded) from ordered cells ``array<struct<slug, cell struct<kind, level, raw>>>``.
 
@@ -44,8 +50,7 @@ def build_tree(cells: Column, exclusive: list[list[str]] = ()) -> Column:
     nodes = F.aggregate(F.filter(cells, lambda c: c["cell"]["kind"].isin("level", "alternative")), safe, step)
     front, rest = F.array().cast(_TEXTS), nodes
     for group in exclusive:
-        inside = lambda n, group=group: F.coalesce(n["slug"].isin([g for g in group if g not in v.LANGUAGE_NAMES]), F.lit(False))
-        members, others = F.filter(rest, inside), F.filter(rest, lambda n, inside=inside: ~inside(n))
+        members, others = _split_group(rest, group)
         several = F.size(members) > 1
         front = F.when(several, F.array_append(front, any_of(members["json"]))).otherwise(front)
         rest = F.when(several, others).otherwise(rest)
