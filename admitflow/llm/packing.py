@@ -7,7 +7,6 @@ as a chunk of a few million tokens already packs without waste. Chunks are bound
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,13 +22,11 @@ class Encoder:
     """Token ids of texts, as little-endian unsigned 32-bit bytes.
 
     The vocabulary never merges across a space that precedes a non-space, nor across a line feed between two
-    non-spaces, so texts are cut there and pieces seen before are looked up. Texts with other white space are
-    encoded whole, by the tokenizer alone.
+    non-spaces, so texts are cut there and pieces seen before are looked up. Texts with other white space or
+    characters that can't be printed are encoded whole, by the tokenizer alone.
     """
 
-    other_space = re.compile(r"\s\s|[^\S \n]|[\x1c-\x1f\x85]")
-
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -38,26 +35,60 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.most = most
 
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        self.line_feed = self._whole("\n")
+        self.fixed = {"": b"", "\n": self.line_feed, " ": self._whole(" ")}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Looks up all new pieces; punctuation behind letters is a piece of its own to the vocabulary."""
+        known, split, plain = self.known, [], []
+        for piece in pieces:
+            word = piece.rstrip(".,!?;:")
+            if len(word) < len(piece) and word.lstrip(" ").isalpha():
+                split.append((piece, word, piece[len(word) :]))
+            else:
+                plain.append(piece)
+        self._learn_plain([*plain, *({x for _, *parts in split for x in parts} - known.keys() - set(plain))])
+        for piece, word, tail in split:
+            known[piece] = known[word] + known[tail]
+
+    def _learn_plain(self, pieces: list[str]) -> None:
+        """Looks up pieces as the lines of one text; none of them holds a line feed."""
+        coded = self._whole("\n".join(pieces))
+        ends = np.flatnonzero(np.frombuffer(coded, "<u4") == int.from_bytes(self.line_feed, "little")) * 4
+        starts = np.concatenate([[0], ends + 4])
+        for piece, start, end in zip(pieces, starts.tolist(), [*ends.tolist(), len(coded)]):
+            self.known[piece] = coded[start:end]
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         known = self.known
-        if len(known) > self.most:
+        if len(known) > self.most or not known:
             known.clear()
-        cut: list[list[str] | None] = []
+            known.update(self.fixed)
+        out: list = []
+        gaps: list[tuple[list, list[str], list[int]]] = []
         for text in texts:
-            if not text:
-                cut.append([])
-            elif self.other_space.search(text):
-                cut.append(None)
-            else:
-                # A space goes to the piece behind it; a line feed is a piece of its own.
-                cut.append(text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00") if "\x00" not in text else None)
-        new = list({p for pieces in cut if pieces for p in pieces} - known.keys())
-        known.update(zip(new, self._ids(new)))
+            text = text or ""
+            line = text.replace("\n", " ")
+            if "  " in line or not line.isprintable():
+                out.append(self._whole(text))
+                continue
+            # A space goes to the piece behind it; a line feed is a piece of its own.
+            pieces = text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
+            found = list(map(known.get, pieces))
+            missing = [k for k, ids in enumerate(found) if ids is None]
+            if missing:
+                gaps.append((found, pieces, missing))
+            out.append(found)
+        if gaps:
+            self._learn(list({pieces[k] for _, pieces, missing in gaps for k in missing}))
+            for found, pieces, missing in gaps:
+                for k in missing:
+                    found[k] = known[pieces[k]]
         end = np.array([end_id], "<u4").tobytes()
-        return [(self._ids([text])[0] if pieces is None else b"".join([known[p] for p in pieces])) + end for text, pieces in zip(texts, cut)]
+        return [(x if isinstance(x, bytes) else b"".join(x)) + end for x in out]
 
 
 def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -> tuple[list[tuple[int, int, int, int]], list[float]]:
