@@ -38,22 +38,27 @@ def subject_name(key: Column) -> Column:
     return out.otherwise(F.coalesce(F.try_element_at(names, key), title(key)))
 
 
+def strip(text: Column) -> Column:
+    """Text without white space at its ends."""
+    return F.trim(text, F.lit(" \t\n\r\x0b\x0c"))
+
+
 def squeeze(text: Column) -> Column:
     """Trimmed, lower case, runs of white space as one space."""
-    return F.trim(F.regexp_replace(F.lower(text), r"(?U)\s+", " "))
+    return strip(F.regexp_replace(F.lower(text), r"(?U)\s+", " "))
 
 
 def strip_year_suffix(title: Column, year: Column) -> Column:
     """Without a final "Prospectus YEAR" or "YEAR Prospectus"."""
     y = year.cast("string")
     for parts in ((F.lit(r"(?i)\s*Prospectus\s*"), y, F.lit(r"\s*$")), (F.lit(r"(?i)\s*"), y, F.lit(r"\s*Prospectus\s*$"))):
-        title = F.regexp_replace(F.trim(title), F.concat(*parts), F.lit(""))
-    return F.trim(title)
+        title = F.regexp_replace(strip(title), F.concat(*parts), F.lit(""))
+    return strip(title)
 
 
 def strip_suffix(title: Column) -> Column:
     """Without a final "Prospectus"."""
-    return F.trim(F.regexp_replace(title, r"(?i)\s*Prospectus\s*$", ""))
+    return strip(F.regexp_replace(title, r"(?i)\s*Prospectus\s*$", ""))
 
 
 def last_segment(url: Column) -> Column:
@@ -101,7 +106,7 @@ def resolve_header(text: Column, markers: Column) -> Column:
 
 def resolve_merged_header(text: Column, markers: Column) -> Column:
     """Subjects of a header, several where slashes divide it; empty where none is known."""
-    parts = F.filter(F.transform(F.split(text, "/"), lambda p: F.trim(p)), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(text, "/"), lambda p: strip(p)), lambda p: p != "")
     parts = F.when(F.size(parts) > 1, parts).otherwise(F.array(text))
     return F.coalesce(F.filter(F.transform(parts, lambda p: resolve_header(p, markers)), lambda s: s.isNotNull()), F.array().cast("array<string>"))
 
@@ -109,7 +114,7 @@ def resolve_merged_header(text: Column, markers: Column) -> Column:
 def interpret_cell(text: Column, markers: Column, not_accepted: Column, alternatives: Column) -> Column:
     """struct(kind, level, raw): a cell rejects a subject, offers it as an alternative, asks a level, or says nothing."""
     none = F.array().cast("array<string>")
-    stripped = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+$", ""))
+    stripped = strip(F.coalesce(text, F.lit("")))
     matchable = strip_markers(stripped, markers)
     found = F.regexp_extract(matchable, r"(?U)\b([1-7])\b", 1)
     lvl = F.when(found != "", found.cast("int"))
@@ -173,8 +178,8 @@ def remove_detections(markdown: Column) -> Column:
 
 def table_rows(markdown: Column) -> Column:
     """Rows of cells of the pipe tables in Markdown, without divider rows."""
-    lines = F.filter(F.transform(F.split(markdown, r"\r?\n"), lambda x: F.trim(x)), lambda x: x.startswith("|"))
-    cells = F.transform(lines, lambda x: F.transform(F.split(F.regexp_replace(x, r"^\|+|\|+$", ""), r"\|"), lambda c: F.trim(c)))
+    lines = F.filter(F.transform(F.split(markdown, r"\r?\n"), lambda x: strip(x)), lambda x: x.startswith("|"))
+    cells = F.transform(lines, lambda x: F.transform(F.split(F.regexp_replace(x, r"^\|+|\|+$", ""), r"\|"), lambda c: strip(c)))
     return F.filter(cells, lambda r: ~F.forall(r, lambda c: F.regexp_like(c, F.lit(r"^:?-+:?$"))))
 
 

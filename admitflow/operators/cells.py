@@ -69,7 +69,7 @@ def page_exclusions(lines: DataFrame, phrases: list[str], code_pattern: str) ->
         return lines.select("doc", "page").distinct().withColumn("excluded", F.array().cast(_TEXTS))
     pattern = "|".join(r"\s+".join(re.escape(w) for w in p.split()) for p in phrases)
     sentences = lines.select("doc", "page", F.explode(F.split("text", r"\r?\n")).alias("line"))
-    sentences = sentences.select("doc", "page", F.explode(F.split(F.trim("line"), r"(?<=[.!?])\s+")).alias("sentence"))
+    sentences = sentences.select("doc", "page", F.explode(F.split(s.strip(F.col("line")), r"(?<=[.!?])\s+")).alias("sentence"))
     sentences = sentences.where((F.col("sentence") != "") & ~F.regexp_like("sentence", F.lit(code_pattern)))
     # What stands before the last phrase also stands before every earlier one's subjects.
     before = F.regexp_extract("sentence", rf"(?isU)^(.*)\b(?:{pattern})\b", 1)
@@ -120,8 +120,8 @@ def row_subject_cells(cells: Column, markers: Column, not_accepted: Column, alte
 def group_rows(rows: DataFrame, code_pattern: str) -> DataFrame:
     """``rows(doc, page, row, cells)`` with ``programme``: the number of rows with a code so far; none before the first."""
     whole = F.lit(f"^(?:{code_pattern})$")
-    code = F.filter("cells", lambda c: F.regexp_like(F.trim(c), whole))
-    out = rows.withColumn("code", F.trim(F.try_element_at(code, F.lit(1))))
+    code = F.filter("cells", lambda c: F.regexp_like(s.strip(c), whole))
+    out = rows.withColumn("code", s.strip(F.try_element_at(code, F.lit(1))))
     order = Window.partitionBy("doc", "page").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
     return out.withColumn("programme", F.count("code").over(order)).where("programme > 0")
 
@@ -140,7 +140,7 @@ def markdown_records(pages: DataFrame, profile: dict) -> DataFrame:
     width = F.array_max(F.transform("rows", lambda r: F.size(r)))
     hits = F.transform(F.sequence(F.lit(1), width), lambda i: F.struct(F.size(F.filter("rows", lambda r: F.coalesce(F.regexp_like(F.try_element_at(r, i), whole), F.lit(False)))).alias("hits"), (-i).alias("i")))
     t = t.withColumn("best", F.array_max(hits)).where("best.hits > 0").withColumn("code_col", -F.col("best.i"))
-    low = lambda h: F.lower(F.trim(h))
+    low = lambda h: F.lower(s.strip(h))
     has = lambda h, *words: F.lit(False) if not words else F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low(h), w))
     role = lambda h, i: F.when(i + 1 == F.col("code_col"), "code").when(s.resolve_header(h, markers).isNotNull(), "subject").when(has(h, "aps", "score"), "aps").when(has(h, "campus"), "campus").when(has(h, "programme", "qualification", "course", "name"), "name").otherwise("ignored")
     t = t.withColumn("roles", F.transform("header", role))
@@ -192,8 +192,8 @@ def footnotes(pages: DataFrame, records: DataFrame, markers: list[str], code_pat
     next_code = F.regexp_instr(rest, F.lit(code_pattern))
     window = F.when(next_code > 0, F.substr(tail, F.lit(1), next_code)).otherwise(tail)
     found = both.select("doc", "page", "code", F.explode(s.detect_markers(window, F.array(*[F.lit(m) for m in markers]))).alias("marker"))
-    lines = pages.select("doc", F.col("page").alias("legend_page"), F.posexplode(F.split("text", "\n")).alias("line", "text")).withColumn("text", F.trim("text"))
+    lines = pages.select("doc", F.col("page").alias("legend_page"), F.posexplode(F.split("text", "\n")).alias("line", "text")).withColumn("text", s.strip(F.col("text")))
     legend = r"^(\*{1,3})\s+([A-Za-z].*)$"
-    lines = lines.where(F.regexp_like("text", F.lit(legend))).select("doc", "legend_page", "line", F.regexp_extract("text", legend, 1).alias("marker"), F.trim(F.regexp_extract("text", legend, 2)).alias("footnote_text"))
+    lines = lines.where(F.regexp_like("text", F.lit(legend))).select("doc", "legend_page", "line", F.regexp_extract("text", legend, 1).alias("marker"), s.strip(F.regexp_extract("text", legend, 2)).alias("footnote_text"))
     near = found.join(lines, ["doc", "marker"]).where(F.col("legend_page").between(F.col("page") - lookback, F.col("page")))
     return near.groupBy("doc", "page", "code", "marker").agg(F.max_by("footnote_text", F.struct("legend_page", -F.col("line"))).alias("footnote_text"))

@@ -16,7 +16,7 @@ def plain(html: Column) -> Column:
     text = F.regexp_replace(html, r"(?s)<[^>]*>", " ")
     for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(name), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return s.strip(F.regexp_replace(text, r"\s+", " "))
 
 
 def fragments(pages: DataFrame, pattern: str) -> DataFrame:
@@ -54,7 +54,7 @@ def viewer_document(html: Column) -> Column:
 
 def download_document(html: Column, year: Column) -> Column:
     """URL of the first download link, null unless the page's title holds the year."""
-    title = F.trim(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
+    title = s.strip(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
     tag = F.regexp_extract(html, r"(<a\b[^>]*\sdownload(?:[\s=>][^>]*)?>)", 1)
     href = F.regexp_extract(F.when(tag != "", tag), r'href="([^"]*)"', 1)
     return F.when(F.contains(title, year.cast("string")) & (href != ""), href)

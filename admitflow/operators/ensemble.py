@@ -68,7 +68,7 @@ def reconcile(candidates: DataFrame) -> DataFrame:
     fields = vote(votes(candidates)).groupBy("code").agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "value")))).alias("values"),
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "confidence")))).alias("confidence"),
-        F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("minority").isNotNull(), F.struct("field", "minority"))))).alias("disagreements"),
+        F.map_from_entries(F.collect_list(F.when(F.col("minority").isNotNull(), F.struct("field", "minority")))).alias("disagreements"),
         F.bool_or(F.col("confidence") < 1).alias("unsure"),
     )
     ordered = lambda c: F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("method", c)))), lambda x: x[c])))

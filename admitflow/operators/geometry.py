@@ -66,7 +66,7 @@ def nearest(left: DataFrame, right: DataFrame, by: list[str], distance: Column,
 
 def sections(runs: DataFrame, keywords: list[str]) -> DataFrame:
     """Sections of a page by its repeated header blocks: doc, page, section, boundary, lower (null for the last)."""
-    word = F.exists(F.array(*[F.lit(k.lower()) for k in keywords]).cast(_TEXTS), lambda k: F.contains(F.lower(F.trim("text")), k))
+    word = F.exists(F.array(*[F.lit(k.lower()) for k in keywords]).cast(_TEXTS), lambda k: F.contains(F.lower(s.strip(F.col("text"))), k))
     blocks = islands(runs.where(word), PAGE, ["first", "run"], F.col("first"), BLOCK_GAP, "block").groupBy(*PAGE, "block").agg(F.avg("first").alias("boundary"))
     down = Window.partitionBy(*PAGE).orderBy(F.desc("boundary"))
     return blocks.select(*PAGE, (F.row_number().over(down) - 1).alias("section"), "boundary", F.lead("boundary").over(down).alias("lower"))
@@ -99,7 +99,7 @@ def text_layer_records(chars: DataFrame, words: DataFrame, exclusions: DataFrame
     columns = columns.withColumn("slugs", s.resolve_merged_header(F.col("head"), markers))
     known = F.when(F.size("slugs") > 0, F.col("col"))
     later = F.first(known, ignorenulls=True).over(Window.partitionBy(*part).orderBy("centre").rowsBetween(1, Window.unboundedFollowing))
-    marks_choice = (F.size("slugs") == 0) & F.exists(offered, lambda p: F.lower(F.trim(p)) == F.lower(F.trim("head")))
+    marks_choice = (F.size("slugs") == 0) & F.exists(offered, lambda p: F.lower(s.strip(p)) == F.lower(s.strip(F.col("head"))))
     columns = columns.withColumn("target", F.coalesce(F.when(marks_choice, later), F.col("col")))
 
     data = nearest(runs.where("first <= limit"), columns.select(*part, "col", "centre"), part, F.abs(F.col("centre") - F.col("x0")), "col", [*part, "run"])
@@ -203,7 +203,7 @@ def table_rows(cells: DataFrame, code_pattern: str) -> DataFrame:
     text = F.when((F.col("n_chars") > 0) & (F.col("n_rotated") / F.col("n_chars") > 0.5), F.reverse("text")).otherwise(F.col("text"))
     whole = F.lit(f"^(?:{code_pattern})$")
     rows = cells.groupBy(*PAGE, "strategy", "row").agg(F.transform(F.sort_array(F.collect_list(F.struct("col", text.alias("text")))), lambda x: x["text"]).alias("cells"))
-    rows = rows.withColumn("has_code", F.exists("cells", lambda c: F.coalesce(F.regexp_like(F.trim(c), whole), F.lit(False))))
+    rows = rows.withColumn("has_code", F.exists("cells", lambda c: F.coalesce(F.regexp_like(s.strip(c), whole), F.lit(False))))
     hits = rows.groupBy(*PAGE, "strategy").agg(F.count_if("has_code").alias("hits"))
     best = hits.groupBy(*PAGE).agg(F.max_by("strategy", F.struct("hits", (F.col("strategy") == "lattice").cast("int").alias("first"))).alias("strategy"))
     return rows.join(best, [*PAGE, "strategy"]).select(*PAGE, "row", "cells")
@@ -221,9 +221,9 @@ def geometric_records(cells: DataFrame, exclusions: DataFrame, profile: dict) ->
     whole = F.lit(f"^(?:{pattern})$")
     rows = table_rows(cells, pattern)
     words = F.array(*[F.lit(k.lower()) for k in layout.get("header_keywords", [])]).cast(_TEXTS)
-    header = F.size(F.filter("cells", lambda c: F.exists(words, lambda k: F.contains(F.lower(F.trim(c)), k)))) >= 2
+    header = F.size(F.filter("cells", lambda c: F.exists(words, lambda k: F.contains(F.lower(s.strip(c)), k)))) >= 2
     rows = rows.withColumn("is_header", header)
-    is_code = lambda c: F.coalesce(F.regexp_like(F.trim(c), whole), F.lit(False))
+    is_code = lambda c: F.coalesce(F.regexp_like(s.strip(c), whole), F.lit(False))
     exclusive = layout.get("mutually_exclusive_subjects", [])
 
     if layout.get("rows_per_programme", "one") == "many":
@@ -236,7 +236,7 @@ def geometric_records(cells: DataFrame, exclusions: DataFrame, profile: dict) ->
         above = Window.partitionBy(*PAGE).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
         merged = rows.withColumn("mapping", F.last(F.when(F.col("is_header"), mapping), ignorenulls=True).over(above)).where("not is_header and mapping is not null")
         merged = merged.where(F.exists("cells", is_code) & F.exists("mapping", lambda m: F.size(m["slugs"]) > 0))
-        choice = lambda m: (F.size(m["slugs"]) == 0) & F.exists(offered, lambda p: F.lower(F.trim(p)) == F.lower(F.trim(m["head"])))
+        choice = lambda m: (F.size(m["slugs"]) == 0) & F.exists(offered, lambda p: F.lower(s.strip(p)) == F.lower(s.strip(m["head"])))
         # Columns between the last resolved one and this one that only mark a choice add their cells to this one.
         fold = F.transform("mapping", lambda m, i: F.struct(F.when(F.size(m["slugs"]) > 0, i).alias("own"), F.when(choice(m), F.array_min(F.filter(F.transform("mapping", lambda n, j: F.when((j > i) & (F.size(n["slugs"]) > 0), j)), lambda j: j.isNotNull()))).alias("to")))
         merged = merged.withColumn("fold", fold)
@@ -246,12 +246,12 @@ def geometric_records(cells: DataFrame, exclusions: DataFrame, profile: dict) ->
         merged = merged.withColumn("built", build_tree(found, exclusive))
     code_at = F.array_min(F.filter(F.transform("cells", lambda c, i: F.when(is_code(c), i)), lambda i: i.isNotNull()))
     merged = merged.withColumn("code_at", code_at)
-    names = F.filter(F.transform("cells", lambda c, i: F.when((i != F.col("code_at")) & (F.coalesce(c, F.lit("")) != "") & ~F.regexp_like(F.trim(c), F.lit(r"^\d+$")), F.replace(F.trim(c), F.lit("\n"), F.lit(" ")))), lambda c: c.isNotNull())
+    names = F.filter(F.transform("cells", lambda c, i: F.when((i != F.col("code_at")) & (F.coalesce(c, F.lit("")) != "") & ~F.regexp_like(s.strip(c), F.lit(r"^\d+$")), F.replace(s.strip(c), F.lit("\n"), F.lit(" ")))), lambda c: c.isNotNull())
     tokens = F.array(*[F.lit(t) for t in sorted(set(layout.get("campus_tokens", [])))]).cast(_TEXTS)
     campus = F.flatten(F.transform("cells", lambda c: F.filter(tokens, lambda t: F.coalesce(F.contains(c, t), F.lit(False)))))
     score = F.try_element_at(F.filter(F.transform("cells", score_cell), lambda x: x.isNotNull()), F.lit(1))
     out = merged.join(exclusions.select(*PAGE, F.col("excluded").alias("page_excluded")), PAGE, "left")
     return out.select(
-        *PAGE, "row", F.trim(F.element_at("cells", F.col("code_at") + 1)).alias("code"), F.nullif(F.try_element_at(names, F.lit(1)), F.lit("")).alias("name"), campus.alias("campus"), score.alias("score"), F.col("built.tree").alias("tree"),
+        *PAGE, "row", s.strip(F.element_at("cells", F.col("code_at") + 1)).alias("code"), F.nullif(F.try_element_at(names, F.lit(1)), F.lit("")).alias("name"), campus.alias("campus"), score.alias("score"), F.col("built.tree").alias("tree"),
         F.array_sort(F.array_union("built.excluded", F.coalesce("page_excluded", F.array().cast(_TEXTS)))).alias("excluded"),
     )

@@ -59,7 +59,7 @@ def code_matches(text: Column) -> Column:
 
 def programme_line(line: Column) -> Column:
     """Whether a line is a name and numbers, or has a code and a plausible score."""
-    line = F.trim(line)
+    line = s.strip(line)
     code = reduce(lambda a, b: a | b, [F.regexp_like(line, F.lit(f"(?U){p}")) for p in v.CODE_SHAPES.values()])
     return F.regexp_like(line, F.lit(f"(?U){v.NAME_AND_NUMBERS}")) | (code & F.regexp_like(line, F.lit(f"(?U){v.SCORE_NUMBER}")))
 
@@ -81,7 +81,7 @@ def triage(pages: DataFrame, least_codes: int = 3, full_pages: int = 10, full_ro
     vocabulary = reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in v.HEADER_VOCABULARY])
     facts = pages.select(
         "doc",
-        (F.trim(text) != "").alias("has_text"),
+        (s.strip(text) != "").alias("has_text"),
         ((code_matches(text) >= least_codes) & vocabulary).alias("table"),
         estimated_rows(text).alias("rows"),
         (F.coalesce("n_rotated", F.lit(0)) > 0).alias("rotated"),
