@@ -68,7 +68,10 @@ def nearest_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Cells and trees
 
 _CELL = """CASE p_size % 8 WHEN 0 THEN '' WHEN 1 THEN 'Not accepted' WHEN 2 THEN 'accepted Not' WHEN 3 THEN 'OR ' || (p_partkey % 9) || ' (50%)' WHEN 4 THEN (p_partkey % 9) || ' (60%+)**' WHEN 5 THEN 'see page' WHEN 6 THEN ' ' || (1 + p_partkey % 7) || ' ' ELSE 'level ' || (p_partkey % 9) END"""
-_ARGS = [F.array(F.lit("**")), F.array(F.lit("Not accepted")), F.array(F.lit("OR"))]
+
+
+def _cell(text):
+    return s.interpret_cell(text, F.array(F.lit("**")), F.array(F.lit("Not accepted")), F.array(F.lit("OR")))
 
 
 @query(f"""WITH c AS (SELECT p_partkey, p_size % 8 AS k, p_partkey % 9 AS n, 1 + p_partkey % 7 AS m FROM part)
@@ -77,7 +80,7 @@ _ARGS = [F.array(F.lit("**")), F.array(F.lit("Not accepted")), F.array(F.lit("OR
 def interpreted_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kind and level of requirement cells."""
     part = t.table(spark, sf_dir, "part").withColumn("text", F.expr(_CELL))
-    return part.withColumn("cell", s.interpret_cell(F.col("text"), *_ARGS)).select("p_partkey", "cell.kind", "cell.level")
+    return part.withColumn("cell", _cell(F.col("text"))).select("p_partkey", "cell.kind", "cell.level")
 
 
 @query("""WITH c AS (SELECT p_partkey AS k, (p_partkey % 3) + 2 AS a, (p_partkey % 4) + 3 AS b FROM part)
@@ -89,7 +92,7 @@ def built_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule trees from rows of cells: plain levels of exclusive subjects, a marked alternative, a rejection."""
     part = t.table(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") % 5).alias("k"), (F.col("p_partkey") % 3 + 2).alias("a"), (F.col("p_partkey") % 4 + 3).alias("b"))
     third = F.when(F.col("k") == 0, F.col("b").cast("string")).when(F.col("k") < 3, F.concat(F.lit("OR "), F.col("b").cast("string"))).otherwise("Not accepted")
-    cell = lambda slug, text: F.struct(F.lit(slug).alias("slug"), s.interpret_cell(text, *_ARGS).alias("cell"))
+    cell = lambda slug, text: F.struct(F.lit(slug).alias("slug"), _cell(text).alias("cell"))
     row = F.array(cell("english", F.lit("4")), cell("mathematics", F.col("a").cast("string")), cell("mathematical_literacy", third))
     built = part.withColumn("t", cells.build_tree(row, [["mathematics", "mathematical_literacy"]]))
     return built.select("p_partkey", "t.tree", F.array_join("t.excluded", ",").alias("excluded"))

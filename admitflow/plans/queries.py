@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary
@@ -33,20 +33,20 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.qualify(valid, t.requests(spark, sf_dir), t.programmes(spark, sf_dir), t.institutions(spark, sf_dir))
 
 
-_MISSING = F.array_join(
-    F.transform(
-        "failures",
-        lambda f: F.concat_ws(":", F.when(f["kind"] == "any_additional_language", "additional").when(f["kind"] == "score", "score").otherwise(f["subject"]), F.coalesce(f["required"].cast("string"), F.lit("-")), F.coalesce(f["actual"].cast("string"), F.lit("-"))),
-    ),
-    "; ",
-)
+def _missing() -> Column:
+    """Failures as text: what, required and actual level of each."""
+    what = lambda f: F.when(f["kind"] == "any_additional_language", "additional").when(f["kind"] == "score", "score").otherwise(f["subject"])
+    number = lambda c: F.coalesce(c.cast("string"), F.lit("-"))
+    return F.array_join(F.transform("failures", lambda f: F.concat_ws(":", what(f), number(f["required"]), number(f["actual"]))), "; ")
+
+
 _PAIR = ["learner_id", "institution_id", "academic_year", "qualification_code", "score_required", "score_actual", "margin", "n_failures", "bucket"]
 
 
 @query(f"WITH {t.QUALIFY} SELECT {', '.join(_PAIR)}, CASE WHEN n_failures > 0 THEN missing END AS missing FROM results WHERE bucket <> 'none'")
 def qualify_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Qualified programmes and near misses of every learner, with what is missing."""
-    return _results(spark, sf_dir).where("bucket <> 'none'").select(*_PAIR, F.nullif(_MISSING, F.lit("")).alias("missing"))
+    return _results(spark, sf_dir).where("bucket <> 'none'").select(*_PAIR, F.nullif(_missing(), F.lit("")).alias("missing"))
 
 
 @query(f"WITH {t.QUALIFY} SELECT learner_id, qualification_code, margin, rank FROM (SELECT *, row_number() OVER (PARTITION BY learner_id ORDER BY margin DESC, ordinal)::INT AS rank FROM results WHERE bucket = 'qualified')")
