@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
+from ..sources.scratch import kept
 from .cells import build_tree, group_rows, row_subject_cells, score_cell
 
 PAGE = ["doc", "page"]
@@ -89,10 +90,11 @@ def text_layer_records(chars: DataFrame, words: DataFrame, exclusions: DataFrame
     markers, rejected, offered = (F.array(*[F.lit(x) for x in layout.get(k, [])]).cast(_TEXTS) for k in ("footnote_markers", "not_accepted_phrases", "alternative_phrases"))
     whole = F.lit(f"^(?:{layout['code_pattern']})$")
     runs = rotated_runs(chars.where(F.lit(bool(layout.get("rotated_headers"))))).withColumn("is_code", F.regexp_like("text", whole))
+    runs = kept(runs)  # several branches below start from each of these tables
     runs = assign_sections(runs, sections(runs, layout.get("header_keywords", [])))
     part = [*PAGE, "section"]
     limit = runs.where("is_code").groupBy(*part).agg((F.max("last") + BLOCK_GAP).alias("limit"))
-    runs = runs.join(limit, part)
+    runs = kept(runs.join(limit, part))
 
     heads = islands(runs.where("first > limit"), part, ["x0", "run"], F.col("x0"), HEADER_GAP, "col")
     columns = heads.groupBy(*part, "col").agg(F.avg("x0").alias("centre"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("x0", "run", "text"))), lambda x: x["text"]), " ").alias("head"))
@@ -101,20 +103,22 @@ def text_layer_records(chars: DataFrame, words: DataFrame, exclusions: DataFrame
     later = F.first(known, ignorenulls=True).over(Window.partitionBy(*part).orderBy("centre").rowsBetween(1, Window.unboundedFollowing))
     marks_choice = (F.size("slugs") == 0) & F.exists(offered, lambda p: F.lower(s.strip(p)) == F.lower(s.strip(F.col("head"))))
     columns = columns.withColumn("target", F.coalesce(F.when(marks_choice, later), F.col("col")))
+    columns = kept(columns)
 
     data = nearest(runs.where("first <= limit"), columns.select(*part, "col", "centre"), part, F.abs(F.col("centre") - F.col("x0")), "col", [*part, "run"])
     data = data.join(columns.select(*part, "col", "target"), [*part, "col"]).drop("col").withColumnRenamed("target", "col")
     code_col = data.where("is_code").groupBy(*part).agg(F.max_by("col", "run").alias("code_col"))
-    data = data.join(code_col, part)
+    data = kept(data.join(code_col, part))
     order = Window.partitionBy(*part).orderBy("top", "run")
     bands = data.where("col = code_col").select(*part, (F.row_number().over(order) - 1).alias("band"), F.col("text").alias("code"), F.col("top").alias("band_top"), F.col("bottom").alias("band_bottom"), F.lag("bottom").over(order).alias("upper"), F.lead("top").over(order).alias("under"), "x0")
-    bands = bands.withColumn("code_x0", F.min("x0").over(Window.partitionBy(*part))).drop("x0")
+    bands = kept(bands.withColumn("code_x0", F.min("x0").over(Window.partitionBy(*part))).drop("x0"))
 
     each = data.where("col <> code_col").select(*part, "col", "run", F.posexplode("chars").alias("n", "c")).select(*part, "col", "run", "n", "c.advance", "c.text", "c.top", "c.bottom")
     off = F.abs((F.col("top") + F.col("bottom")) / 2 - (F.col("band_top") + F.col("band_bottom")) / 2)
     placed = nearest(each, bands.select(*part, "band", "band_top", "band_bottom"), part, off, "band", [*part, "run", "n"])
     pieces = placed.groupBy(*part, "col", "band", "run").agg(F.avg("advance").alias("advance"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", "text"))), lambda x: x["text"]), "").alias("text"))
     cells = pieces.groupBy(*part, "col", "band").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("advance", "run", "text"))), lambda x: x["text"]), " ").alias("text"))
+    cells = kept(cells)
 
     subject_cols = columns.where(F.size("slugs") > 0).select(*part, "col", "slugs").join(data.where("col <> code_col").select(*part, "col").distinct(), [*part, "col"])
     grid = bands.join(subject_cols, part).join(cells, [*part, "col", "band"], "left")

@@ -163,3 +163,29 @@ def rotation_evidence(pages: DataFrame) -> DataFrame:
 def repair_report(runs: DataFrame, code_pattern: str) -> DataFrame:
     """Per page of ``runs(doc, page, text)``: runs that still read backwards, and whether the page passes."""
     return runs.groupBy("doc", "page").agg(F.count_if(s.looks_reversed(F.col("text"), F.lit(code_pattern))).alias("reversed_runs"), F.count("*").alias("runs")).withColumn("passed", F.col("reversed_runs") == 0)
+
+
+def image_coverage(images: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(doc, page, image_area_ratio) of ``sizes(doc, page, width, height)``: share of the page under ``images(doc,
+    page, image_width, image_height)``, at most 1, 0 without images or area."""
+    covered = images.groupBy("doc", "page").agg(F.sum(F.coalesce("image_width", F.lit(0.0)) * F.coalesce("image_height", F.lit(0.0))).alias("covered"))
+    ratio = F.coalesce(F.try_divide(F.col("covered"), F.col("width") * F.col("height")), F.lit(0.0))
+    return sizes.join(covered, ["doc", "page"], "left").select("doc", "page", F.least(F.lit(1.0), ratio).alias("image_area_ratio"))
+
+
+def existing_pages(asked: DataFrame, documents: DataFrame) -> DataFrame:
+    """``asked(doc, page)`` without pages outside their document of ``documents(doc, page_count)``."""
+    return asked.join(documents.select("doc", "page_count"), "doc").where(F.col("page").between(1, F.col("page_count"))).drop("page_count")
+
+
+def profile_evidence(pages: DataFrame, rotation: DataFrame) -> DataFrame:
+    """One row per document with all evidence for a draft profile, ready to be written as JSON.
+
+    ``pages(doc, page, text)`` are the sampled pages, ``rotation(doc, page, n_chars, n_rotated)`` their characters.
+    """
+    listed = lambda df, name, *columns: df.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(name))
+    out = pages.groupBy("doc").agg(F.sort_array(F.collect_list("page")).alias("pages_sampled"))
+    out = out.join(listed(code_shape_evidence(pages), "code_patterns", "label", "total_matches", "pages_with_matches", "samples"), "doc", "left")
+    out = out.join(listed(header_evidence(pages), "header_keywords", "rank", "word", "page_count"), "doc", "left")
+    out = out.join(listed(campus_evidence(pages), "campus_tokens", "rank", "word", "page_count"), "doc", "left")
+    return out.join(rotation_evidence(rotation).select("doc", F.struct("total_chars", "rotated_chars", "rotated_pages", "ratio", "likely_rotated_headers").alias("rotation")), "doc", "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as s
 from ..functions import vocabulary as v
-from ..operators import cells, discovery, geometry, refdata
+from ..operators import cells, discovery, geometry, pages, refdata
 from ..operators import qualify as q
 from ..operators import rules
 from ..sources.scratch import scratch_folder
@@ -306,3 +306,79 @@ def structural_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id") % 5
     body = F.when(k == 1, '{"name":1,"text":2}').when(k == 2, "[1]").otherwise('{"name":1,"layout":{}}')
     return refdata.structural_errors(t.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), body.alias("body")), ["name", "layout"], ["name", "layout", "quirks"])
+
+
+# Whole table methods
+
+
+def _table_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page per part: a header and two rows as ruled table, a worse reading as text."""
+    k = F.col("p_partkey")
+    code = F.concat(F.lit("B2"), F.lpad((k % 10000).cast("string"), 4, "0"))
+    text = lambda *cells: F.array(*[c if hasattr(c, "cast") else F.lit(c) for c in cells])
+    rows = F.array(text("Code", "Programme", "English", "OR", "Mathematics", "APS"), text(code, F.element_at(F.split("p_name", " "), 1), "4 (50%)", F.when(k % 2 == 0, "OR").otherwise(""), (k % 7 + 1).cast("string"), (14 + F.col("p_size") % 30).cast("string")), text("no", "code", "4", "", "4", "30"))
+    part = t.table(spark, sf_dir, "part").select(F.lit("d").alias("doc"), k.cast("int").alias("page"), F.posexplode(rows).alias("row", "cells"))
+    ruled = part.select("doc", "page", F.lit("lattice").alias("strategy"), "row", F.posexplode("cells").alias("col", "text"))
+    ruled = ruled.withColumns({"n_chars": F.lit(4), "n_rotated": F.when(F.col("col") == 2, 4).otherwise(0)}).withColumn("text", F.when(F.col("col") == 2, F.reverse("text")).otherwise(F.col("text")))
+    loose = part.where("row = 0").select("doc", "page", F.lit("stream").alias("strategy"), "row", F.lit(0).alias("col"), F.lit("nothing").alias("text"), F.lit(4).alias("n_chars"), F.lit(0).alias("n_rotated"))
+    return ruled.unionByName(loose)
+
+
+_METHOD_PROFILE = {"layout": {"code_pattern": r"[A-Z]\d[A-Z0-9]{3,4}", "header_keywords": ["code", "programme", "english", "aps"], "rotated_headers": True, "alternative_phrases": ["OR"], "not_accepted_phrases": ["Not accepted"], "campus_tokens": ["APB"]}}
+_METHOD_TREE = """'{"kind":"all","rules":[' || CASE WHEN p_partkey % 2 = 0 THEN '{"kind":"any","rules":[{"kind":"subject","language":"english","min_level":4},{"kind":"subject","subject":"mathematics","min_level":' || (p_partkey % 7 + 1) || '}]}'
+  ELSE '{"kind":"subject","language":"english","min_level":4},{"kind":"subject","subject":"mathematics","min_level":' || (p_partkey % 7 + 1) || '}' END || ']}' AS tree"""
+
+
+def _no_exclusions(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "doc string, page int, excluded array<string>")
+
+
+@query(f"SELECT p_partkey::INT AS page, 'B2' || lpad((p_partkey % 10000)::VARCHAR, 4, '0') AS code, split_part(p_name, ' ', 1) AS name, (14 + p_size % 30)::INT AS score, {_METHOD_TREE} FROM part")
+def geometric_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of ruled tables: better strategy, rotated cells, a marker column that joins the next subject."""
+    got = geometry.geometric_records(_table_cells(spark, sf_dir), _no_exclusions(spark), _METHOD_PROFILE)
+    return got.select("page", "code", "name", F.col("score")[0]["min_score"].alias("score"), "tree")
+
+
+@query(f"SELECT p_partkey::INT AS page, 'B2' || lpad((p_partkey % 10000)::VARCHAR, 4, '0') AS code, 'Bachelor of ' || split_part(p_name, ' ', 1) AS name, (14 + p_size % 30)::INT AS score, {_METHOD_TREE} FROM part")
+def text_layer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of rotated tables: sections, columns by place, characters to rows, names and scores from upright words."""
+    k = F.col("p_partkey")
+    code = F.concat(F.lit("B2"), F.lpad((k % 10000).cast("string"), 4, "0"))
+    line = lambda text, x, advance: F.struct((text if hasattr(text, "cast") else F.lit(text)).alias("text"), F.lit(float(x)).alias("x"), F.lit(float(advance)).alias("advance"))
+    lines = F.array(line("Code", 50, 4000), line("English", 100, 4000), line("OR", 130, 4000), line("Mathematics", 160, 4000), line("APS", 210, 4000), line(code, 50, 1000), line("4", 100, 1000), line((k % 7 + 1).cast("string"), 160, 1000), line(F.when(k % 2 == 0, "OR").otherwise(""), 130, 1000))
+    part = t.table(spark, sf_dir, "part").withColumn("page", k.cast("int"))
+    each = part.select("page", F.posexplode(lines).alias("n", "l")).select("page", "n", "l.*").where("text <> ''")
+    chars = each.select("page", "n", "x", "advance", F.posexplode(F.split("text", "")).alias("i", "text")).where("text <> ''")
+    top = F.when(F.col("advance") > 2000, 10.0).otherwise(100.0) + F.col("i")
+    chars = chars.select(F.lit("d").alias("doc"), "page", (F.col("n") * 100 + F.col("i")).alias("seq"), "text", F.lit(False).alias("upright"), F.lit(0.0).alias("a"), F.lit(8.0).alias("b"), F.lit(-8.0).alias("c"), F.lit(0.0).alias("d"), F.col("x").alias("e"), (F.col("advance") / 8 + F.col("i") * 2).alias("f"), F.col("x").alias("x0"), (F.col("x") + 8).alias("x1"), top.alias("top"), (top + 1).alias("bottom"))
+    word = lambda text, x0, x1, y: F.struct(text.alias("text"), F.lit(x0).alias("x0"), F.lit(x1).alias("x1"), F.lit(y).alias("top"))
+    said = F.array(word(F.lit("Bachelor"), 5.0, 20.0, 101.0), word(F.lit("of"), 21.0, 25.0, 101.0), word(F.element_at(F.split("p_name", " "), 1), 5.0, 20.0, 112.0), word((14 + F.col("p_size") % 30).cast("string"), 300.0, 310.0, 101.0))
+    words = part.select(F.lit("d").alias("doc"), "page", F.explode(said).alias("w")).select("doc", "page", "w.*")
+    got = geometry.text_layer_records(chars, words, _no_exclusions(spark), _METHOD_PROFILE)
+    return got.select("page", "code", "name", F.col("score")[0]["min_score"].alias("score"), "tree")
+
+
+@query("SELECT source AS doc, doc_id AS page, round(least(1.0, coalesce(sum(n_chars % 700 * 300.0) / nullif(any_value(CASE WHEN doc_id % 9 = 0 THEN 0.0 ELSE 600 * 800.0 END), 0), 0)), 9) AS image_area_ratio FROM documents GROUP BY source, doc_id")
+def image_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of each page under images."""
+    d = t.table(spark, sf_dir, "documents").select(F.col("source").alias("doc"), F.col("doc_id").alias("page"), (F.col("n_chars") % 700).cast("double").alias("image_width"))
+    images = d.withColumn("image_height", F.lit(300.0))
+    sizes = d.select("doc", "page", F.lit(600.0).alias("width"), F.when(F.col("page") % 9 == 0, 0.0).otherwise(800.0).alias("height"))
+    return pages.image_coverage(images, sizes).withColumn("image_area_ratio", F.round("image_area_ratio", 9))
+
+
+@query("SELECT doc, page FROM (SELECT source AS doc, (doc_id % 70)::INT AS page FROM documents) a JOIN (SELECT source, count(*) AS n FROM documents GROUP BY 1) b ON a.doc = b.source WHERE page BETWEEN 1 AND n")
+def existing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages asked for that their document has."""
+    d = t.table(spark, sf_dir, "documents")
+    counts = d.groupBy(F.col("source").alias("doc")).agg(F.count("*").alias("page_count"))
+    return pages.existing_pages(d.select(F.col("source").alias("doc"), (F.col("doc_id") % 70).cast("int").alias("page")), counts)
+
+
+@query(f"WITH {t.PAGES} SELECT doc, count(*) AS pages, sum(n_chars)::BIGINT AS total_chars FROM page_text GROUP BY doc")
+def profile_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence for a draft profile of each document, by its totals."""
+    p = t.pages(spark, sf_dir)
+    found = pages.profile_evidence(p.select("doc", "page", "text"), p.select("doc", "page", "n_chars", (F.col("page") % 2).alias("n_rotated")))
+    return found.select("doc", F.size("pages_sampled").cast("long").alias("pages"), F.col("rotation.total_chars").alias("total_chars"))

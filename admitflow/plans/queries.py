@@ -420,3 +420,13 @@ def rotation_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sampled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve evenly spaced pages of each document."""
     return pages.sample_pages(t.pages(spark, sf_dir).groupBy("doc").agg(F.count("*").cast("int").alias("total")), 12)
+
+
+@query(f"""WITH {_CANDIDATES}, others AS (SELECT code, count(DISTINCT method) AS m FROM cand GROUP BY code
+    ), sure AS (SELECT code, bool_and(confidence = 1.0) AS all_sure, count(*) FILTER (WHERE confidence < 1.0) AS weak FROM voted GROUP BY code)
+    SELECT code, true AS needs_review, (weak + 1 + CASE WHEN m = 1 THEN 4 ELSE 0 END)::INT AS weak_fields FROM sure JOIN others USING (code)""")
+def reconciled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records reconciled from three methods: whether they need review, and in how many fields (the duration, which no
+    method fills, always; code, score, tree and exclusions where only one method has the record)."""
+    merged = ensemble.reconcile(_candidates(spark, sf_dir))
+    return merged.select("code", "needs_review", F.size("weak_fields").alias("weak_fields"))

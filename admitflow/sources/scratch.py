@@ -5,10 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, or below a temporary one where that is unset, as in local runs."""
     base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/admitflow-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written to a scratch folder and read again: its lineage ends there, and executors may be lost."""
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
