@@ -224,3 +224,14 @@ def test_hooks(spark):
         assert sorted(r.name for r in hooks.apply_hooks(records).collect()) == ["A", "b", "c"]
     finally:
         hooks.HOOKS.clear()
+
+
+def test_known_names_and_pages(spark):
+    from admitflow.functions import names
+
+    entries = spark.createDataFrame([("University Of  Johannesburg (UJ)", "uj"), ("KwaZulu-Natal CAO", "x"), ("Some College", "y"), ("WITS", "w")], "display_name string, source_id string")
+    got = {r.source_id: (r.status, r.institution_id) for r in discovery.annotate(entries, names.institution_names(spark)).collect()}
+    assert got == {"uj": ("MAPPED", "uj"), "x": ("SKIPPED_MULTI_INSTITUTION", None), "y": ("UNMAPPED", None), "w": ("MAPPED", "wits")}
+    known = names.table_pages(spark)
+    report = ensemble.page_report(known.where("page <> 95").unionByName(spark.createDataFrame([("uj_2027", 1)], known.schema)), known).first()
+    assert (report.hits, report.missed, report.extra, report.passed) == (41, 1, 1, True)
