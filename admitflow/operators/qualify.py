@@ -99,17 +99,19 @@ def qualify(marks: DataFrame, requests: DataFrame, programmes: DataFrame, instit
     every = offered.select("institution_id").distinct()
     pairs = named.unionByName(open_.join(every, F.lit(True), "inner").select(named.columns))
     judged = pairs.join(rules, "institution_id").withColumn("rule_failures", evaluate(F.col("nodes"), F.col("marks"), F.col("levels"), F.col("excluded_subjects")))
-    judged = judged.select("learner_id", "institution_id", "rule_id", "marks", "scores", "academic_year", "include_near_misses", "rule_failures")
+    judged = judged.select("learner_id", "institution_id", "rule_id", "marks", "scores", "academic_year", "include_near_misses", "rule_failures", F.size("rule_failures").alias("n_rule_failures"))
 
     plain = offered.select("institution_id", "rule_id", "scoring_strategy", F.col("academic_year").alias("year"), "qualification_code", "name", "faculty", "campus", "duration_years", "selection_notes", "ordinal", "score")
     both = judged.join(plain, ["institution_id", "rule_id"]).where("academic_year is null or academic_year = year")
     both = both.withColumn("score_actual", F.element_at("scores", F.col("scoring_strategy"))).withColumn("score_required", threshold(F.col("score"), F.col("marks")))
+    # Counted without the messages, so that these are made only where a caller selects them.
+    short = F.col("score_required").isNull() | (F.col("score_actual") < F.col("score_required"))
+    both = both.withColumn("n_failures", F.col("n_rule_failures") + short.cast("int"))
+    bucket = F.when(F.col("n_failures") == 0, "qualified").when(F.col("n_failures").between(1, 2) & F.col("include_near_misses"), "near_miss").otherwise("none")
     return both.select(
         "learner_id", "institution_id", F.col("year").alias("academic_year"), "qualification_code", "name", "faculty", "campus", "duration_years", "selection_notes", "ordinal",
-        "score_required", "score_actual", (F.col("score_actual") - F.col("score_required")).alias("margin"), "include_near_misses",
-        F.concat(score_failures(F.col("score"), F.col("score_required"), F.col("score_actual")), "rule_failures").alias("failures"),
-    ).withColumn("n_failures", F.size("failures")).withColumn(
-        "bucket", F.when(F.col("n_failures") == 0, "qualified").when(F.col("n_failures").between(1, 2) & F.col("include_near_misses"), "near_miss").otherwise("none")
+        "score_required", "score_actual", (F.col("score_actual") - F.col("score_required")).alias("margin"),
+        F.concat(score_failures(F.col("score"), F.col("score_required"), F.col("score_actual")), "rule_failures").alias("failures"), "n_failures", bucket.alias("bucket"),
     )
 
 
