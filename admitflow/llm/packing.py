@@ -7,6 +7,7 @@ as a chunk of a few million tokens already packs without waste. Chunks are bound
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ class Encoder:
     characters that can't be printed are encoded whole, by the tokenizer alone.
     """
 
-    def __init__(self, path: str, most: int = 1_200_000):
+    def __init__(self, path: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -35,32 +36,44 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.most = most
 
+        self.model = self.tokenizer.model
+        # The vocabulary shows each byte as a character: itself where it is visible, else the next one from 256 on.
+        hidden = [b for b in range(256) if b not in {*range(33, 127), *range(161, 173), *range(174, 256)}]
+        self.shown = [chr(256 + hidden.index(b)) if b in hidden else chr(b) for b in range(256)]
         self.line_feed = self._whole("\n")
         self.fixed = {"": b"", "\n": self.line_feed, " ": self._whole(" ")}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a piece that the vocabulary takes whole, by its merges alone: letters, or punctuation."""
+        ids = [x.id for x in self.model.tokenize("".join(map(self.shown.__getitem__, word.encode())))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _learn(self, pieces: list[str]) -> None:
         """Looks up all new pieces; punctuation behind letters is a piece of its own to the vocabulary."""
-        known, split, plain = self.known, [], []
+        known, others = self.known, []
         for piece in pieces:
             word = piece.rstrip(".,!?;:")
-            if len(word) < len(piece) and word.lstrip(" ").isalpha():
-                split.append((piece, word, piece[len(word) :]))
+            if word[word[:1] == " " :].isalpha() and max(word) < "\u0590":
+                if word not in known:
+                    known[word] = self._word(word)
+                if len(word) < len(piece):
+                    tail = piece[len(word) :]
+                    if tail not in known:
+                        known[tail] = self._word(tail)
+                    known[piece] = known[word] + known[tail]
             else:
-                plain.append(piece)
-        self._learn_plain([*plain, *({x for _, *parts in split for x in parts} - known.keys() - set(plain))])
-        for piece, word, tail in split:
-            known[piece] = known[word] + known[tail]
-
-    def _learn_plain(self, pieces: list[str]) -> None:
-        """Looks up pieces as the lines of one text; none of them holds a line feed."""
-        coded = self._whole("\n".join(pieces))
+                others.append(piece)
+        if not others:
+            return
+        # As the lines of one text; none of them holds a line feed.
+        coded = self._whole("\n".join(others))
         ends = np.flatnonzero(np.frombuffer(coded, "<u4") == int.from_bytes(self.line_feed, "little")) * 4
         starts = np.concatenate([[0], ends + 4])
-        for piece, start, end in zip(pieces, starts.tolist(), [*ends.tolist(), len(coded)]):
-            self.known[piece] = coded[start:end]
+        for piece, start, end in zip(others, starts.tolist(), [*ends.tolist(), len(coded)]):
+            known[piece] = coded[start:end]
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         known = self.known
