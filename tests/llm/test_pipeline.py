@@ -66,3 +66,20 @@ def test_run_gives_the_same_rows(spark, stages):
     key = lambda rows: zlib.crc32(repr(sorted((r.doc_id, r.doc_tokens) for r in rows)).encode())
     assert sum(r.length for r in got) == sum(r.length for r in stages[5])
     assert {r.doc_id for r in got} == {r.doc_id for r in stages[5]} and key({(r.doc_id, r.doc_tokens): r for r in got}.values()) == key({(r.doc_id, r.doc_tokens): r for r in stages[5]}.values())
+
+
+def test_odd_documents_pass_all_stages(spark):
+    long_text = "the long text " + " ".join(f"word{k % 9000}" for k in range(30_000))
+    good = "A clean sentence of ordinary words that says nothing much, and goes on for a while to be one."
+    rows = [(1, None, None, "a"), (2, "", "en", "b"), (3, good, "en", "c"), (3, good, "en", "c"), (4, good, "en", "d"), (None, good + " More of it follows here.", "en", "e"), (5, long_text, "en", "f")]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, lang string, score string, quality string, accepted int")
+    before = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == before.columns, name
+    kept = sorted((r.doc_id or 0, r.score, r.quality, r.accepted) for r in docs.collect())
+    assert (0, "e", "x", 1) in kept and (3, "c", "x", 1) in kept and not any(k[0] in (1, 2, 4) for k in kept) and len(kept) == len(set(kept))
+    empty = before.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, SF)
+    assert empty.count() == 0
