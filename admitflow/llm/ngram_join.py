@@ -258,6 +258,7 @@ def ngram_jaccard_join(docs: DataFrame, threshold: float = 0.8, n_gram: int = 5,
     named = named.withColumn("label", F.coalesce("label", "c"))
     lowest = named.groupBy("label").agg(F.min("copy_id").alias("class_id"))
     named = scratch.save(named.join(lowest, "label").select("key", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links")), "named")
+    scratch.drop("classes", "edges", "components", "checked")
     return signed.join(named, "key", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("n").cast("long").alias("n_grams")
     )
