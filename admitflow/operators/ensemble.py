@@ -130,7 +130,8 @@ def gate(candidates: DataFrame, truth: DataFrame, least_recall: float = 0.98, mo
     relevant = voted.join(unpopulated_fields(voted), "field", "left_anti")
     queue = voted.select("code").distinct().join(relevant.groupBy("code").agg(F.bool_or(F.col("confidence") < 1).alias("review")), "code", "left").agg(F.count("*").alias("records"), F.count_if(F.coalesce("review", F.lit(False))).alias("for_review"))
     ratio = lambda x, y: F.coalesce(F.try_divide(F.col(x).cast("double"), F.col(y)), F.lit(0.0))
-    one = recall.crossJoin(wrong).crossJoin(queue)  # three single rows
+    row = lambda df: df.select(F.struct("*")).scalar()
+    one = recall.select("*", row(wrong).alias("w"), row(queue).alias("q")).select("present", "found", "w.*", "q.*")
     one = one.withColumns({"recall": ratio("found", "present"), "false_agreement": ratio("wrong", "agreed"), "queue_fraction": ratio("for_review", "records")})
     return one.withColumn("passed", (F.col("recall") > least_recall) & (F.col("false_agreement") < most_wrong))
 

@@ -93,11 +93,9 @@ def qualify(marks: DataFrame, requests: DataFrame, programmes: DataFrame, instit
     learners = learners.withColumn("scores", scores)
 
     offered = prepared.join(institutions.select(F.col("id").alias("institution_id"), "scoring_strategy"), "institution_id")
-    asked = learners.withColumn("institution_id", F.explode_outer("institutions"))
-    named, open_ = asked.where("institution_id is not null"), asked.where("institutions is null").drop("institution_id")
+    every = offered.agg(F.array_sort(F.collect_set("institution_id"))).scalar()
+    pairs = learners.withColumn("institution_id", F.explode(F.coalesce("institutions", every)))
     rules = offered.groupBy("institution_id", "rule_id").agg(F.first("nodes").alias("nodes"), F.first("excluded_subjects").alias("excluded_subjects"))
-    every = offered.select("institution_id").distinct()
-    pairs = named.unionByName(open_.join(every, F.lit(True), "inner").select(named.columns))
     judged = pairs.join(rules, "institution_id").withColumn("rule_failures", evaluate(F.col("nodes"), F.col("marks"), F.col("levels"), F.col("excluded_subjects")))
     judged = judged.select("learner_id", "institution_id", "rule_id", "marks", "scores", "academic_year", "include_near_misses", "rule_failures", F.size("rule_failures").alias("n_rule_failures"))
 
