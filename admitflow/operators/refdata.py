@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocabulary as v
-from .rules import flatten_trees
 
 _ERROR = "tag string, error string"
 
@@ -43,13 +45,44 @@ def validate(programmes: DataFrame, institutions: DataFrame) -> DataFrame:
     return out.unionByName(trees)
 
 
+def tree_problems(text: str) -> list[tuple[str, str]]:
+    """(path, problem) of one rule tree, in the order of its nodes; paths start at ``$``."""
+    out, open_ = [], [("$", json.loads(text))]
+    ranged = lambda n: isinstance(n, (int, float)) and 1 <= n <= 7
+    while open_:
+        path, rule = open_.pop()
+        kind = rule.get("kind") if isinstance(rule, dict) else None
+        if not isinstance(rule, dict):
+            out.append((path, "not an object"))
+        elif kind in ("all", "any"):
+            rules = rule.get("rules") or []
+            if not rules:
+                out.append((path, f"empty {kind} node"))
+            open_ += [(f"{path}.{kind}[{n}]", r) for n, r in reversed(list(enumerate(rules)))]
+        elif kind == "subject":
+            if ("subject" in rule) == ("language" in rule):
+                out.append((path, "set exactly one of subject/language"))
+            if "subject" in rule and rule["subject"] not in v.SUBJECTS:
+                out.append((path, f"unknown subject '{rule['subject']}'"))
+            if "language" in rule and rule["language"] not in v.LANGUAGE_NAMES:
+                out.append((path, f"unknown language family '{rule['language']}'"))
+            out += [(path, f"{k} {rule[k]} out of range 1-7") for k in ("min_level", "min_level_fal") if k in rule and not ranged(rule[k])]
+        elif kind == "any_additional_language":
+            if not ranged(rule.get("min_level", 0)):
+                out.append((path, "min_level out of range"))
+        else:
+            out.append((path, f"unknown rule kind '{kind}'"))
+    return out
+
+
 def tree_errors(programmes: DataFrame) -> DataFrame:
-    """(subjects, path, problem) of each distinct rule tree; paths start at ``$``."""
-    n = flatten_trees(programmes).select("subjects", F.explode("nodes").alias("n")).select("subjects", "n.*")
-    bad = n.where("kind = 'malformed'").select("subjects", "path", F.regexp_replace("message", "^Malformed rule: ", "").alias("problem"))
-    unknown = n.where((F.col("kind") == "subject") & ~F.col("key").isin(v.SUBJECTS)).select("subjects", "path", F.concat(F.lit("unknown subject '"), "key", F.lit("'")).alias("problem"))
-    empty = n.where("kind = 'all' and size(children) = 0").select("subjects", "path", F.lit("empty all node").alias("problem"))
-    return bad.unionByName(unknown).unionByName(empty)
+    """(subjects, path, problem) of each distinct rule tree; one small Python step per distinct tree."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame([(t, *p) for t in frame["subjects"] for p in tree_problems(t)], columns=["subjects", "path", "problem"])
+
+    return programmes.select("subjects").where("subjects is not null").distinct().mapInPandas(run, "subjects string, path string, problem string")
 
 
 def with_source_file(errors: DataFrame, programmes: DataFrame) -> DataFrame:

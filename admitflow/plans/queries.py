@@ -133,7 +133,7 @@ def _broken(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT tag, unnest(['implausible APS 9', 'unknown requires_subject ''alchemy''']) FROM g WHERE ordinal % 40 = 4
     UNION ALL SELECT tag, 'implausible APS ' || (least + 2) FROM g WHERE conditional AND least + 2 > 48 AND ordinal % 40 NOT IN (3, 4)
     UNION ALL SELECT tag, 'unknown excluded subject ''alchemy''' FROM g WHERE ordinal % 60 = 5
-    UNION ALL SELECT tag, unnest([tag || '.all[0]: unknown subject ''alchemy''', tag || '.all[1]: Unknown rule kind ''nothing''']) FROM g WHERE ordinal % 80 = 6"""
+    UNION ALL SELECT tag, unnest([tag || '.all[0]: unknown subject ''alchemy''', tag || '.all[1]: unknown rule kind ''nothing''']) FROM g WHERE ordinal % 80 = 6"""
 )
 def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every problem of a dataset with faults."""

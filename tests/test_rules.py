@@ -179,3 +179,20 @@ def test_qualification_of_one_learner(spark):
         q.check_strategies(spark.createDataFrame([("x", "X", "nope")], "id string, name string, scoring_strategy string"))
     bad = spark.createDataFrame([(2, 0, "alchemy", 50), (2, 1, "music", 101)], given.schema)
     assert q.validate_requests(bad)[1].first().reasons == "number of subjects; unknown subject; percentage out of range"
+
+
+def test_problems_of_trees():
+    from admitflow.operators.refdata import tree_problems
+
+    tree = both(subject("alchemy", 3), either(), language("latin", 9, min_level_fal=0), {"kind": "subject", "min_level": 3}, extra(8), {"kind": "x"}, both(subject("music", 3), "text"))
+    assert tree_problems(json.dumps(tree)) == [
+        ("$.all[0]", "unknown subject 'alchemy'"),
+        ("$.all[1]", "empty any node"),
+        ("$.all[2]", "unknown language family 'latin'"),
+        ("$.all[2]", "min_level 9 out of range 1-7"),
+        ("$.all[2]", "min_level_fal 0 out of range 1-7"),
+        ("$.all[3]", "set exactly one of subject/language"),
+        ("$.all[4]", "min_level out of range"),
+        ("$.all[5]", "unknown rule kind 'x'"),
+        ("$.all[6].all[1]", "not an object"),
+    ]
