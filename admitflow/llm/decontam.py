@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
+
 _SPACES = bytes(32 if chr(i).isspace() and i < 128 else i for i in range(256))
 _P = np.uint64(0x9E3779B97F4A7C15)
 #: Steps of the walk and stride in words, by least length of an item in bytes.
@@ -244,7 +246,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, max_distance: float =
                         columns = [[ids[d] for d, *_ in got], [detector.items[i][0] for _, i, *_ in got], [g[2] for g in got], [len(detector.items[g[1]][1]) for g in got], [g[3] for g in got], [g[4] for g in got]]
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "distance", "item_bytes", "start", "end"])
 
-        one = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, item_id long, distance long, item_bytes long, start long, end long")
+        one = docs.select("doc_id", "text").mapInArrow(released(run), "doc_id long, item_id long, distance long, item_bytes long, start long, end long")
         out = one if out is None else out.unionByName(one)
     return out if out is not None else docs.sparkSession.createDataFrame([], "doc_id long, item_id long, distance long, item_bytes long, start long, end long")
 
@@ -261,5 +263,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_distance: float = 0.2,
                     hit = {d for d, *_ in detector.search(texts)}
                     yield part.filter(pa.array([d not in hit for d in range(len(texts))]))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(released(run), docs.schema)
     return docs

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Forest, Scratch, WordHashes, connected_components, gram_hashes, stream_groups
+from .common import Forest, Scratch, WordHashes, connected_components, gram_hashes, released, stream_groups
 
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
@@ -230,7 +230,7 @@ def ngram_jaccard_join(docs: DataFrame, threshold: float = 0.8, n_gram: int = 5,
     spark = docs.sparkSession
     scratch = Scratch(spark)
     docs = docs.select("doc_id", "text").where("doc_id is not null")
-    signed = scratch.save(docs.mapInArrow(_sign(n_gram), "doc_id long, key binary, n int, sig binary"), "signed")
+    signed = scratch.save(docs.mapInArrow(released(_sign(n_gram)), "doc_id long, key binary, n int, sig binary"), "signed")
     classes = signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("mult"), F.first("sig").alias("sig"))
     classes = scratch.save(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
 
@@ -248,7 +248,7 @@ def ngram_jaccard_join(docs: DataFrame, threshold: float = 0.8, n_gram: int = 5,
     near = near.join(sizes, "label").select(F.col("id").alias("c"), F.col("label").alias("comp"), F.col("size").alias("parts"))
     near = near.join(classes.select("c", "copy_id", "mult", "key"), "c")
     texts = docs.join(near.withColumnRenamed("copy_id", "doc_id"), "doc_id").select("text", "key", "c", "mult", "comp", "parts")
-    sets = texts.mapInArrow(_shingles(n_gram), "c long, mult long, comp long, parts long, grams binary")
+    sets = texts.mapInArrow(released(_shingles(n_gram)), "c long, mult long, comp long, parts long, grams binary")
     pairs = _blocks(sets, "parts", block)
     checked = scratch.save(stream_groups(pairs, ["comp", "low", "high"], _verify(threshold), "c long, links long, root long"), "checked")
 

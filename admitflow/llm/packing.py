@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .common import released
+
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
 
 
@@ -173,7 +175,7 @@ def pack_sequences(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id
         if ids:
             yield _rows(ids, coded, capacity, linear, quadratic, first)[0]
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(released(run), SCHEMA)
 
 
 def _rows(ids: list, coded: list[bytes], capacity: int, linear: float, quadratic: float, first: int) -> tuple[pa.RecordBatch, int]:

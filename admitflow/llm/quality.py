@@ -17,6 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
+
 DIMS = 4096
 LABELLERS = ("capitals", "symbols", "endings", "repeats", "variety", "lines", "cells")
 _UPPER, _ALPHA, _SYMBOL = (np.array([chr(i) in s for i in range(256)]) for s in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "#$%&*|<>{}[]^~@+=_\\/!"))
@@ -126,14 +128,14 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train_quality_model(docs: DataFrame, sample_rows: int = 4000, epochs: int = 120) -> QualityModel:
     """Votes of all ``docs(doc_id, text)``; a scorer fitted on about ``sample_rows`` of them, chosen by hash of text."""
-    table = docs.select("text").mapInArrow(_vote, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
+    table = docs.select("text").mapInArrow(released(_vote), "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(3 ** len(LABELLERS), np.int64)
     for r in table:
         counts[r.pattern] = r.n
     caught, alarms, prior, posterior = estimate(counts)
     share = min(1.0, sample_rows / max(1, int(counts.sum())))
     sample = docs.select("text").where("text is not null").where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = sorted(sample.mapInArrow(_train, "pattern long, at binary, value binary").collect())
+    rows = sorted(sample.mapInArrow(released(_train), "pattern long, at binary, value binary").collect())
     weights, bias = np.zeros(DIMS), 0.0
     if rows:
         at = [np.frombuffer(r.at, np.int16).astype(np.int64) for r in rows]
@@ -175,4 +177,4 @@ def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.5)
                 score[blank], weak[blank] = 0, 0
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), pa.array(weak), pa.array(score >= threshold)], [*part.schema.names, *new])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
