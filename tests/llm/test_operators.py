@@ -333,6 +333,24 @@ def test_language_on_odd_rows(spark, odd):
     assert unseen < seen < 0 and small.words(["abc", "zzz"])[:, 1].tolist() == [4, 4]
 
 
+def test_language_models_in_slices(spark):
+    """Models past the bound on one task's size keep all grams and languages, and give the results of one piece."""
+    from admitflow.llm.langid import identify_language, train_language_models
+
+    rng = random.Random(8)
+    rows = [(k, words(rng, 60), "hot") for k in range(60)]
+    for lang, letters in (("rare", "klmnop"), ("other", "hijklm"), ("han", [chr(0x4E00 + k) for k in range(300)])):
+        rows += [(len(rows) + k, " ".join("".join(rng.choice(letters) for _ in range(4)) for _ in range(30)), lang) for k in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole, sliced = train_language_models(docs), train_language_models(docs, most_grams=2000)
+    assert not whole.rest and len(sliced.rest) > 3 and sliced.langs == ["han", "hot", "other", "rare"]
+    one, many = ({r.doc_id: r for r in identify_language(docs.withColumn("sums", docs.doc_id), m).collect()} for m in (whole, sliced))
+    assert {k: r.lang_pred for k, r in many.items()} == {k: lang for k, _, lang in rows}
+    for k, r in one.items():
+        assert (r.lang_pred, r.rejected, r.sums) == (many[k].lang_pred, many[k].rejected, k)
+        assert np.allclose([r.score, r.cross_entropy], [many[k].score, many[k].cross_entropy], rtol=1e-5)
+
+
 def test_archives(spark, tmp_path):
     from admitflow.llm.warc import archive_round_trip, parse, write_archives
 
