@@ -351,6 +351,19 @@ def test_language_models_in_slices(spark):
         assert np.allclose([r.score, r.cross_entropy], [many[k].score, many[k].cross_entropy], rtol=1e-5)
 
 
+def test_language_of_letters_beyond_16_bits(spark):
+    from admitflow.llm.langid import _grams, identify_language, train_language_models
+
+    for word in ("\U00020020\u4e00", "\u4e00\U00020020", "\U00030020", "a\U0001d400b"):
+        keys, owner = _grams([word, "ab"])
+        assert len(keys) == len(owner) and (owner[-3:] == 1).all() and (keys[-3:] == _grams(["ab"])[0]).all()
+    assert not set(_grams(["\U0001d400"])[0].tolist()) & set(_grams(["\ud400"])[0].tolist())
+    rows = [(k, "\U00020020\u4e00 \u4e00\U00020020\u4e8c " * 9, "zh") for k in range(4)] + [(4 + k, "\U0001d400\U0001d401 " * 9, "math") for k in range(4)] + [(8 + k, "\ud400\ud401 " * 9, "ko") for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = identify_language(docs, train_language_models(docs)).collect()
+    assert {r.doc_id: (r.lang_pred, r.rejected) for r in got} == {k: (lang, False) for k, _, lang in rows}
+
+
 def test_archives(spark, tmp_path):
     from admitflow.llm.warc import archive_round_trip, parse, write_archives
 
