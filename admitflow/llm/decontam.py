@@ -4,12 +4,13 @@ A CGK walk reads a string through shared random functions and emits a character
 edit distance get outputs at a small Hamming distance. Windows of documents and of benchmark items are walked; a
 repetition samples steps of the walk and compares the characters there. Windows are as wide as the smallest item of
 their class of lengths, every item gives a window at each of its words, and a document one at every few words, so an
-item is met at many places. A met item is verified at its whole length by exact edit distance. Documents never move:
+item is met at many places. Where text has no spaces, characters take the place of words. A met item is verified at its whole length by exact edit distance. Documents never move:
 the items go to them, in slices of bounded size.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,9 @@ from pyspark.sql import functions as F
 from .common import released
 
 _SPACES = bytes(32 if chr(i).isspace() and i < 128 else i for i in range(256))
+_WIDE_SPACES = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Bytes from which on each character of a word starts a window.
+LONG = 24
 _P = np.uint64(0x9E3779B97F4A7C15)
 #: Steps of the walk and stride in words, by least length of an item in bytes.
 CLASSES = ((96, 64, 2), (40, 40, 1), (12, 12, 1), (1, 1, 1))
@@ -27,13 +31,27 @@ CLASSES = ((96, 64, 2), (40, 40, 1), (12, 12, 1), (1, 1, 1))
 
 def normalise(text: str | None) -> bytes:
     """Lower-cased UTF-8 with white space as single bytes 32."""
-    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_SPACES).replace(b"\0", b" ")
+    text = (text or "").lower()
+    if not text.isascii():
+        text = _WIDE_SPACES.sub(" ", text)
+    return text.encode("utf-8", "surrogatepass").translate(_SPACES).replace(b"\0", b" ")
 
 
-def word_starts(buf: np.ndarray) -> np.ndarray:
+def window_starts(buf: np.ndarray) -> np.ndarray:
+    """Starts of words, of characters in words of ``LONG`` bytes or more, and of all characters of three bytes or
+    more, as the scripts without spaces are there."""
     solid = buf > 32
-    before = np.concatenate([[False], solid[:-1]])
-    return np.flatnonzero(solid & ~before)
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]])))
+    first, behind = edges[::2], edges[1::2]
+    starts = buf >= 0xE0
+    starts[first] = True
+    long = behind - first >= LONG
+    if long.any():
+        depth = np.zeros(len(buf) + 1, np.int8)
+        depth[first[long]] = 1
+        depth[behind[long]] = -1
+        starts |= (np.cumsum(depth[:-1], dtype=np.int8) > 0) & ((buf & 0xC0) != 0x80)
+    return np.flatnonzero(starts)
 
 
 class Myers:
@@ -126,7 +144,7 @@ def _window_list(items: list[tuple[int, bytes]], steps: int) -> tuple[np.ndarray
     buf = np.frombuffer(b"".join(t + bytes(steps + 1) for _, t in items), np.uint8)
     starts, owner, offset, base = [], [], [], 0
     for i, t in items:
-        at = word_starts(np.frombuffer(t, np.uint8))
+        at = window_starts(np.frombuffer(t, np.uint8))
         at = at[(at + steps * 5 // 8 <= len(t)) | (at == at[0])] if len(at) else at
         starts.append(at + base)
         owner.append(np.full(len(at), i))
@@ -156,7 +174,7 @@ class Detector:
         gap = 97
         buf = np.frombuffer(b"".join(t + bytes(gap) for t in texts), np.uint8)
         base = np.concatenate([[0], np.cumsum([len(t) + gap for t in texts])])
-        starts = word_starts(buf).astype(np.int32)
+        starts = window_starts(buf).astype(np.int32)
         found: dict[tuple[int, int], set[int]] = {}
         for lsh in self.classes:
             for at in range(0, len(starts), 1 << 16):
@@ -228,6 +246,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, max_distance: float =
     bytes of the document in that form, of the best place. Null and blank texts have nothing; rows of repeated
     ids are judged one by one; other columns are ignored.
 
+    An item that starts and ends inside one word of less than 24 bytes, of characters of one or two bytes, has no
+    window there and is missed.
     A window of 64 steps reads about 32 bytes, and a document gives one at every second word. Measured on passages of
     233 bytes (the mean) put into documents, six repetitions find all with a tenth of the words changed, over 0.99
     with 15 in 100, and over 0.95 with a tenth of the letters changed.

@@ -307,6 +307,32 @@ def test_contamination_recall(spark, odd):
     assert find_contamination(table, bench.limit(0)).count() == 0 and decontaminate(empty(spark), bench).count() == 0
 
 
+def test_contamination_without_spaces(spark):
+    """Exact copies of items without spaces, inside lines without spaces; and any white space as a space."""
+    from admitflow.llm.decontam import decontaminate, find_contamination
+
+    rng = random.Random(9)
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    thai = lambda n: "".join(chr(rng.randrange(0x0E01, 0x0E2F)) for _ in range(n))
+    code = lambda n: "".join(rng.choice("abcdefghij(){}=+-/.") for _ in range(n))
+    cyrillic = lambda n: "".join(chr(rng.randrange(0x430, 0x450)) for _ in range(n))
+    items, rows = [], []
+    for script, lengths in ((han, (5, 8, 20, 33, 60)), (thai, (8, 20, 40, 80)), (code, (16, 50, 97, 150)), (cyrillic, (10, 30, 60))):
+        for n in lengths:
+            for copy in range(4):
+                items.append((len(items), script(n)))
+                rows.append((len(rows), script(rng.randint(20, 90)) + items[-1][1] + script(rng.randint(20, 90))))
+    for space in ("\u3000", "\xa0", "\u2003", "\t"):
+        items.append((len(items), words(rng, 3)))
+        rows.append((len(rows), words(rng, 20) + space + items[-1][1].replace(" ", space) + space + words(rng, 20)))
+    expected = {(d, d) for d, _ in rows}
+    rows.append((len(rows), han(200)))
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.distance for r in find_contamination(docs, bench).collect()}
+    assert not expected - got.keys() and all(got[k] == 0 for k in expected)
+    assert [r.doc_id for r in decontaminate(docs, bench).collect()] == [len(rows) - 1]
+
+
 def test_language_held_out(spark):
     from admitflow.llm.queries import op9_language_id
 
