@@ -1,7 +1,12 @@
-"""License scans: winnowed template fingerprints pick candidates, banded alignment reports coverage and spans."""
+"""License scans: template fingerprints pick candidates, banded alignment reports coverage and spans.
+
+Templates are winnowed where a winnowed gram outlives all changed words that the coverage allows; else every gram
+counts, of fewer words where need be.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,30 +84,34 @@ class Scanner:
     def __init__(self, templates: dict[str, str], min_coverage: float, band: int):
         self.hashes, self.names, self.words = _Words(), list(templates), []
         self.least, self.band = min_coverage, band
-        index: list[tuple[int, int, int]] = []
+        index: dict[int, list[tuple[int, int, int]]] = {}
         for k, text in enumerate(templates.values()):
             words = self.hashes.array(text.split())
             self.words.append(words.tolist())
-            grams = gram_hashes(words, GRAM)
-            index += [(int(grams[p]), k, int(p)) for p in winnow(grams)]
-        index.sort()
-        self.keys = np.array([g for g, _, _ in index], np.uint64)
-        self.posts = [(k, p) for _, k, p in index]
-        self.filter = np.zeros(1 << 16, bool)
-        self.filter[self.keys >> np.uint64(48)] = True
+            # Changed or missing words that the coverage allows, and the run of words that they leave at least.
+            edits = len(words) - math.ceil(min_coverage * len(words) - 1e-9)
+            run = (len(words) - edits) // (edits + 1)
+            n = max(1, min(GRAM, run))
+            grams = gram_hashes(words, n)
+            index.setdefault(n, []).extend((int(grams[p]), k, int(p)) for p in (winnow(grams) if run >= GRAM + WINDOW - 1 else range(len(grams))))
+        self.tables = []
+        for n, posts in sorted(index.items()):
+            posts.sort()
+            keys, filter_ = np.array([g for g, _, _ in posts], np.uint64), np.zeros(1 << 16, bool)
+            filter_[keys >> np.uint64(48)] = True
+            self.tables.append((n, keys, [(k, p) for _, k, p in posts], filter_))
 
     def scan(self, text: str) -> list[tuple[str, float, int, int, int]]:
         """(template, coverage, matched words, first word, word behind the last) of spans that don't overlap."""
         words = self.hashes.array(text.split())
-        grams = gram_hashes(words, GRAM)
-        at = np.flatnonzero(self.filter[grams >> np.uint64(48)])
-        if not len(at):
-            return []
-        low, high = np.searchsorted(self.keys, grams[at], "left"), np.searchsorted(self.keys, grams[at], "right")
         places: dict[tuple[int, int], int] = {}
-        for g, s, e in zip(at.tolist(), low.tolist(), high.tolist()):
-            for k, p in self.posts[s:e]:
-                places.setdefault((k, (g - p) // (self.band + 1)), g - p)
+        for n, keys, posts, filter_ in self.tables:
+            grams = gram_hashes(words, n)
+            at = np.flatnonzero(filter_[grams >> np.uint64(48)])
+            low, high = np.searchsorted(keys, grams[at], "left"), np.searchsorted(keys, grams[at], "right")
+            for g, s, e in zip(at.tolist(), low.tolist(), high.tolist()):
+                for k, p in posts[s:e]:
+                    places.setdefault((k, (g - p) // (self.band + 1)), g - p)
         found = set()
         for (k, _), start in places.items():
             a = self.words[k]

@@ -252,6 +252,26 @@ def test_licenses(spark, odd):
     assert align([1, 2, 3, 4], [9, 1, 2, 8, 4], 1, 2) == (3, 1, 5)
 
 
+def test_licenses_with_changed_words():
+    """Each template is found with any words changed that the alignment and the coverage allow."""
+    from itertools import combinations, islice
+
+    from admitflow.llm.licenses import TEMPLATES, Scanner, align
+
+    scanner = Scanner(TEMPLATES, 0.8, 4)
+    for name, text in TEMPLATES.items():
+        own = text.split()
+        edits = len(own) // 5
+        for at in islice(combinations(range(len(own)), edits), 300):
+            changed = [f"changed{i}" if i in at else w for i, w in enumerate(own)]
+            if align(*(scanner.hashes.array(t).tolist() for t in (own, changed)), 0, 8)[0] < 0.8 * len(own):
+                continue
+            got = scanner.scan("one two " + " ".join(changed) + " three four")
+            assert any(len(own) - edits <= m for _, _, m, _, _ in got), (name, changed, got)
+    assert [f[0] for f in scanner.scan("Released under an MIT License")] == ["MIT"]
+    assert scanner.scan("") == [] and scanner.scan("licensed under") == []
+
+
 def edit_within(pattern, text):
     row = [0] * (len(text) + 1)
     for i, x in enumerate(pattern, 1):
