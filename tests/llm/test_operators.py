@@ -170,9 +170,8 @@ def test_packing(spark, odd, tokenizer):
     from admitflow.llm.packing import pack_sequences
 
     whole = Tokenizer.from_file(tokenizer)
-    whole.encode_special_tokens = True
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    tricky = ["a  b", " a b ", "a \n b", "\n\nx\n", "tab\tx y", "it's <|endoftext|> ok", "é ß  x", "x\x00y", "x\x1cy \x1c z", "", None, "12 34\n56", "a\r\nb"]
+    tricky = ["a  b", " a b ", "a \n b", "\n\nx\n", "tab\tx y", "it's <|endoftext|> ok", "é ß  x", "x\x00y", "x\x1cy \x1c z", "", None, "12 34\n56", "a\r\nb", "<|endoftext|><|endoftext|> x <|endoftext", " " * 30_000 + "x", "x" + "\n " * 20_000, "a" * 50_000, "don't I'LL we're", "中文 テスト 한국어", "² ½ ① ١٢"]
     rows = [(r.doc_id, r.text) for r in docs.collect()] + [(10_000 + k, t) for k, t in enumerate(tricky)]
     got = pack_sequences(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer, chunk_tokens=20_000).collect()
     ids = {d: np.array([*whole.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for d, t in rows}
@@ -193,6 +192,22 @@ def test_packing(spark, odd, tokenizer):
     assert pack_sequences(empty(spark), tokenizer).count() == 0
 
 
+def test_tokens_of_every_character(tokenizer):
+    from tokenizers import Tokenizer
+
+    from admitflow.llm.packing import Encoder
+
+    whole, own = Tokenizer.from_file(tokenizer), Encoder(tokenizer, 1)
+    assert own.fast
+    for c in [*range(0xD800), *range(0xE000, 0x20000, 7)]:
+        text = f"a{chr(c)}1{chr(c)}!{chr(c)} {chr(c)}  {chr(c)}{chr(c)} b"
+        assert own.ids(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), hex(c)
+    rng = random.Random(11)
+    for _ in range(3000):
+        text = "".join(rng.choice(["a", "b1", " ", "  ", "\n", "\t", "'s", "é", "\u00a0", "\u3000", "中", "<|endoftext|>", "<|", "!", "½"]) for _ in range(rng.randint(0, 30)))
+        assert own.ids(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+
+
 def test_packing_balances_cost():
     from admitflow.llm.packing import assign
 
