@@ -18,13 +18,19 @@ from pyspark.sql import functions as F
 class Scratch:
     """Tables written to the folder that all executors share.
 
-    The folder comes from ``spark.checkpoint.dir``; a temporary one is used only where that is unset, as in
-    local tests. A written table cuts the lineage and outlives lost executors.
+    The folder comes from ``spark.checkpoint.dir``. Where that is unset, a local session, as in tests, gets a
+    temporary one; on a cluster, whose executors would each write to their own disk, that is an error. A written
+    table cuts the lineage and outlives lost executors.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            master = spark.sparkContext.master
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            base = tempfile.mkdtemp(prefix="spark-")
         self.root = f"{base.rstrip('/')}/admitflow-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
@@ -42,6 +48,31 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bounded_sample(rows: DataFrame, size: int) -> DataFrame:
+    """About ``size`` of the distinct rows of ``rows``: those of the lowest 64-bit hash, all where there are no more.
+
+    The bound is the same at every size of the table: copies count once, and the limit of the hash has 64 bits, so
+    that it doesn't round to nothing.
+    """
+    mark = F.xxhash64(F.lit(3), *rows.columns)
+    distinct = rows.agg(F.approx_count_distinct(mark, 0.02)).first()[0]
+    top = min(2**64 - 1, (size << 64) // max(1, distinct)) - 2**63
+    return rows.where(mark <= F.lit(top).cast("long")).distinct()
+
+
+def join_per_key(rows: DataFrame, values: DataFrame, key: str, share: int = 256) -> DataFrame:
+    """``rows`` joined to ``values``, which has one row per key with ``n``, the number of rows of that key.
+
+    Keys with more than one row in ``share`` are broadcast, of which there can't be ``share``; their rows stay where
+    they are. All others meet in a shuffle, where no task gets much of one key. Rows of a key that ``values`` lacks
+    are left out. Both tables are read twice, so they should be written ones.
+    """
+    total = values.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot, cold = values.where(F.col("n") * share > total).drop("n"), values.where(F.col("n") * share <= total).drop("n")
+    beside = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(beside.join(cold.hint("merge"), key))
+
+
 def released(run: Callable) -> Callable:
     """``run`` for mapInArrow, such that what a task has freed goes back to the system when it ends.
 
@@ -181,21 +212,24 @@ class Forest:
 def connected_components(edges: DataFrame, scratch: Scratch, name: str, most_rounds: int = 40) -> DataFrame:
     """(id, label) for the nodes of ``edges(a, b)``: label is the component's smallest id.
 
-    Alternates large-star and small-star steps, each a min per node and a join, so neither a component nor the
-    edge list meets in one task; rounds grow with the logarithm of the size.
+    Alternates large-star and small-star steps, each a min per node and a join; rounds grow with the logarithm of the
+    size. The root of a large component has most of its edges: such nodes are broadcast (``join_per_key``), so no
+    component meets in one task.
     """
     now = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}0")
     seen = None
     for i in range(1, most_rounds + 1):
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(low, "a")
+        low = scratch.save(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "a")), f"{name}low")
+        large = join_per_key(both, low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        # Edges point down now, from a node to the least of its neighbours; a node has few of them.
+        large = scratch.save(large, f"{name}large")
+        low = scratch.save(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), f"{name}low")
+        joined = join_per_key(large, low, "a")
         small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
         now = scratch.save(small, f"{name}{i}")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        scratch.drop(f"{name}{i - 1}")
+        scratch.drop(f"{name}{i - 1}", f"{name}low", f"{name}large")
         if state == seen:
             break
         seen = state

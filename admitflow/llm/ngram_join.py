@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Forest, Scratch, WordHashes, connected_components, gram_hashes, released, stream_groups
+from .common import Forest, Scratch, WordHashes, connected_components, gram_hashes, join_per_key, released, stream_groups
 
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
@@ -184,17 +184,23 @@ def _intersections(a: list[np.ndarray], b: list[np.ndarray], width: int = 4096)
 
 
 def _shingles(n_gram: int):
-    """Shingle sets of the texts that have the set asked for: a doc_id may be repeated with other texts."""
+    """Shingle sets of the texts that have the set asked for: a doc_id may be repeated with other texts. Of repeated
+    rows, one sends its set on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, names = WordHashes(), ["c", "mult", "comp", "parts"]
+        words, names, sent = WordHashes(), ["c", "mult", "comp", "parts"], set()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 sets = []
-                for text, key in zip(part.column("text"), part.column("key").to_pylist()):
-                    grams = np.unique(gram_hashes(words.array((text.as_py() or "").lower().split()), n_gram)).tobytes()
-                    sets.append(grams if xxhash.xxh3_128_digest(grams) == key else None)
+                for text, key, c in zip(part.column("text"), part.column("key").to_pylist(), part.column("c").to_pylist()):
+                    grams = None
+                    if c not in sent:
+                        grams = np.unique(gram_hashes(words.array((text.as_py() or "").lower().split()), n_gram)).tobytes()
+                        grams = grams if xxhash.xxh3_128_digest(grams) == key else None
+                    if grams is not None:
+                        sent.add(c)
+                    sets.append(grams)
                 right = pa.array([s is not None for s in sets])
                 yield pa.RecordBatch.from_arrays([*(part.column(k).filter(right) for k in names), pa.array([s for s in sets if s is not None], pa.binary())], [*names, "grams"])
 
@@ -244,8 +250,8 @@ def ngram_jaccard_join(docs: DataFrame, threshold: float = 0.8, n_gram: int = 5,
     edges = scratch.save(stream_groups(members, ["bucket", "low", "high"], _prune(cutoffs(threshold, tolerance)), "a long, b long"), "edges")
 
     near = scratch.save(connected_components(edges, scratch, "near"), "components")
-    sizes = near.groupBy("label").agg(F.count("*").alias("size"))
-    near = near.join(sizes, "label").select(F.col("id").alias("c"), F.col("label").alias("comp"), F.col("size").alias("parts"))
+    sizes = scratch.save(near.groupBy("label").agg(F.count("*").alias("size"), F.count("*").alias("n")), "sizes")
+    near = join_per_key(near, sizes, "label").select(F.col("id").alias("c"), F.col("label").alias("comp"), F.col("size").alias("parts"))
     near = near.join(classes.select("c", "copy_id", "mult", "key"), "c")
     texts = docs.join(near.withColumnRenamed("copy_id", "doc_id"), "doc_id").select("text", "key", "c", "mult", "comp", "parts")
     sets = texts.mapInArrow(released(_shingles(n_gram)), "c long, mult long, comp long, parts long, grams binary")
@@ -255,10 +261,12 @@ def ngram_jaccard_join(docs: DataFrame, threshold: float = 0.8, n_gram: int = 5,
     links = checked.groupBy("c").agg(F.sum("links").alias("links"))
     found = connected_components(checked.select(F.col("c").alias("a"), F.col("root").alias("b")), scratch, "linked")
     named = classes.select("c", "key", "copy_id", "mult").join(links, "c", "left").join(found.withColumnRenamed("id", "c"), "c", "left")
-    named = named.withColumn("label", F.coalesce("label", "c"))
-    lowest = named.groupBy("label").agg(F.min("copy_id").alias("class_id"))
-    named = scratch.save(named.join(lowest, "label").select("key", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links")), "named")
-    scratch.drop("classes", "edges", "components", "checked")
-    return signed.join(named, "key", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.col("n").cast("long").alias("n_grams")
-    )
+    named = scratch.save(named.withColumn("label", F.coalesce("label", "c")), "labels")
+    lowest = scratch.save(named.groupBy("label").agg(F.min("copy_id").alias("class_id"), F.count("*").alias("n")), "lowest")
+    named = join_per_key(named, lowest, "label").select("key", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.col("mult").alias("n"))
+    named = scratch.save(named, "named")
+    scratch.drop("classes", "edges", "components", "checked", "sizes", "labels", "lowest")
+    whole = signed.select("doc_id", "key", F.col("n").cast("long").alias("n_grams"))
+    shared = join_per_key(whole.where("key is not null"), named, "key").select("doc_id", "class_id", "copy_id", "n_links", "n_grams")
+    blank = whole.where("key is null").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(0).cast("long").alias("n_links"), "n_grams")
+    return shared.unionByName(blank)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import released
+from .common import bounded_sample, released
 
 DIMS = 4096
 LABELLERS = ("capitals", "symbols", "endings", "repeats", "variety", "lines", "cells")
@@ -127,14 +127,17 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train_quality_model(docs: DataFrame, sample_rows: int = 4000, epochs: int = 120) -> QualityModel:
-    """Votes of all ``docs(doc_id, text)``; a scorer fitted on about ``sample_rows`` of them, chosen by hash of text."""
+    """Votes of all ``docs(doc_id, text)``; a scorer fitted on about ``sample_rows`` of their distinct rows.
+
+    The sample is bounded at every size and holds no copies, see ``bounded_sample``. An empty table gives a model
+    that scores 0.5.
+    """
     table = docs.select("text").mapInArrow(released(_vote), "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(3 ** len(LABELLERS), np.int64)
     for r in table:
         counts[r.pattern] = r.n
     caught, alarms, prior, posterior = estimate(counts)
-    share = min(1.0, sample_rows / max(1, int(counts.sum())))
-    sample = docs.select("text").where("text is not null").where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000))
+    sample = bounded_sample(docs.select("doc_id", "text").where("text is not null"), sample_rows).select("text")
     rows = sorted(sample.mapInArrow(released(_train), "pattern long, at binary, value binary").collect())
     weights, bias = np.zeros(DIMS), 0.0
     if rows:

@@ -57,7 +57,7 @@ class Automaton:
                     at += 1
                     self._set(self.step[value], at)
                 else:
-                    for byte in range(1, 256):
+                    for byte in range(256):
                         if kind == "any" or byte != 0x2F:
                             self._set(self.stay[byte], at)
             self.final.append((at // 64, np.uint64(at % 64)))

@@ -127,6 +127,8 @@ def test_url_rules(spark):
         (9, "http://é.COM/en/" + "y" * 5000, "é.com", "/en/" + "y" * 5000, "com/en/", "block"),
         (9, "", "", "", None, "allow"),
         (None, "http://b.net/de/", "b.net", "/de/", "net/de/", "allow"),
+        (10, "http://a.com/en/\0x\0/y", "a.com", "/en/\0x\0/y", "com/en/", "block"),
+        (11, "http://\0.org/es/", "\0.org", "/es/", "org/es/", "block"),
     ]
     table = spark.createDataFrame([(r[0], r[1], "h") for r in rows], "page_id long, url string, host string")
     got = [tuple(r) for r in filter_urls(table, url_rules()).collect()]
@@ -159,6 +161,77 @@ def test_quality_on_odd_rows(spark, odd):
     assert score_quality(empty(spark), train_quality_model(empty(spark))).count() == 0
 
 
+def test_samples_are_bounded(spark):
+    """A hot row counts once, a table of any size gives some rows, and a small one all its distinct rows."""
+    from pyspark.sql import functions as F
+
+    from admitflow.llm.common import bounded_sample
+
+    rows = spark.range(50_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).otherwise("hot").alias("text"))
+    got = [r.text for r in bounded_sample(rows, 1000).collect()]
+    assert 800 < len(got) < 1200 and len(set(got)) == len(got)
+    assert sorted(r.text for r in bounded_sample(rows.where("doc_id is null or doc_id < 10"), 1000).collect()) == ["1", "2", "4", "5", "7", "8", "hot"]
+    assert bounded_sample(rows.limit(0), 1000).count() == 0
+
+
+def test_quality_equals_brute_force(spark):
+    """Votes counted and accuracies estimated document by document, the scorer fitted on dense rows."""
+    from math import exp, log, prod
+
+    from admitflow.llm import quality as q
+
+    docs = [r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    model = q.train_quality_model(spark.read.parquet(f"{SF}/documents.parquet"), sample_rows=10**6)
+
+    def vote(text):
+        words, lines = text.split(), text.split("\n")
+        n, letters = max(1, len(words)), [c for c in text if c.isascii() and c.isalpha()]
+        shares = [
+            (sum(c.isupper() for c in letters) / max(1, len(letters)), 0.5, 0.2, 3),
+            (sum(text.count(c) for c in "#$%&*|<>{}[]^~@+=_\\/!") / max(1, len(text.encode())), 0.06, 0.02, 3),
+            (sum(not w[-1].isalnum() and w[-1] not in ".,;:?)\"'" for w in words) / n, 0.4, 0.1, 3),
+            (sum(a == b for a, b in zip(words, words[1:])) / n, 0.3, 0.1, 5),
+            (-len(set(words)) / n, -0.15, -0.45, 40),
+            (1 - len(set(lines)) / len(lines), 0.6, 0.2, 20),
+            (words.count("|") / n, 0.15, -1, 5),
+        ]
+        return [0 if len(words) < least else -1 if x > bad else 1 if x < good else 0 for x, bad, good, least in shares]
+
+    cast = [vote(t) for t in docs]
+    caught, alarms, prior, k = [0.4] * 7, [0.01] * 7, 0.9, range(7)
+    for _ in range(200):
+        good = []
+        for v in cast:
+            bad_, good_ = (share * prod(p[i] if v[i] < 0 else 1 - p[i] for i in k if v[i]) for p, share in ((caught, 1 - prior), (alarms, prior)))
+            good.append(good_ / (good_ + bad_))
+        caught = [min(0.99, max(0.15, (sum(1 - g for g, v in zip(good, cast) if v[i] < 0) + 2) / (sum(1 - g for g, v in zip(good, cast) if v[i]) + 5))) for i in k]
+        alarms = [min(0.1, max(1e-4, (sum(g for g, v in zip(good, cast) if v[i] < 0) + 0.1) / (sum(g for g, v in zip(good, cast) if v[i]) + 10))) for i in k]
+        prior = min(0.99, max(0.3, (sum(good) + 9) / (len(cast) + 10)))
+    assert np.allclose(list(model.caught.values()), caught) and np.allclose(list(model.alarms.values()), alarms) and np.isclose(model.prior, prior)
+
+    rows = sorted({(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.text is not None})
+    x, soft = np.zeros((len(rows), q.DIMS)), np.zeros(len(rows))
+    for i, (_, text) in enumerate(rows):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        at, value = q.features(text, raw, q.measure(text, raw))
+        np.add.at(x[i], at, value)
+        v = vote(text)
+        odds = log((1 - prior) / prior) + sum(log((caught[j] if v[j] < 0 else 1 - caught[j]) / (alarms[j] if v[j] < 0 else 1 - alarms[j])) for j in k if v[j])
+        soft[i] = 1 / (1 + exp(odds))
+    share = soft.mean()
+    importance = soft * 0.5 / share + (1 - soft) * 0.5 / (1 - share)
+    w, b, gw, gb = np.zeros(q.DIMS), 0.0, np.full(q.DIMS, 1e-3), 1e-3
+    for _ in range(120):
+        error = importance * (1 / (1 + np.exp(-(x @ w + b))) - soft) / len(rows)
+        step = x.T @ error + 1e-5 * w
+        gw, gb = gw + step**2, gb + error.sum() ** 2
+        w, b = w - 0.3 * step / np.sqrt(gw), b - 0.3 * error.sum() / np.sqrt(gb)
+    scores = {r.doc_id: r.quality for r in q.score_quality(spark.read.parquet(f"{SF}/documents.parquet").dropDuplicates(["doc_id"]), model).collect()}
+    for i, (d, text) in enumerate(rows):
+        if text.split():
+            assert abs(scores[d] - 1 / (1 + np.exp(-(x[i] @ w + b)))) < 0.01
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     return pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
@@ -394,6 +467,64 @@ def test_language_on_odd_rows(spark, odd):
     assert unseen < seen < 0 and small.words(["abc", "zzz"])[:, 1].tolist() == [4, 4]
 
 
+def brute_kneser_ney(texts, order=4):
+    """Interpolated Kneser-Ney from dictionaries: probability of the last character of a gram."""
+    counts = {o: Counter() for o in range(1, order + 1)}
+    for text in texts:
+        for w in text.lower().split():
+            padded = " " * (order - 1) + w + " "
+            counts[order].update(padded[i : i + order] for i in range(len(padded) - order + 1))
+    for o in range(order - 1, 0, -1):
+        counts[o] = Counter(g[1:] for g in counts[o + 1])
+    rare = {o: [sum(n == k for n in c.values()) for k in (1, 2)] for o, c in counts.items()}
+    discount = {o: min(0.95, max(0.05, a / max(1, a + 2 * b))) for o, (a, b) in rare.items()}
+
+    def p(gram, alphabet):
+        o = len(gram)
+        if not o:
+            return 1 / alphabet
+        same = {g: n for g, n in counts[o].items() if g[:-1] == gram[:-1]}
+        if not same:
+            return p(gram[1:], alphabet)
+        total = sum(same.values())
+        return max(same.get(gram, 0) - discount[o], 0) / total + discount[o] * len(same) / total * p(gram[1:], alphabet)
+
+    return p, set(counts[1])
+
+
+def test_language_equals_brute_force(spark):
+    """Cross-entropies of a dictionary implementation, on words seen in training."""
+    from math import log
+
+    from admitflow.llm.langid import identify_language, letters, train_language_models
+
+    rng = random.Random(12)
+    rows = [(k, words(rng, 12), "one") for k in range(6)] + [(10 + k, " ".join("".join(rng.choice("ghijklm") for _ in range(3)) for _ in range(9)), "two") for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = {lang: brute_kneser_ney([t for _, t, x in rows if x == lang]) for lang in ("one", "two")}
+    alphabet = len(set().union(*(a for _, a in models.values()))) + 1
+    got = {r.doc_id: r for r in identify_language(docs, train_language_models(docs)).collect()}
+    for d, text, lang in rows:
+        grams = [g for w in text.split() for padded in ["   " + w + " "] for g in (padded[i : i + 4] for i in range(len(padded) - 3))]
+        entropy = -sum(log(models[lang][0](g, alphabet)) for g in grams) / len(grams)
+        assert got[d].lang_pred == lang and abs(got[d].cross_entropy - entropy) < 1e-4, (d, entropy, got[d])
+    assert letters("x²y½①z3é") == ["x", "y", "z", "é"] and letters("½") == []
+
+
+def test_language_rejects_and_keeps_small_ones(spark):
+    """Figures alone are no letters; text of letters never learned is rejected; a language of two texts is learned."""
+    from admitflow.llm.langid import identify_language, train_language_models
+
+    rng = random.Random(13)
+    rows = [(k, words(rng, 40), "hot") for k in range(80)] + [(100 + k, " ".join("".join(rng.choice("uvwxyz") for _ in range(4)) for _ in range(25)), "rare") for k in range(2)]
+    model = train_language_models(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    odd = [(200, "\u0431\u0432\u0433\u0434 " * 40), (201, "\u00b2 \u00bd \u2460 12"), (202, words(rng, 40)), (203, "uvwx zyxw vuzy xwuv " * 3)]
+    got = {r.doc_id: r for r in identify_language(spark.createDataFrame(odd, "doc_id long, text string"), model).collect()}
+    assert got[200].rejected and got[200].lang_pred in ("hot", "rare")
+    assert (got[201].lang_pred, got[201].score, got[201].rejected) == ("und", 0.0, True)
+    assert (got[202].lang_pred, got[202].rejected) == ("hot", False) and got[203].lang_pred == "rare"
+
+
 def test_language_models_in_slices(spark):
     """Models past the bound on one task's size keep all grams and languages, and give the results of one piece."""
     from admitflow.llm.langid import identify_language, train_language_models
