@@ -122,6 +122,19 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
         FROM s QUALIFY rank <= 5""",
+    "op10_warc_revisits": """
+        WITH p AS (
+          SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS digest, row_number() OVER () AS n FROM pages
+        ), b AS (
+          SELECT DISTINCT digest, from_hex(digest)::BIT::VARCHAR AS bits FROM p
+        ), e AS (
+          SELECT digest, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            (1 + list_sum(list_transform(range(5), lambda j: (substr(bits, (5 * i + j + 1)::INT, 1))::INT * (16 >> j::INT))))::INT, 1)), '') AS payload_digest FROM b
+        ), r AS (
+          SELECT *, first_value(page_id) OVER w AS original, row_number() OVER w AS place FROM p WINDOW w AS (PARTITION BY digest ORDER BY page_id DESC NULLS LAST, n)
+        )
+        SELECT page_id, payload_bytes, payload_digest, CASE place WHEN 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN original END AS refers_to
+        FROM r JOIN e USING (digest)""",
     "op3_url_filters": """
         WITH u AS (
           SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
