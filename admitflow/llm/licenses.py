@@ -1,13 +1,17 @@
 """License scans: template fingerprints pick candidates, banded alignment reports coverage and spans.
 
-Templates are winnowed where a winnowed gram outlives all changed words that the coverage allows; else every gram
-counts, of fewer words where need be.
+Templates are the whole texts and headers in ``license_texts`` and one-line notices. They are winnowed where a
+winnowed gram outlives all changed words that the coverage allows; else every gram counts, of fewer words where need
+be. A long template is aligned only where as many of its fingerprints meet near one diagonal as must be left.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +20,7 @@ from pyspark.sql import DataFrame
 from .common import WordHashes, gram_hashes
 
 #: Well-known public notices.
-TEMPLATES = {
+NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "MIT": "Released under the MIT License",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
@@ -27,14 +31,17 @@ TEMPLATES = {
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
-    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
-    "Unlicense": "This is free and unencumbered software released into the public domain",
 }
 GRAM, WINDOW = 3, 2
 
 
+@cache
+def known_templates() -> dict[str, str]:
+    """Notices, and the whole texts (``-text``) and standard headers (``-header``) that come with the package."""
+    folder = Path(__file__).parent / "license_texts"
+    return {**NOTICES, **{f.stem: f.read_text(encoding="utf-8") for f in sorted(folder.glob("*.txt"))}}
+
+
 class _Words(WordHashes):
     """Hashes of words in lower case without the punctuation around them."""
 
@@ -83,14 +90,18 @@ def align(a: list[int], b: list[int], shift: int, band: int) -> tuple[int, int,
 class Scanner:
     def __init__(self, templates: dict[str, str], min_coverage: float, band: int):
         self.hashes, self.names, self.words = _Words(), list(templates), []
-        self.least, self.band = min_coverage, band
+        self.least, self.bands, self.hits = min_coverage, [], []
         index: dict[int, list[tuple[int, int, int]]] = {}
         for k, text in enumerate(templates.values()):
             words = self.hashes.array(text.split())
             self.words.append(words.tolist())
             # Changed or missing words that the coverage allows, and the run of words that they leave at least.
             edits = len(words) - math.ceil(min_coverage * len(words) - 1e-9)
-            run = (len(words) - edits) // (edits + 1)
+            run = -(-(len(words) - edits) // (edits + 1))
+            self.bands.append(max(band, min(16, len(words) // 50)))
+            # A changed word breaks as many windows as it lies in; a window left is one of WINDOW with its fingerprint.
+            windows = len(words) - GRAM - WINDOW + 2 - (GRAM + WINDOW - 1) * (edits + self.bands[-1])
+            self.hits.append(max(1, windows // WINDOW))
             n = max(1, min(GRAM, run))
             grams = gram_hashes(words, n)
             index.setdefault(n, []).extend((int(grams[p]), k, int(p)) for p in (winnow(grams) if run >= GRAM + WINDOW - 1 else range(len(grams))))
@@ -104,19 +115,22 @@ class Scanner:
     def scan(self, text: str) -> list[tuple[str, float, int, int, int]]:
         """(template, coverage, matched words, first word, word behind the last) of spans that don't overlap."""
         words = self.hashes.array(text.split())
-        places: dict[tuple[int, int], int] = {}
+        places: dict[tuple[int, int], list[int]] = defaultdict(lambda: [0, 0])
         for n, keys, posts, filter_ in self.tables:
             grams = gram_hashes(words, n)
             at = np.flatnonzero(filter_[grams >> np.uint64(48)])
             low, high = np.searchsorted(keys, grams[at], "left"), np.searchsorted(keys, grams[at], "right")
             for g, s, e in zip(at.tolist(), low.tolist(), high.tolist()):
                 for k, p in posts[s:e]:
-                    places.setdefault((k, (g - p) // (self.band + 1)), g - p)
+                    place = places[k, (g - p) // (self.bands[k] + 1)]
+                    place[0], place[1] = place[0] + 1, place[1] if place[0] else g - p
         found = set()
-        for (k, _), start in places.items():
-            a = self.words[k]
-            left = max(0, start - 2 * self.band)
-            matched, s, e = align(a, words[left : start + len(a) + 2 * self.band + 1].tolist(), start - left, 2 * self.band)
+        for (k, b), (_, start) in list(places.items()):
+            if sum(places[k, near][0] for near in range(b - 2, b + 3) if (k, near) in places) < self.hits[k]:
+                continue
+            a, wide = self.words[k], 2 * self.bands[k]
+            left = max(0, start - wide)
+            matched, s, e = align(a, words[left : start + len(a) + wide + 1].tolist(), start - left, wide)
             if matched >= self.least * len(a):
                 found.add((matched, k, left + s, left + e))
         out: list[tuple[str, float, int, int, int]] = []
@@ -132,11 +146,12 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, min_
     """One row per span of a license notice: doc_id, license, coverage, matched_words, start_word, end_word.
 
     Words are split at white space and compared in lower case without punctuation around them. A template is
-    reported where an alignment within ``band`` words of a fingerprint's diagonal matches ``min_coverage`` of its
-    words; of overlapping spans the one with more matched words stays. Null, empty and clean texts give no row,
+    reported where an alignment within ``2 * band`` words of a fingerprint's diagonal (more for long templates)
+    matches ``min_coverage`` of its words; of overlapping spans the one with more matched words stays, of these the
+    one with the higher coverage, then the first template. Null, empty and clean texts give no row,
     repeated rows are scanned one by one, other columns are ignored. Nothing is shuffled.
     """
-    templates = TEMPLATES if templates is None else templates
+    templates = known_templates() if templates is None else templates
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates, min_coverage, band)

@@ -8,11 +8,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch
+from .common import Scratch, join_per_key
 
 BITS = 6
 
@@ -56,18 +56,31 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, total = rows + n, total + int(size.sum())
 
 
+def _cells(rows: DataFrame, name: str) -> Column:
+    """Cell of a column, in the order of its values: each of the most frequent values begins one, spread over all cells;
+    null is cell 0."""
+    frequent = rows.where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("n")).orderBy(F.desc("n"), name).limit((1 << BITS) - 1).collect()
+    starts = sorted((r[0] for r in frequent), key=lambda v: v.encode("utf-8", "surrogatepass"))
+    at = F.lit(0)
+    for value in starts:
+        at = at + (F.col(name) >= F.lit(value)).cast("int")
+    return (F.coalesce(at, F.lit(0)) * (((1 << BITS) - 1) // max(1, len(starts)))).cast("long")
+
+
 def hilbert_shards(docs: DataFrame, shards: int = 16) -> DataFrame:
     """One row per row of ``docs(doc_id, text, lang, source)``: doc_id, size, text_crc32, law, shard, slot,
     grown_shard, curve.
 
-    The dimensions are source and lang (hashed to 64 cells each; null is its own value) and size on a logarithmic
-    scale. Rows with equal texts take the smallest source and lang among them, so they are neighbours on the curve.
-    Rows are sorted by curve index, text and doc_id, and cut into runs of near equal bytes: a row belongs to the
-    shard in which its middle byte falls. size is the text's UTF-8 bytes plus 1 (null text: 1). Repeated rows get
-    slots of their own; an empty table gives no row.
+    The dimensions are source and lang, in the order of their values and with cells that the most frequent values
+    begin (null is cell 0), and size in half powers of two,
+    spread over the cells from the least to the largest. Rows with equal texts take the smallest source and lang
+    among them, so they are neighbours on the curve and only the shards' ends can part them: a group of equal texts
+    smaller than a shard lies in at most two shards. Rows are sorted by curve index, text and doc_id, and cut into
+    runs of near equal bytes: a row belongs to the shard in which its middle byte falls. size is the text's UTF-8
+    bytes plus 1 (null text: 1). Repeated rows get slots of their own; an empty table gives no row.
 
     Texts are read once and not moved. The sort is a range partitioning with one total per partition to the driver,
-    so neither a hot cell nor a hot text lies in one task.
+    and texts with many copies are broadcast (``join_per_key``), so neither a hot cell nor a hot text lies in one task.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
@@ -80,13 +93,18 @@ def hilbert_shards(docs: DataFrame, shards: int = 16) -> DataFrame:
         "lang",
     )
     rows = scratch.save(rows, "rows")
-    key = ["hash", "text_crc32", "size"]
-    cell = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << BITS))
-    scale = F.least(F.lit((1 << BITS) - 1), F.floor(F.log2("size") * 2))
-    texts = rows.groupBy(*key).agg(F.min("source").alias("source"), F.min("lang").alias("lang"))
-    texts = texts.select(*key, _curve(cell("source"), cell("lang"), scale).alias("curve"))
-    ordered = rows.select("doc_id", *key).join(texts, key).repartitionByRange("curve", "hash", "text_crc32", "doc_id").sortWithinPartitions("curve", "hash", "text_crc32", "doc_id")
+    power = "(length(bin(size)) - 1)"
+    scale = F.expr(f"2 * {power} + int(size * size >= shiftleft(1L, 2 * {power} + 1))")
+    least, most = rows.agg(F.min(scale), F.max(scale)).first()
+    scale = F.floor((scale - (least or 0)) * ((1 << BITS) - 1) / max(1, (most or 0) - (least or 0)))
+    texts = rows.groupBy("hash", "text_crc32", "size").agg(F.min("source").alias("source"), F.min("lang").alias("lang"), F.count("*").alias("n"))
+    texts = texts.select("hash", "text_crc32", "size", "n", _curve(_cells(rows, "source"), _cells(rows, "lang"), scale.cast("long")).alias("curve"))
+    same = F.struct("hash", "text_crc32", "size").alias("same")
+    texts = scratch.save(texts.select(same, "curve", "n"), "texts")
+    ordered = join_per_key(rows.select("doc_id", same), texts, "same").select("doc_id", "same.*", "curve")
+    ordered = ordered.repartitionByRange("curve", "text_crc32", "hash", "doc_id").sortWithinPartitions("curve", "text_crc32", "hash", "doc_id")
     numbered = scratch.save(ordered.drop("hash").select("doc_id", "size", "text_crc32", "curve").mapInArrow(_number, "doc_id long, size long, text_crc32 long, curve long, part int, row long, before long"), "numbered")
+    scratch.drop("rows", "texts")
 
     parts = sorted(numbered.groupBy("part").agg(F.count("*").alias("rows"), F.sum("size").alias("size")).collect())
     starts, rows_before, before = [], 0, 0

@@ -321,15 +321,74 @@ def test_shards(spark, odd, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == docs.count()
 
 
+def test_shards_equal_brute_force(spark):
+    """Cells, order, cut and slots of every row from plain Python, and how the groups of equal texts are cut."""
+    import xxhash
+
+    from admitflow.llm.sharding import BITS, hilbert_index, hilbert_shards
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source")
+    rows = [tuple(r) for r in docs.collect()] + [(5000 + k, "copy of one text", "en", f"site{k % 3}") for k in range(60)] + [(6000, None, None, None), (6001, "", None, "a")]
+
+    def cells(values):
+        counts = Counter(v for v in values if v is not None)
+        starts = sorted(sorted(counts, key=lambda v: (-counts[v], v))[: (1 << BITS) - 1])
+        return lambda v: sum(v >= s for s in starts) * (63 // max(1, len(starts))) if v is not None else 0
+
+    source_cell, lang_cell = cells([r[3] for r in rows]), cells([r[2] for r in rows])
+    least = {}
+    for _, text, lang, source in rows:
+        for k, v in enumerate((source, lang)):
+            if v is not None:
+                least[text, k] = min(v, least.get((text, k), v))
+    half_power = lambda text: max(k for k in range(64) if (len((text or "").encode()) + 1) ** 2 >= 2**k)
+    low, high = (f(half_power(r[1]) for r in rows) for f in (min, max))
+    facts = []
+    for d, text, _, _ in rows:
+        raw = (text or "").encode()
+        size = len(raw) + 1
+        scale = (half_power(text) - low) * 63 // (high - low)
+        at = hilbert_index(np.array([[source_cell(least.get((text, 0))), lang_cell(least.get((text, 1))), scale]]), BITS)[0]
+        facts.append((int(at), zlib.crc32(raw), np.int64(np.uint64(xxhash.xxh64_intdigest(raw, 42))) if text is not None else 42, d, size))
+    total, before, slots, expected = sum(f[4] for f in facts), 0, Counter(), set()
+    for curve, crc, _, d, size in sorted(facts):
+        shard = (2 * before + size) * 16 // (2 * total)
+        expected.add((d, size, crc, shard, slots[shard], curve))
+        before, slots[shard] = before + size, slots[shard] + 1
+    table = spark.createDataFrame(rows, docs.schema)
+    got = hilbert_shards(table).collect()
+    assert {(r.doc_id, r.size, r.text_crc32, r.shard, r.slot, r.curve) for r in got} == expected and len(got) == len(rows)
+    groups = defaultdict(set)
+    for r in got:
+        groups[r.text_crc32, r["size"]].add(r.shard)
+    assert max(map(len, groups.values())) <= 2 and sum(len(g) > 1 for g in groups.values()) <= 15
+
+
+def test_shards_prune(spark, tmp_path):
+    """A filter on any dimension leaves most shards unread."""
+    from pyspark.sql import functions as F
+
+    from admitflow.llm.sharding import write_shards
+
+    rng = random.Random(17)
+    rows = [(k, "x" * int(2 ** rng.uniform(3, 11)), f"lang{rng.randrange(8)}", f"source{rng.randrange(8)}") for k in range(4000)]
+    write_shards(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), str(tmp_path / "p"), 64)
+    stored = spark.read.parquet(str(tmp_path / "p"))
+    by_shard = stored.groupBy("shard").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("lang", "source") for f in (F.min, F.max)], F.min(F.length("text")).alias("min_size"), F.max(F.length("text")).alias("max_size")).collect()
+    assert len(by_shard) == 64
+    for test in (lambda r: r.min_lang <= "lang3" <= r.max_lang, lambda r: r.min_source <= "source6" <= r.max_source, lambda r: r.min_size <= 50):
+        assert sum(map(test, by_shard)) <= 48, sum(map(test, by_shard))
+
+
 def test_licenses(spark, odd):
-    from admitflow.llm.licenses import TEMPLATES, align, scan_licenses
+    from admitflow.llm.licenses import align, known_templates, scan_licenses
 
     rng = random.Random(4)
     texts = {
         1: words(rng, 50),
         2: words(rng, 30) + "\nLicensed under the Apache License, Version 2.0.\n" + words(rng, 9),
         3: "released UNDER the (MIT) license " + words(rng, 5) + " Licensed under CC BY-NC 4.0.",
-        4: TEMPLATES["MIT-text"].replace("granted", "hereby given").replace("obtaining", "getting"),
+        4: known_templates()["MIT-text"].replace("granted", "hereby given").replace("obtaining", "getting"),
         5: "This work is licensed under the GNU General Public License, version 3.",
     }
     table = spark.createDataFrame([(d, t, "x") for d, t in texts.items()], "doc_id long, text string, license string")
@@ -344,10 +403,10 @@ def test_licenses_with_changed_words():
     """Each template is found with any words changed that the alignment and the coverage allow."""
     from itertools import combinations, islice
 
-    from admitflow.llm.licenses import TEMPLATES, Scanner, align
+    from admitflow.llm.licenses import NOTICES, Scanner, align
 
-    scanner = Scanner(TEMPLATES, 0.8, 4)
-    for name, text in TEMPLATES.items():
+    scanner = Scanner(NOTICES, 0.8, 4)
+    for name, text in NOTICES.items():
         own = text.split()
         edits = len(own) // 5
         for at in islice(combinations(range(len(own)), edits), 300):
@@ -360,6 +419,49 @@ def test_licenses_with_changed_words():
     assert scanner.scan("") == [] and scanner.scan("licensed under") == []
 
 
+def longest_common(a, b):
+    """Words of a matched in an alignment that is not bound to any diagonal."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_whole_licenses_equal_brute_force():
+    """Every text of up to 400 words, with words changed, dropped and put in, against full alignment of all templates."""
+    from admitflow.llm.licenses import Scanner, known_templates
+
+    rng, templates = random.Random(15), {k: v for k, v in known_templates().items() if len(v.split()) <= 400}
+    scanner = Scanner(templates, 0.8, 4)
+    plain = lambda t: [w.lower().strip(".,;:!?()[]{}\"'*#/") for w in t.split()]
+    for name, text in templates.items():
+        for share in (0, 0.05, 0.12):
+            own = text.split()
+            for at in rng.sample(range(len(own)), int(share * len(own))):
+                own[at] = rng.choice(["", "other", own[at] + " more"]) if share < 0.1 else "other"
+            document = f"{words(rng, 20)} {' '.join(own)} {words(rng, 20)}"
+            got = scanner.scan(document)
+            scores = {k: longest_common(plain(t), plain(document)) for k, t in templates.items()}
+            best = max(scores, key=lambda k: (scores[k] if scores[k] >= 0.8 * len(plain(templates[k])) else 0, scores[k] / len(plain(templates[k]))))
+            assert [g[0] for g in got] == [best] == [name], (name, share, got, best)
+            assert got[0][2] >= 0.97 * scores[name] and abs(got[0][3] - 20) <= 6, (name, share, got[0], scores[name])
+
+
+def test_long_licenses():
+    from admitflow.llm.licenses import Scanner, known_templates
+
+    rng, scanner = random.Random(16), Scanner(known_templates(), 0.8, 4)
+    for name in ("Apache-2.0-text", "GPL-3.0-text", "BSD-2-Clause-text"):
+        own = known_templates()[name].split()
+        for at in rng.sample(range(len(own)), len(own) // 20):
+            own[at] = "other"
+        got = scanner.scan(f"{words(rng, 30)} {' '.join(own)} {words(rng, 30)}")
+        assert [(g[0], g[3], g[4]) for g in got] == [(name, 30, 30 + len(own))] or (got[0][0] == name and abs(got[0][3] - 30) < 4 and len(got) == 1), got
+    assert [f[0] for f in scanner.scan("see the License for the specific language governing permissions")] == []
+
+
 def edit_within(pattern, text):
     row = [0] * (len(text) + 1)
     for i, x in enumerate(pattern, 1):
