@@ -3,7 +3,8 @@
 Vectors are range-partitioned by length and worked off in buckets of similar length. A lower bound of each query's
 k-th score, first from the longest vectors and then from what its task has found, gives a cosine threshold that is
 local to the bucket: it skips the bucket, cuts it by length or by the ranges of a few large coordinates, or is too
-low to prune. What is left is verified by exact products. Queries come in blocks of bounded size.
+low to prune. What is left is verified by exact products. Queries and vectors are stored in blocks of bounded size,
+and tasks read pairs of blocks; neither passes through the driver.
 """
 
 from __future__ import annotations
@@ -13,12 +14,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
 
-BUCKET, SEEDS, BLOCK = 4096, 4096, 8192
+#: Vectors in a bucket, longest vectors that give first bounds, queries in a block, blocks that a task keeps open.
+BUCKET, SEEDS, BLOCK, OPEN = 4096, 4096, 4096, 4
 
 
 def _quantise(scale: float):
@@ -123,48 +126,88 @@ def _unpack(packed: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(packed), np.float64).reshape(len(packed), -1)
 
 
+def _packed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(dimensions, ids, vectors) of up to ``most`` successive rows ``vec_id, v`` of one number of dimensions."""
+    ids: list[int] = []
+    held: list[bytes] = []
+    for batch in batches:
+        for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if held and (len(held) == most or len(v) != len(held[0])):
+                yield len(held[0]) // 8, np.array(ids, np.int64), _unpack(held)
+                ids, held = [], []
+            ids.append(i)
+            held.append(v)
+    if held:
+        yield len(held[0]) // 8, np.array(ids, np.int64), _unpack(held)
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for dims, ids, v in _packed(batches, BUCKET):
+        yield pa.RecordBatch.from_arrays([pa.array([dims], pa.int32()), pa.array([ids.tobytes()]), pa.array([v.tobytes()])], ["v_dims", "v_ids", "v"])
+
+
+def _blocks(seeds, k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        for dims, ids, q in _packed(batches, BLOCK):
+            first = Search(ids, q, k)
+            if dims in seeds.value:
+                first.bucket(*seeds.value[dims])
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([dims], pa.int32()), pa.array([ids.tobytes()]), pa.array([q.tobytes()]), pa.array([first.best.bound.tobytes()])], ["block", "q_dims", "q_ids", "q", "bound"])
+            number += 1
+
+    return run
+
+
+def _search(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: dict[int, Search] = {}
+        for batch in batches:
+            column = dict(zip(batch.schema.names, batch.columns))
+            for r, block in enumerate(column["block"].to_pylist()):
+                get = lambda name, kind: np.frombuffer(column[name][r].as_buffer(), kind)  # noqa: B023, E731
+                if block not in open_:
+                    ids = get("q_ids", np.int64).copy()
+                    open_[block] = Search(ids, get("q", np.float64).reshape(len(ids), -1).copy(), k, get("bound", np.float64))
+                ids = get("v_ids", np.int64)
+                vectors = get("v", np.float64).reshape(len(ids), -1)
+                open_[block].bucket(ids, vectors, np.sqrt((vectors * vectors).sum(axis=1)))
+        for search in open_.values():
+            found, at = np.nonzero(np.isfinite(search.best.score))
+            yield pa.RecordBatch.from_arrays([pa.array(search.ids[found]), pa.array(search.best.vec[found, at]), pa.array(search.best.score[found, at].astype(np.int64))], ["query_id", "vec_id", "score"])
+
+    return run
+
+
 def top_k_search(vectors: DataFrame, queries: str, k: int = 5, scale: float = 256.0) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` highest integer inner products of each row that ``queries`` selects.
 
     Components become floor(scale * x). Candidates are all rows but those with the query's own vec_id; ties go to
     the smaller vec_id; fewer than ``k`` candidates give fewer rows. Vectors that are null, or hold null or
     non-finite components, and rows without vec_id take no part. Repeated rows are candidates each; a repeated
-    query is asked once, with the smallest of its vectors. All vectors must have one length. Products are exact
-    while they stay below 2^53. Other columns are ignored.
+    query is asked once, with the smallest of its vectors. A vector is a candidate of queries with as many
+    dimensions. Products are exact while they stay below 2^53. Other columns are ignored.
+
+    Every block of queries meets every bucket of vectors, as a product of two stored tables; a task keeps the best
+    of its few blocks and its bounds rise from bucket to bucket. Only the ``SEEDS`` longest vectors are broadcast.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark)
-    whole = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(_quantise(scale), "vec_id long, v binary, norm double")
-    whole = scratch.save(whole.repartitionByRange(F.desc("norm"), "vec_id").sortWithinPartitions(F.desc("norm"), "vec_id"), "vectors")
-    asked = scratch.save(whole.where(queries).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
-    blocks = max(1, -(-asked.count() // BLOCK))
-    seeds = whole.orderBy(F.desc("norm"), "vec_id").limit(SEEDS).collect()
-    out = spark.createDataFrame([], "query_id long, vec_id long, score long")
-    if not seeds:
-        return out.select("query_id", F.lit(0).alias("rank"), "vec_id", "score")
-    seed = (np.array([r.vec_id for r in seeds]), _unpack([r.v for r in seeds]), np.array([r.norm for r in seeds]))
-    for b in range(blocks):
-        rows = sorted(asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).collect())
-        if rows:
-            first = Search(np.array([r.vec_id for r in rows]), _unpack([r.v for r in rows]), k)
-            first.bucket(*seed)
-            shared = spark.sparkContext.broadcast((first.ids, first.q, first.best.bound))
-            out = out.unionByName(whole.mapInArrow(_search(shared, k), "query_id long, vec_id long, score long"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(_quantise(scale), "vec_id long, v binary, norm double")
+    rows = scratch.save(rows, "rows")
+    seeds: dict[int, list] = {}
+    for r in rows.orderBy(F.desc("norm"), "vec_id").limit(SEEDS).collect():
+        seeds.setdefault(len(r.v) // 8, []).append(r)
+    shared = spark.sparkContext.broadcast({d: (np.array([r.vec_id for r in x]), _unpack([r.v for r in x]), np.array([r.norm for r in x])) for d, x in seeds.items()})
+    order = [F.octet_length("v"), F.desc("norm"), F.col("vec_id")]
+    buckets = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("vec_id", "v").mapInArrow(_buckets, "v_dims int, v_ids binary, v binary")
+    buckets = scratch.save(buckets, "buckets")
+    asked = scratch.save(rows.where(queries).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
+    count = max(1, -(-asked.count() // BLOCK))
+    blocks = asked.repartition(count).sortWithinPartitions(F.octet_length("v"), "vec_id").mapInArrow(_blocks(shared, k), "block long, q_dims int, q_ids binary, q binary, bound binary")
+    blocks = scratch.save(blocks, "blocks").repartition(-(-count // OPEN))
+    scratch.drop("rows", "queries")
+    pairs = buckets.hint("shuffle_replicate_nl").join(blocks, F.col("v_dims") == F.col("q_dims"))
+    out = pairs.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _search(shared, k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, q, bound = shared.value
-        search = Search(ids, q, k, bound)
-        for batch in batches:
-            for at in range(0, batch.num_rows, BUCKET):
-                part = batch.slice(at, BUCKET)
-                norm = part.column(2).to_numpy()
-                order = np.argsort(-norm, kind="stable")  # files may be read in any order
-                search.bucket(part.column(0).to_numpy()[order], _unpack(part.column(1).to_pylist())[order], norm[order])
-        found, at = np.nonzero(np.isfinite(search.best.score))
-        yield pa.RecordBatch.from_arrays([pa.array(ids[found]), pa.array(search.best.vec[found, at]), pa.array(search.best.score[found, at].astype(np.int64))], ["query_id", "vec_id", "score"])
-
-    return run

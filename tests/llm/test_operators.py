@@ -108,6 +108,11 @@ def test_top_k_equals_brute_force(spark):
         expected += [(i, r + 1, j, -n) for r, (n, j) in enumerate(best)]
     assert got == expected
     assert top_k_search(table.limit(0), "vec_id % 50 = 0").count() == 0
+    # Vectors of other lengths, repeated rows and repeated queries.
+    mixed = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, [3.0, 1.0]), (1, [3.0, 1.0]), (2, [1.0, 1.0, 5.0]), (50, [0.5, 0.5, 0.5]), (3, [0.0, 0.0]), (4, [])]
+    got = sorted(tuple(r) for r in top_k_search(spark.createDataFrame(mixed, "vec_id long, embedding array<float>"), "vec_id % 50 = 0").collect())
+    unit = 256 * 256
+    assert got == [(0, 1, 1, 5 * unit), (0, 2, 1, 5 * unit), (0, 3, 3, 0), (50, 1, 2, 7 * unit // 2)]
     assert [tuple(r) for r in top_k_search(table.where("vec_id in (0, 1)"), "vec_id = 0").collect()] == [(0, 1, 1, int(q[0] @ q[1]))]
 
 
