@@ -142,12 +142,15 @@ def markdown_records(pages: DataFrame, profile: dict) -> DataFrame:
     t = t.withColumn("best", F.array_max(hits)).where("best.hits > 0").withColumn("code_col", -F.col("best.i"))
     low = lambda h: F.lower(s.strip(h))
     has = lambda h, *words: F.lit(False) if not words else F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low(h), w))
-    role = lambda h, i: F.when(i + 1 == F.col("code_col"), "code").when(s.resolve_header(h, markers).isNotNull(), "subject").when(has(h, "aps", "score"), "aps").when(has(h, "campus"), "campus").when(has(h, "programme", "qualification", "course", "name"), "name").otherwise("ignored")
+    # Headers are resolved once a table, before its rows are taken apart.
+    t = t.withColumn("slugs", F.transform("header", lambda h: s.resolve_header(h, markers)))
+    role = lambda h, i: F.when(i + 1 == F.col("code_col"), "code").when(F.element_at("slugs", i + 1).isNotNull(), "subject").when(has(h, "aps", "score"), "aps").when(has(h, "campus"), "campus").when(has(h, "programme", "qualification", "course", "name"), "name").otherwise("ignored")
     t = t.withColumn("roles", F.transform("header", role))
     t = t.select("*", F.explode("rows").alias("cells")).drop("rows", "best")
     at = lambda name: F.try_element_at("cells", F.nullif(F.array_position("roles", name), F.lit(0)).cast("int"))
     t = t.withColumn("code", F.try_element_at("cells", F.col("code_col"))).where(F.regexp_like("code", whole))
-    subjects = F.filter(F.transform("header", lambda h, i: F.struct(s.resolve_header(h, markers).alias("slug"), s.interpret_cell(F.coalesce(F.try_element_at("cells", i + 1), F.lit("")), markers, rejected, offered).alias("cell"), F.element_at("roles", i + 1).alias("role"))), lambda x: x["role"] == "subject")
+    named = F.filter(F.transform("slugs", lambda x, i: F.struct(x.alias("slug"), F.try_element_at("cells", i + 1).alias("text"), F.element_at("roles", i + 1).alias("role"))), lambda x: x["role"] == "subject")
+    subjects = F.transform(named, lambda x: F.struct(x["slug"].alias("slug"), s.interpret_cell(F.coalesce(x["text"], F.lit("")), markers, rejected, offered).alias("cell")))
     built = build_tree(subjects, layout.get("mutually_exclusive_subjects", []))
     tokens = F.array(*[F.lit(x) for x in sorted(layout.get("campus_tokens", []))]).cast(_TEXTS)
     score = F.nullif(F.regexp_extract(at("aps"), r"(?U)\b(\d{2})\b", 1), F.lit("")).cast("int")
@@ -195,5 +198,8 @@ def footnotes(pages: DataFrame, records: DataFrame, markers: list[str], code_pat
     lines = pages.select("doc", F.col("page").alias("legend_page"), F.posexplode(F.split("text", "\n")).alias("line", "text")).withColumn("text", s.strip(F.col("text")))
     legend = r"^(\*{1,3})\s+([A-Za-z].*)$"
     lines = lines.where(F.regexp_like("text", F.lit(legend))).select("doc", "legend_page", "line", F.regexp_extract("text", legend, 1).alias("marker"), s.strip(F.regexp_extract("text", legend, 2)).alias("footnote_text"))
-    near = found.join(lines, ["doc", "marker"]).where(F.col("legend_page").between(F.col("page") - lookback, F.col("page")))
+    # Pages in blocks of what a record may look back to: a record meets its own block and the one before.
+    span = lookback + 1
+    found = found.withColumn("block", F.explode(F.array(F.floor(F.col("page") / span), F.floor(F.col("page") / span) - 1)))
+    near = found.join(lines.withColumn("block", F.floor(F.col("legend_page") / span)), ["doc", "marker", "block"]).where(F.col("legend_page").between(F.col("page") - lookback, F.col("page")))
     return near.groupBy("doc", "page", "code", "marker").agg(F.max_by("footnote_text", F.struct("legend_page", -F.col("line"))).alias("footnote_text"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import names_equal, score_key, set_key
+from ..sources.scratch import kept
 from .rules import tree_keys
 
 METHODS = ["a", "b", "c"]
@@ -117,8 +118,8 @@ def unpopulated_fields(voted: DataFrame) -> DataFrame:
 def gate(candidates: DataFrame, truth: DataFrame, least_recall: float = 0.98, most_wrong: float = 0.02) -> DataFrame:
     """One row: recall over ``truth``, share of agreed fields that are wrong, share of records for review, and the
     decision: recall above ``least_recall`` and wrong below ``most_wrong``, both strictly."""
-    cast = votes(candidates)
-    voted = vote(cast)
+    cast = kept(votes(candidates))
+    voted = kept(vote(cast))
     found = voted.select("code").distinct()
     recall = truth.select(F.col("qualification_code").alias("code")).distinct().join(found.withColumn("hit", F.lit(1)), "code", "left").agg(F.count("*").alias("present"), F.count("hit").alias("found"))
     agreed = voted.where(F.col("field").isin(GATED) & (F.col("confidence") == 1.0))

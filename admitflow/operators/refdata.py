@@ -4,85 +4,101 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import vocabulary as v
 
-_ERROR = "tag string, error string"
+GROUPS = ("all", "any")
 
 
-def _errors(df: DataFrame, when: Column, message: Column | str) -> DataFrame:
-    message = F.lit(message) if isinstance(message, str) else message
-    return df.where(F.coalesce(when, F.lit(False))).select("tag", message.alias("error"))
+def _strings(values) -> Column:
+    return F.array(*[F.lit(x) for x in values]).cast("array<string>")
+
+
+def _texts(*checks: tuple[Column, Column | str]) -> Column:
+    """The messages of the checks that hold."""
+    return F.array_compact(F.array(*[F.when(F.coalesce(when, F.lit(False)), F.lit(m) if isinstance(m, str) else m) for when, m in checks]))
+
+
+def _each(values: Column, wrong: Callable[[Column], Column], message: Callable[[Column], Column]) -> Column:
+    """A message for each element that is wrong; none for a null array."""
+    found = F.transform(F.filter(values, lambda x: F.coalesce(wrong(x), F.lit(False))), message)
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def validate(programmes: DataFrame, institutions: DataFrame) -> DataFrame:
     """(tag, error) of every problem; the tag is institution/code, ``dataset`` for the whole.
 
     Expects the columns of ``schemas.PROGRAMMES`` and ``ordinal``. A programme whose score and rules are both null
-    has no requirements and is not checked further.
+    has no requirements and is not checked further. All checks of a programme are made in one pass; only those of
+    rule trees, once per distinct tree, are joined.
     """
-    p = programmes.withColumn("tag", F.concat_ws("/", "institution_id", "qualification_code"))
-    out = programmes.agg(F.count("*").alias("n")).where("n = 0").select(F.lit("dataset").alias("tag"), F.lit("no programmes found").alias("error"))
-    known = institutions.select(F.col("id").alias("institution_id"))
-    out = out.unionByName(p.join(known, "institution_id", "left_anti").select("tag", F.lit("unknown institution").alias("error")))
-    repeat = F.row_number().over(Window.partitionBy("institution_id", "academic_year", "qualification_code").orderBy("ordinal"))
-    out = out.unionByName(_errors(p.withColumn("n", repeat), F.col("n") > 1, "duplicate code for year"))
+    known = institutions.select(F.col("id").alias("institution_id"), F.lit(True).alias("is_known")).distinct()
+    p = programmes.withColumn("tag", F.concat_ws("/", "institution_id", "qualification_code")).join(known, "institution_id", "left")
+    p = p.withColumn("place", F.row_number().over(Window.partitionBy("institution_id", "academic_year", "qualification_code").orderBy("ordinal")))
     bare = F.col("score").isNull() & F.col("subjects").isNull()
-    out = out.unionByName(_errors(p, bare, "no nsc requirements"))
-    p = p.where(~bare)
-    out = out.unionByName(_errors(p, F.col("score").isNull() | (F.size("score") == 0), "empty score thresholds"))
-    scores = p.select("tag", F.explode("score").alias("t")).select("tag", "t.*")
-    out = out.unionByName(_errors(scores, ~F.col("min_score").between(10, 48), F.concat(F.lit("implausible APS "), F.col("min_score").cast("string"))))
-    out = out.unionByName(_errors(scores, (F.col("requires_subject") != "") & ~F.col("requires_subject").isin(v.SUBJECTS), F.concat(F.lit("unknown requires_subject '"), "requires_subject", F.lit("'"))))
-    excluded = p.select("tag", F.explode("excluded_subjects").alias("s"))
-    out = out.unionByName(_errors(excluded, ~F.col("s").isin(v.SUBJECTS), F.concat(F.lit("unknown excluded subject '"), "s", F.lit("'"))))
+    about_row = _texts(
+        (F.col("is_known").isNull(), "unknown institution"),
+        (F.col("place") > 1, "duplicate code for year"),
+        (bare, "no nsc requirements"),
+        (~bare & (F.col("score").isNull() | (F.size("score") == 0)), "empty score thresholds"),
+    )
+    about_scores = [
+        _each(F.col("score"), lambda e: ~e["min_score"].between(10, 48), lambda e: F.concat(F.lit("implausible APS "), e["min_score"].cast("string"))),
+        _each(F.col("score"), lambda e: (e["requires_subject"] != "") & ~e["requires_subject"].isin(v.SUBJECTS), lambda e: F.concat(F.lit("unknown requires_subject '"), e["requires_subject"], F.lit("'"))),
+    ]
+    about_excluded = F.when(~bare, _each(F.col("excluded_subjects"), lambda x: ~x.isin(v.SUBJECTS), lambda x: F.concat(F.lit("unknown excluded subject '"), x, F.lit("'")))).otherwise(F.array().cast("array<string>"))
+    out = p.select("tag", F.explode(F.concat(about_row, *about_scores, about_excluded)).alias("error"))
     trees = p.join(tree_errors(p), "subjects").select("tag", F.concat("tag", F.substr("path", F.lit(2)), F.lit(": "), "problem").alias("error"))
-    return out.unionByName(trees)
-
-
-def tree_problems(text: str) -> list[tuple[str, str]]:
-    """(path, problem) of one rule tree, in the order of its nodes; paths start at ``$``."""
-    out, open_ = [], [("$", json.loads(text))]
-    ranged = lambda n: isinstance(n, (int, float)) and 1 <= n <= 7
-    while open_:
-        path, rule = open_.pop()
-        kind = rule.get("kind") if isinstance(rule, dict) else None
-        if not isinstance(rule, dict):
-            out.append((path, "not an object"))
-        elif kind in ("all", "any"):
-            rules = rule.get("rules") or []
-            if not rules:
-                out.append((path, f"empty {kind} node"))
-            open_ += [(f"{path}.{kind}[{n}]", r) for n, r in reversed(list(enumerate(rules)))]
-        elif kind == "subject":
-            if ("subject" in rule) == ("language" in rule):
-                out.append((path, "set exactly one of subject/language"))
-            if "subject" in rule and rule["subject"] not in v.SUBJECTS:
-                out.append((path, f"unknown subject '{rule['subject']}'"))
-            if "language" in rule and rule["language"] not in v.LANGUAGE_NAMES:
-                out.append((path, f"unknown language family '{rule['language']}'"))
-            out += [(path, f"{k} {rule[k]} out of range 1-7") for k in ("min_level", "min_level_fal") if k in rule and not ranged(rule[k])]
-        elif kind == "any_additional_language":
-            if not ranged(rule.get("min_level", 0)):
-                out.append((path, "min_level out of range"))
-        else:
-            out.append((path, f"unknown rule kind '{kind}'"))
-    return out
+    empty = programmes.agg(F.count("*").alias("n")).where("n = 0").select(F.lit("dataset").alias("tag"), F.lit("no programmes found").alias("error"))
+    return out.unionByName(trees).unionByName(empty)
+
+
+def tree_nodes(text: str) -> list[tuple[str, str]]:
+    """(path, JSON) of every node of a rule tree; the root's path is ``$``."""
+    nodes = [("$", json.loads(text))]
+    for path, node in nodes:  # it grows by the children while it is read
+        inside = node.get("rules") if isinstance(node, dict) and node.get("kind") in GROUPS else None
+        nodes += [(f"{path}.{node['kind']}[{k}]", child) for k, child in enumerate(inside if isinstance(inside, list) else [])]
+    return [(path, json.dumps(node)) for path, node in nodes]
+
+
+def node_problems(node: Column) -> Column:
+    """Messages about one node, given as JSON without regard to its children."""
+    keys, at = F.json_object_keys(node), lambda f: F.get_json_object(node, f"$.{f}")
+    has = lambda f: F.array_contains(keys, f)
+    shown = lambda f: F.coalesce(at(f), F.lit("None"))
+    # Text that looks like a number is none.
+    number = lambda f: F.when(~F.contains(node, F.concat(F.lit(f'"{f}": "'), at(f))), at(f).cast("double"))
+    ranged = lambda f: F.coalesce(number(f).between(1, 7), F.lit(False))
+    kind = shown("kind")
+    group, subject, more = kind.isin(*GROUPS), kind == "subject", kind == "any_additional_language"
+    return _texts(
+        (keys.isNull(), "not an object"),
+        (group & (F.coalesce(F.json_array_length(at("rules")), F.lit(0)) == 0), F.concat(F.lit("empty "), kind, F.lit(" node"))),
+        (subject & (has("subject") == has("language")), "set exactly one of subject/language"),
+        (subject & has("subject") & ~shown("subject").isin(v.SUBJECTS), F.concat(F.lit("unknown subject '"), shown("subject"), F.lit("'"))),
+        (subject & has("language") & ~shown("language").isin(list(v.LANGUAGE_NAMES)), F.concat(F.lit("unknown language family '"), shown("language"), F.lit("'"))),
+        *[(subject & has(f) & ~ranged(f), F.concat(F.lit(f"{f} "), shown(f), F.lit(" out of range 1-7"))) for f in ("min_level", "min_level_fal")],
+        (more & ~ranged("min_level"), "min_level out of range"),
+        (keys.isNotNull() & ~(group | subject | more), F.concat(F.lit("unknown rule kind '"), kind, F.lit("'"))),
+    )
 
 
 def tree_errors(programmes: DataFrame) -> DataFrame:
-    """(subjects, path, problem) of each distinct rule tree; one small Python step per distinct tree."""
+    """(subjects, path, problem) of each distinct rule tree; Python only takes the distinct trees apart."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame([(t, *p) for t in frame["subjects"] for p in tree_problems(t)], columns=["subjects", "path", "problem"])
+            yield pd.DataFrame([(t, *n) for t in frame["subjects"] for n in tree_nodes(t)], columns=["subjects", "path", "node"])
 
-    return programmes.select("subjects").where("subjects is not null").distinct().mapInPandas(run, "subjects string, path string, problem string")
+    nodes = programmes.select("subjects").where("subjects is not null").distinct().mapInPandas(run, "subjects string, path string, node string")
+    return nodes.select("subjects", "path", F.explode(node_problems(F.col("node"))).alias("problem"))
 
 
 def with_source_file(errors: DataFrame, programmes: DataFrame) -> DataFrame:
@@ -91,47 +107,88 @@ def with_source_file(errors: DataFrame, programmes: DataFrame) -> DataFrame:
     return errors.join(files, "tag", "left")
 
 
-def structural_errors(seeds: DataFrame, required: list[str], allowed: list[str]) -> DataFrame:
-    """(row_id, error) for raw ``seeds(row_id, body)``: body is JSON that must be an object with these keys."""
-    keys = seeds.select("row_id", F.json_object_keys("body").alias("keys"))
-    out = keys.where("keys is null").select("row_id", F.lit("not an object").alias("error"))
-    missing = keys.select("row_id", F.explode(F.array_except(F.array(*[F.lit(r) for r in required]), "keys")).alias("k")).select("row_id", F.concat(F.lit("missing key "), "k").alias("error"))
-    extra = keys.select("row_id", F.explode(F.array_except("keys", F.array(*[F.lit(a) for a in allowed]))).alias("k")).select("row_id", F.concat(F.lit("unknown key "), "k").alias("error"))
-    return out.unionByName(missing).unionByName(extra)
+def structural_errors(
+    seeds: DataFrame,
+    required: list[str],
+    allowed: list[str],
+    enums: dict[str, list[str]] | None = None,
+    least_items: dict[str, int] | None = None,
+    nested: dict[str, tuple[list[str], list[str]]] | None = None,
+) -> DataFrame:
+    """(row_id, error) for raw ``seeds(row_id, body)``: body is JSON that must be an object with these keys.
 
+    By path below the root: ``enums`` gives the values that are allowed, ``least_items`` how many entries an array
+    has at least, ``nested`` the keys required and allowed in an object. A path that is absent is not checked.
+    """
+    at = lambda path: F.get_json_object("body", f"$.{path}")
+    checks = [_keys_of(F.col("body"), required, allowed, "")]
+    checks += [_texts((~at(path).isin(values), F.concat(F.lit(f"{path} has unknown value "), at(path)))) for path, values in (enums or {}).items()]
+    checks += [_texts((F.coalesce(F.json_array_length(at(path)), F.lit(0)) < n, f"{path} has fewer than {n} items")) for path, n in (least_items or {}).items()]
+    checks = checks[:1] + [F.when(at(path).isNotNull(), c).otherwise(F.array().cast("array<string>")) for path, c in zip([*(enums or {}), *(least_items or {})], checks[1:])]
+    checks += [F.when(at(path).isNotNull(), _keys_of(at(path), must, may, f" in {path}")).otherwise(F.array().cast("array<string>")) for path, (must, may) in (nested or {}).items()]
+    return seeds.select("row_id", F.explode(F.concat(*checks)).alias("error"))
+
+
+def _keys_of(json_: Column, required: list[str], allowed: list[str], where: str) -> Column:
+    """Messages about the keys of a JSON object."""
+    keys = F.json_object_keys(json_)
+    tell = lambda found, what: F.coalesce(F.transform(found, lambda k: F.concat(F.lit(f"{what} key "), k, F.lit(where))), F.array().cast("array<string>"))
+    return F.concat(_texts((keys.isNull(), f"not an object{where}")), tell(F.array_except(_strings(required), keys), "missing"), tell(F.array_except(keys, _strings(allowed)), "unknown"))
+
+
+#: Keys of a layout profile and its parts, those required and those that may be left out.
+PROFILE_KEYS = {
+    "profile": (["name", "layout", "classification"], ["source_url", "quirks"]),
+    "layout": (["code_pattern", "header_keywords", "rotated_headers"], ["footnote_markers", "campus_tokens", "not_accepted_phrases", "alternative_phrases", "mutually_exclusive_subjects", "rows_per_programme"]),
+    "classification": (["weights", "admin_baseline", "overinclusion_margin", "table_evidence_ruled_line_floor"], []),
+    "weights": (v.PAGE_CLASSES, []),
+}
+
+
+@F.pandas_udf(T.StringType())
+def _pattern_error(patterns: pd.Series) -> pd.Series:
+    def error(pattern: str | None) -> str | None:
+        try:
+            re.compile(pattern or "")
+        except re.error as e:
+            return str(e)
 
-def validate_profile(institution: str, profile: dict) -> list[str]:
-    """Problems of one layout profile; profiles are few and small, so they are checked where they are read."""
-    out = []
+    return patterns.map(error)
 
-    def keys(what: str, given: dict, required: set[str], optional: set[str] = frozenset()) -> bool:
-        out.extend(f"{institution}: unknown {what} key {k}" for k in sorted(set(given) - required - optional))
-        lacking = sorted(required - set(given))
-        out.extend(f"{institution}: {what} lacks {k}" for k in lacking)
-        return not lacking
 
-    if not keys("profile", profile, {"name", "layout", "classification"}, {"source_url", "quirks"}):
-        return out
-    layout, rules = profile["layout"], profile["classification"]
-    if keys("layout", layout, {"code_pattern", "header_keywords", "rotated_headers"}, {"footnote_markers", "campus_tokens", "not_accepted_phrases", "alternative_phrases", "mutually_exclusive_subjects", "rows_per_programme"}):
-        try:
-            re.compile(layout["code_pattern"])
-        except re.error as e:
-            out.append(f"{institution}: code_pattern does not compile: {e}")
-        if not isinstance(layout["header_keywords"], list) or not layout["header_keywords"]:
-            out.append(f"{institution}: header_keywords must be a list that isn't empty")
-        if not isinstance(layout["rotated_headers"], bool):
-            out.append(f"{institution}: rotated_headers must be a boolean")
-        groups = layout.get("mutually_exclusive_subjects", [["a", "b"]])
-        if not isinstance(groups, list) or not groups or not all(isinstance(g, list) and len(g) > 1 and all(isinstance(s, str) and s for s in g) for g in groups):
-            out.append(f"{institution}: mutually_exclusive_subjects must hold groups of two or more subjects")
-        if layout.get("rows_per_programme", "one") not in ("one", "many"):
-            out.append(f"{institution}: rows_per_programme must be one or many")
-    if keys("classification", rules, {"weights", "admin_baseline", "overinclusion_margin", "table_evidence_ruled_line_floor"}):
-        keys("weights", rules["weights"], set(v.PAGE_CLASSES))
-        out += [f"{institution}: weights of {c} have unknown signal {s}" for c, w in rules["weights"].items() for s in sorted(set(w) - set(v.SIGNALS))]
-        out += [f"{institution}: {k} must be numeric" for k in ("admin_baseline", "overinclusion_margin", "table_evidence_ruled_line_floor") if not isinstance(rules[k], (int, float))]
-    return out
+def profile_problems(profiles: DataFrame) -> DataFrame:
+    """(institution_id, problem) of ``profiles(institution_id, profile)``, the profile being JSON text.
+
+    The parts of a profile that lacks a part are not looked at.
+    """
+    paths = {"profile": "$", "layout": "$.layout", "classification": "$.classification", "weights": "$.classification.weights"}
+    parts = {k: F.get_json_object("profile", path) for k, path in paths.items()}
+    none = F.array().cast("array<string>")
+
+    def keys(part: str) -> Column:
+        must, may = PROFILE_KEYS[part]
+        return _keys_of(parts[part], list(must), [*must, *may], f" in {part}")
+
+    complete = lambda part: F.size(F.array_except(_strings(PROFILE_KEYS[part][0]), F.coalesce(F.json_object_keys(parts[part]), none))) == 0
+    kind = lambda path: F.coalesce(F.expr(f"schema_of_variant(try_variant_get(try_parse_json(profile), '$.{path}', 'variant'))"), F.lit("VOID"))
+    at = lambda path: F.get_json_object("profile", f"$.{path}")
+    groups = F.from_json(at("layout.mutually_exclusive_subjects"), "array<array<string>>")
+    small = F.exists(groups, lambda g: F.coalesce((F.size(g) < 2) | F.exists(g, lambda x: F.coalesce(x == "", F.lit(True))), F.lit(True)))
+    number = lambda path: kind(path).startswith("BIGINT") | kind(path).startswith("DECIMAL") | kind(path).startswith("DOUBLE") | kind(path).startswith("FLOAT")
+    layout = _texts(
+        (F.col("pattern_error").isNotNull(), F.concat(F.lit("code_pattern does not compile: "), "pattern_error")),
+        (F.coalesce(F.json_array_length(at("layout.header_keywords")), F.lit(0)) == 0, "header_keywords must be a list that isn't empty"),
+        (kind("layout.rotated_headers") != "BOOLEAN", "rotated_headers must be a boolean"),
+        (at("layout.mutually_exclusive_subjects").isNotNull() & (groups.isNull() | (F.size(groups) == 0) | small), "mutually_exclusive_subjects must hold groups of two or more subjects"),
+        (~at("layout.rows_per_programme").isin("one", "many"), "rows_per_programme must be one or many"),
+    )
+    weights = F.map_entries(F.from_json(parts["weights"], "map<string,map<string,string>>"))
+    signals = F.flatten(F.transform(weights, lambda w: F.transform(F.array_except(F.map_keys(w["value"]), _strings(v.SIGNALS)), lambda x: F.concat(F.lit("weights of "), w["key"], F.lit(" have unknown signal "), x))))
+    knobs = _texts(*[(~number(f"classification.{k}"), f"{k} must be numeric") for k in PROFILE_KEYS["classification"][0][1:]])
+    only = lambda when, c: F.when(when, F.coalesce(c, none)).otherwise(none)
+    inner = [keys("layout"), only(complete("layout"), layout), keys("classification"), only(complete("classification"), F.concat(keys("weights"), F.coalesce(signals, none), knobs))]
+    checked = profiles.select("institution_id", "profile").withColumn("pattern_error", _pattern_error(F.get_json_object("profile", "$.layout.code_pattern")))
+    return checked.select("institution_id", F.explode(F.concat(keys("profile"), only(complete("profile"), F.concat(*inner)))).alias("problem"))
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order: str | None = None, stamp: str | None = None) -> DataFrame:

@@ -187,22 +187,22 @@ def evaluate(nodes: Column, marks: Column, levels: Column, excluded: Column) ->
     return F.aggregate(nodes, F.array().cast(f"array<{_NONE}>"), step, lambda acc: F.element_at(acc, -1))
 
 
+#: Fields that tell rules of a kind apart; rules of other kinds differ in any field.
+_TELLING = {"subject": ["subject", "language", "min_level", "min_level_fal"], "any_additional_language": ["min_level"]}
+
+
 def tree_key(text: str | None) -> str | None:
     """A tree as text that is equal for trees that differ only in the order of children."""
-    if text is None:
-        return None
 
-    def key(node) -> str:
-        if not isinstance(node, dict):
-            return repr(node)
+    def folded(node: dict) -> dict | str:
+        # Called from the leaves up: the children are text already.
         kind = node.get("kind")
         if kind in ("all", "any"):
-            return f"{kind}({','.join(sorted(key(r) for r in node.get('rules') or []))})"
-        if kind == "subject":
-            return repr((kind, node.get("subject"), node.get("language"), node.get("min_level"), node.get("min_level_fal")))
-        return repr((kind, node.get("min_level"))) if kind == "any_additional_language" else repr(sorted(node.items()))
+            return json.dumps([kind, *sorted(c if isinstance(c, str) else json.dumps(c) for c in node.get("rules") or [])])
+        return json.dumps([kind, [node.get(f) for f in _TELLING[kind]] if kind in _TELLING else sorted(node.items())])
 
-    return key(json.loads(text))
+    key = json.loads(text, object_hook=folded) if text is not None else None
+    return key if key is None or isinstance(key, str) else json.dumps(key)
 
 
 def tree_keys(trees: DataFrame, column: str) -> DataFrame:

@@ -54,13 +54,13 @@ def profiles(spark: SparkSession, path: str) -> DataFrame:
 
 def checked_profiles(spark: SparkSession, path: str) -> dict[str, dict]:
     """The registry as dictionaries; fails with all problems of its profiles."""
-    from ..operators.refdata import validate_profile
+    from ..operators.refdata import profile_problems
 
-    found = {r.institution_id: json.loads(r.profile) for r in profiles(spark, path).collect()}
-    problems = [p for name, profile in found.items() for p in validate_profile(name, profile)]
+    found = profiles(spark, path)
+    problems = profile_problems(found).orderBy("institution_id", "problem").limit(100).collect()
     if problems:
-        raise ValueError("; ".join(problems))
-    return found
+        raise ValueError("; ".join(f"{r.institution_id}: {r.problem}" for r in problems))
+    return {r.institution_id: json.loads(r.profile) for r in found.collect()}
 
 
 def inbox(spark: SparkSession, path: str) -> DataFrame:

@@ -9,8 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, or below a temporary one where that is unset, as in local runs."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    """A new folder below ``spark.checkpoint.dir``; where that is unset, a temporary one in local sessions, else an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/admitflow-{uuid.uuid4().hex}"
 
 

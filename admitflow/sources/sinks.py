@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,31 @@ def put_if_new(documents: DataFrame, stored: DataFrame) -> DataFrame:
     return documents.join(stored.select("key", "sha256"), ["key", "sha256"], "left_anti")
 
 
+def merge_table(batch: DataFrame, path: str, keys: list[str], order: str | None = None, stamp: str | None = None) -> DataFrame:
+    """Upserts ``batch`` into the Parquet table at ``path`` and returns the table.
+
+    The table is a series of snapshots, ``version=N`` each; a new one is complete before readers see it, as the
+    writer's success marker is what makes it current. The first batch makes the table.
+    """
+    from ..operators.refdata import upsert
+
+    spark = batch.sparkSession
+    now = current_version(spark, path)
+    target = spark.read.parquet(f"{path}/version={now}") if now is not None else batch.drop(*([order] if order else [])).limit(0)
+    if stamp and stamp not in target.columns:
+        target = target.withColumn(stamp, F.current_timestamp())
+    upsert(target, batch, keys, order, stamp).write.mode("overwrite").parquet(f"{path}/version={0 if now is None else now + 1}")
+    return spark.read.parquet(f"{path}/version={0 if now is None else now + 1}")
+
+
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """Number of the last complete snapshot below ``path``, null without one."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    marks = fs.Path(f"{path}/version=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
+    return max((int(f.getPath().getParent().getName().removeprefix("version=")) for f in found or []), default=None)
+
+
 def write_by_institution(df: DataFrame, path: str) -> None:
     """Parquet laid out by institution and year."""
     df.write.mode("append").partitionBy("institution_id", "academic_year").parquet(path)

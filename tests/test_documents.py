@@ -194,24 +194,40 @@ def test_files_round_trip(spark, tmp_path):
     (tmp_path / "registry.json").write_text(json.dumps({"u": good}))
     assert files.checked_profiles(spark, str(tmp_path / "registry.json")) == {"u": good}
     broken = {"name": "n", "layout": {**good["layout"], "code_pattern": "(", "header_keywords": [], "odd": 1}, "classification": {**good["classification"], "admin_baseline": "x"}}
-    assert len(refdata.validate_profile("u", broken)) == 4 and refdata.validate_profile("u", {"name": 1}) != []
+    more = {"name": "n", "layout": {**good["layout"], "rotated_headers": "no", "mutually_exclusive_subjects": [["a"]], "rows_per_programme": "some"}, "classification": {**good["classification"], "weights": {**good["classification"]["weights"], "admin": {"odd": 1}}}}
+    profiles = spark.createDataFrame([("u", json.dumps(broken)), ("w", '{"name": 1}'), ("x", json.dumps(good)), ("y", "[1]"), ("z", json.dumps(more))], "institution_id string, profile string")
+    problems = {}
+    for r in refdata.profile_problems(profiles).collect():
+        problems.setdefault(r.institution_id, set()).add(r.problem)
+    assert len(problems["u"]) == 4 and {p.split(":")[0] for p in problems["u"]} == {"unknown key odd in layout", "code_pattern does not compile", "header_keywords must be a list that isn't empty", "admin_baseline must be numeric"}
+    assert problems["w"] == {"missing key layout in profile", "missing key classification in profile"} and "x" not in problems
+    assert "not an object in profile" in problems["y"]
+    assert problems["z"] == {"rotated_headers must be a boolean", "mutually_exclusive_subjects must hold groups of two or more subjects", "rows_per_programme must be one or many", "weights of admin have unknown signal odd"}
+    (tmp_path / "bad.json").write_text(json.dumps({"u": broken}))
+    with pytest.raises(ValueError, match="u: admin_baseline"):
+        files.checked_profiles(spark, str(tmp_path / "bad.json"))
+    batch = lambda *rows: spark.createDataFrame(list(rows), "id string, name string, version int")
+    assert sinks.current_version(spark, str(tmp_path / "t")) is None
+    sinks.merge_table(batch(("a", "one", 0), ("a", "two", 1), ("b", "b", 0)), str(tmp_path / "t"), ["id"], order="version")
+    got = sinks.merge_table(batch(("b", "new", 0), ("c", "c", 0)), str(tmp_path / "t"), ["id"], order="version", stamp="changed_at")
+    assert sorted((r.id, r.name) for r in got.collect()) == [("a", "two"), ("b", "new"), ("c", "c")] and sinks.current_version(spark, str(tmp_path / "t")) == 1
 
 
 def test_inbox_stream(spark, tmp_path):
     from admitflow.streaming import streams
 
-    for name, content in (("uj/2027/a.pdf", b"%PDF-1"), ("uj/2027/b.pdf", b"%PDF-1"), ("tut/2027/c.pdf", b"%PDF-2"), ("odd/d.pdf", b"%PDF-3"), ("uj/2027/e.pdf", b"junk")):
+    for name, content in (("odd/0.pdf", b"%PDF-1"), ("uj/2027/a.pdf", b"%PDF-1"), ("uj/2027/b.pdf", b"%PDF-1"), ("tut/2027/c.pdf", b"%PDF-2"), ("odd/d.pdf", b"%PDF-3"), ("uj/2027/e.pdf", b"junk")):
         (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / "in" / name).write_bytes(content)
     institutions = spark.createDataFrame([("uj", "UJ", "aps_best6_excl_lo"), ("tut", "TUT", "unconfigured")], "id string, name string, scoring_strategy string")
     run = lambda: streams.run_ingestion(streams.read_inbox(spark, str(tmp_path / "in")), institutions, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     run()
     got = spark.read.parquet(str(tmp_path / "out")).collect()
-    assert sorted((r.institution_id or "", r.status, r.error) for r in got) == [("", "failed", "path is not institution/year/file"), ("tut", "needs_profile", None), ("uj", "failed", "not a PDF"), ("uj", "pending", None)]
+    assert sorted((r.institution_id or "", r.status, r.error) for r in got) == [("", "failed", "path is not institution/year/file"), ("", "failed", "path is not institution/year/file"), ("tut", "needs_profile", None), ("uj", "failed", "not a PDF"), ("uj", "pending", None)]
     (tmp_path / "in/uj/2027/again.pdf").write_bytes(b"%PDF-2")
     (tmp_path / "in/uj/2027/new.pdf").write_bytes(b"%PDF-4")
     run()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 6
 
 
 def test_hooks(spark):

@@ -181,18 +181,20 @@ def test_qualification_of_one_learner(spark):
     assert q.validate_requests(bad)[1].first().reasons == "number of subjects; unknown subject; percentage out of range"
 
 
-def test_problems_of_trees():
-    from admitflow.operators.refdata import tree_problems
+def test_problems_of_trees(spark):
+    from admitflow.operators.refdata import tree_errors
 
-    tree = both(subject("alchemy", 3), either(), language("latin", 9, min_level_fal=0), {"kind": "subject", "min_level": 3}, extra(8), {"kind": "x"}, both(subject("music", 3), "text"))
-    assert tree_problems(json.dumps(tree)) == [
+    tree = both(subject("alchemy", 3), either(), language("latin", 9, min_level_fal=0), {"kind": "subject", "min_level": 3}, extra(8), {"kind": "x"}, both(subject("music", 3), "text"), subject("music", "4"))
+    got = tree_errors(spark.createDataFrame([(json.dumps(tree),), (json.dumps(tree),), (None,)], "subjects string")).collect()
+    assert sorted((r.path, r.problem) for r in got) == [
         ("$.all[0]", "unknown subject 'alchemy'"),
         ("$.all[1]", "empty any node"),
-        ("$.all[2]", "unknown language family 'latin'"),
         ("$.all[2]", "min_level 9 out of range 1-7"),
         ("$.all[2]", "min_level_fal 0 out of range 1-7"),
+        ("$.all[2]", "unknown language family 'latin'"),
         ("$.all[3]", "set exactly one of subject/language"),
         ("$.all[4]", "min_level out of range"),
         ("$.all[5]", "unknown rule kind 'x'"),
         ("$.all[6].all[1]", "not an object"),
+        ("$.all[7]", "min_level 4 out of range 1-7"),
     ]
