@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocabulary as v
 from ..functions.scalars import level, strict_level, subject_name
-from .rules import evaluate, flatten_trees
+from .rules import count_failures, evaluate, flatten_trees, usable_levels
 
 #: Score of a learner from the map of marks, by name of the strategy.
 SCORERS: dict[str, Callable[[Column], Column]] = {}
@@ -62,7 +62,9 @@ def learner_maps(marks: DataFrame) -> DataFrame:
 def threshold(score: Column, marks: Column) -> Column:
     """Lowest minimum score that applies: its subject is null or among the marks. Null without one."""
     applies = F.filter(score, lambda e: e["requires_subject"].isNull() | F.coalesce(F.map_contains_key(marks, e["requires_subject"]), F.lit(False)))
-    return F.array_min(F.transform(applies, lambda e: e["min_score"]))
+    # Most lists have one entry for all.
+    plain = (F.size(score) == 1) & score[0]["requires_subject"].isNull()
+    return F.when(plain, score[0]["min_score"]).otherwise(F.array_min(F.transform(applies, lambda e: e["min_score"])))
 
 
 def check_strategies(institutions: DataFrame) -> None:
@@ -95,9 +97,13 @@ def qualify(marks: DataFrame, requests: DataFrame, programmes: DataFrame, instit
     offered = prepared.join(institutions.select(F.col("id").alias("institution_id"), "scoring_strategy"), "institution_id")
     every = offered.agg(F.array_sort(F.collect_set("institution_id"))).scalar()
     pairs = learners.withColumn("institution_id", F.explode(F.coalesce("institutions", every)))
-    rules = offered.groupBy("institution_id", "rule_id").agg(F.first("nodes").alias("nodes"), F.first("excluded_subjects").alias("excluded_subjects"))
-    judged = pairs.join(rules, "institution_id").withColumn("rule_failures", evaluate(F.col("nodes"), F.col("marks"), F.col("levels"), F.col("excluded_subjects")))
-    judged = judged.select("learner_id", "institution_id", "rule_id", "marks", "scores", "academic_year", "include_near_misses", "rule_failures", F.size("rule_failures").alias("n_rule_failures"))
+    rules = offered.groupBy("institution_id", "rule_id").agg(F.first("nodes").alias("nodes"), F.first("excluded_subjects").alias("excluded_subjects"), F.collect_set("academic_year").alias("years"))
+    judged = pairs.join(rules, "institution_id").where("academic_year is null or array_contains(years, academic_year)")
+    usable, spoken = usable_levels(F.col("levels"), F.col("excluded_subjects"))
+    judged = judged.withColumns({"usable": usable, "spoken": spoken})
+    # The failures themselves are made only where a caller selects them.
+    judged = judged.withColumns({"rule_failures": evaluate(F.col("nodes"), F.col("marks"), F.col("levels"), F.col("excluded_subjects")), "n_rule_failures": count_failures(F.col("nodes"), F.col("usable"), F.col("spoken"))})
+    judged = judged.select("learner_id", "institution_id", "rule_id", "marks", "scores", "academic_year", "include_near_misses", "rule_failures", "n_rule_failures")
 
     plain = offered.select("institution_id", "rule_id", "scoring_strategy", F.col("academic_year").alias("year"), "qualification_code", "name", "faculty", "campus", "duration_years", "selection_notes", "ordinal", "score")
     both = judged.join(plain, ["institution_id", "rule_id"]).where("academic_year is null or academic_year = year")

@@ -187,6 +187,32 @@ def evaluate(nodes: Column, marks: Column, levels: Column, excluded: Column) ->
     return F.aggregate(nodes, F.array().cast(f"array<{_NONE}>"), step, lambda acc: F.element_at(acc, -1))
 
 
+def usable_levels(levels: Column, excluded: Column) -> tuple[Column, Column]:
+    """What ``count_failures`` asks: levels by subject without the excluded ones, and family and level of languages."""
+    shut = F.coalesce(excluded, F.array().cast("array<string>"))
+    usable = F.when(F.size(shut) == 0, levels).otherwise(F.map_filter(levels, lambda k, _: ~F.array_contains(shut, k)))
+    family = F.create_map(*[F.lit(x) for name, keys in v.FAMILIES.items() for key in keys for x in (key, name)])
+    spoken = F.transform(F.map_entries(usable), lambda e: F.struct(F.try_element_at(family, e["key"]).alias("family"), e["value"].alias("level")))
+    return usable, F.filter(spoken, lambda x: x["family"].isNotNull() & x["level"].isNotNull())
+
+
+def count_failures(nodes: Column, usable: Column, spoken: Column) -> Column:
+    """How many failures ``evaluate`` gives, without making any; the maps come from ``usable_levels``."""
+    reaches = lambda key, bar: F.coalesce(F.try_element_at(usable, key) >= bar, F.lit(False))
+
+    def step(acc: Column, n: Column) -> Column:
+        before = lambda c: F.element_at(acc, c + 1)
+        used = F.try_element_at(F.filter(n["consumers"], lambda c: before(c) == 0), F.lit(1))
+        family = F.try_element_at(nodes, used + 1)["language"]
+        more = F.exists(spoken, lambda x: (x["level"] >= n["min_level"]) & (family.isNull() | (x["family"] != family)))
+        passed = F.when(n["kind"] == "subject", reaches(n["key"], n["min_level"])).when(n["kind"] == "language", reaches(n["hl"], n["min_level"]) | reaches(n["fal"], n["min_level_fal"])).when(n["kind"] == "additional", more).otherwise(F.lit(False))
+        group = F.transform(n["children"], before)
+        out = F.when(n["kind"] == "all", F.aggregate(group, F.lit(0), lambda total, x: total + x)).when(n["kind"] == "any", F.array_min(group)).otherwise(F.when(passed, 0).otherwise(1))
+        return F.array_append(acc, out)
+
+    return F.aggregate(nodes, F.array().cast("array<int>"), step, lambda acc: F.element_at(acc, -1))
+
+
 #: Fields that tell rules of a kind apart; rules of other kinds differ in any field.
 _TELLING = {"subject": ["subject", "language", "min_level", "min_level_fal"], "any_additional_language": ["min_level"]}
 

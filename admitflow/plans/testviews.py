@@ -115,7 +115,8 @@ programmes AS (
 )"""
 
 
-def _qualify_sql() -> str:
+def qualify_sql(candidates: str) -> str:
+    """Results by learner and programme; ``candidates`` joins the programmes (as p) that a request asks for."""
     has = lambda s: f"(CASE WHEN list_contains(excl, '{s}') THEN NULL ELSE {s} END)"
     fail = lambda name, bar, level: f"['{name}:{bar}:' || coalesce(({level})::VARCHAR, '-')]"
     none = "[]::VARCHAR[]"
@@ -155,7 +156,7 @@ def _qualify_sql() -> str:
   FROM marks GROUP BY learner_id
 ), pairs AS (
   SELECT w.*, p.*, CASE WHEN NOT conditional OR mathematics IS NOT NULL THEN least WHEN mathematical_literacy IS NOT NULL THEN least + 2 END::INT AS score_required
-  FROM wide w JOIN customer ON c_custkey = w.learner_id JOIN nation ON n_nationkey = c_nationkey JOIN programmes p ON p.institution_id = n_name
+  FROM wide w {candidates}
 ), judged AS (
   SELECT *, (CASE WHEN score_required IS NULL THEN ['score:-:' || score_actual] WHEN score_actual < score_required THEN ['score:' || score_required || ':' || score_actual] ELSE {none} END)
     || (CASE p_type {cases} END) AS failures FROM pairs
@@ -166,7 +167,7 @@ def _qualify_sql() -> str:
 )"""
 
 
-QUALIFY = _qualify_sql()
+QUALIFY = qualify_sql("JOIN customer ON c_custkey = w.learner_id JOIN nation ON n_nationkey = c_nationkey JOIN programmes p ON p.institution_id = n_name")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

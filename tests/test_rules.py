@@ -198,3 +198,31 @@ def test_problems_of_trees(spark):
         ("$.all[6].all[1]", "not an object"),
         ("$.all[7]", "min_level 4 out of range 1-7"),
     ]
+
+
+def test_counts_are_those_of_the_failures(spark):
+    """Random trees, marks and exclusions: the count without messages is the number of failures."""
+    import random
+
+    from admitflow.functions.scalars import level
+    from admitflow.operators.rules import count_failures, usable_levels
+
+    rng = random.Random(5)
+    keys = ["english_hl", "english_fal", "afrikaans_hl", "afrikaans_fal", "isizulu_hl", "mathematics", "music", "history"]
+
+    def tree(depth):
+        kind = rng.choice(["subject", "language", "extra", "odd"] + ["all", "any"] * (2 if depth else 0))
+        if kind in ("all", "any"):
+            return (both if kind == "all" else either)(*[tree(depth - 1) for _ in range(rng.randint(0, 4))])
+        if kind == "subject":
+            return subject(rng.choice(keys[5:]), rng.randint(1, 7))
+        if kind == "language":
+            return language(rng.choice(["english", "afrikaans", "isizulu"]), rng.randint(1, 7), **({"min_level_fal": rng.randint(1, 7)} if rng.random() < 0.5 else {}))
+        return extra(rng.randint(1, 7)) if kind == "extra" else {"kind": "riddle"}
+
+    rows = [(json.dumps(tree(3)), {k: rng.randint(0, 100) for k in rng.sample(keys, rng.randint(0, 6))}, rng.sample(keys, rng.randint(0, 2))) for _ in range(150)]
+    df = spark.createDataFrame(rows, "subjects string, marks map<string,int>, excluded array<string>")
+    df = df.join(flatten_trees(df), "subjects").withColumn("levels", F.transform_values("marks", lambda _, p: level(p)))
+    usable, spoken = usable_levels(F.col("levels"), F.col("excluded"))
+    got = df.select(F.size(evaluate(F.col("nodes"), F.col("marks"), F.col("levels"), F.col("excluded"))).alias("n"), count_failures(F.col("nodes"), usable, spoken).alias("c")).collect()
+    assert len(got) >= 150 and all(r.n == r.c for r in got) and len({r.n for r in got}) > 3
