@@ -44,6 +44,10 @@ def validate_requests(marks: DataFrame, least: int = 6, most: int = 9) -> tuple[
     A learner is rejected for an unknown subject, a percentage outside 0 to 100 or null, or another number of rows
     than ``least`` to ``most``, repeated subjects counted each.
     """
+    spark = marks.sparkSession
+    # All that follows groups by learner, so this is its only exchange; few bytes are much work, hence a task per core.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    marks = marks.repartition(tasks, "learner_id")
     known = F.coalesce(F.col("subject").isin(v.SUBJECTS), F.lit(False))
     in_range = F.coalesce(F.col("percentage").between(0, 100), F.lit(False))
     facts = marks.groupBy("learner_id").agg(F.count("*").alias("n"), F.count_if(~known).alias("unknown"), F.count_if(~in_range).alias("outside"))

@@ -19,19 +19,19 @@ from .queries import query
 
 
 def _chars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 200 characters of each document, rotated but in every third document; lines break every 20."""
-    d = t.table(spark, sf_dir, "documents").select("doc_id", F.substr("text", F.lit(1), F.lit(200)).alias("text"))
-    c = d.select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.greatest(F.length("text") - 1, F.lit(0)))).alias("seq"))
+    """The characters of each document, rotated but in every third document; lines break every 20."""
+    d = t.spread(t.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    c = d.select("doc_id", F.posexplode(F.split("text", "")).alias("seq", "text"))
     n = F.col("seq")
     piece = F.floor(n / 20)
     return c.where(F.length("text") > 0).select(
-        F.lit("all").alias("doc"), F.col("doc_id").cast("int").alias("page"), "seq", F.substr("text", n + 1, F.lit(1)).alias("text"), (F.col("doc_id") % 3 == 0).alias("upright"),
+        F.lit("all").alias("doc"), F.col("doc_id").cast("int").alias("page"), "seq", "text", (F.col("doc_id") % 3 == 0).alias("upright"),
         F.lit(0.0).alias("a"), F.lit(8.0).alias("b"), F.lit(-8.0).alias("c"), F.lit(0.0).alias("d"), (F.floor(n / 60) * 20).cast("double").alias("e"), (n * 5 + piece * 30).cast("double").alias("f"),
         (F.floor(n / 60) * 20).cast("double").alias("x0"), (F.floor(n / 60) * 20 + 8).cast("double").alias("x1"), (n * 5).cast("double").alias("top"), (n * 5 + 5).cast("double").alias("bottom"),
     )
 
 
-_CHARS = """chars AS (SELECT doc_id::INT AS page, n, substr(text, n + 1, 1) AS ch, n // 60 AS col, n // 20 AS piece FROM (SELECT doc_id, substr(text, 1, 200) AS text, unnest(range(length(substr(text, 1, 200)))) AS n FROM documents) WHERE doc_id % 3 <> 0
+_CHARS = """chars AS (SELECT doc_id::INT AS page, n, ch, n // 60 AS col, n // 20 AS piece FROM (SELECT doc_id, unnest(string_split(text, '')) AS ch, unnest(range(length(text))) AS n FROM documents WHERE text <> '') WHERE doc_id % 3 <> 0
 ), runs AS (SELECT page, -160.0 * col AS perp, piece, string_agg(ch, '' ORDER BY n) AS text, min(n) AS first_n, avg(col * 20.0) AS x0, min(n * 5.0) AS top, max(n * 5.0 + 5) AS bottom FROM chars GROUP BY page, col, piece
 ), numbered AS (SELECT *, (row_number() OVER (PARTITION BY page ORDER BY perp, piece) - 1)::INT AS run FROM runs)"""
 
@@ -131,7 +131,7 @@ def programme_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ocr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p, n = t.table(spark, sf_dir, "part"), F.col("p_partkey").cast("string")
+    p, n = t.spread(t.table(spark, sf_dir, "part")), F.col("p_partkey").cast("string")
     table = F.concat(
         F.lit("text\n| Programme | English | Qualification Code | Mathematics | Campus | APS |\n|---|:-:|---|---|---|---|\n| <|det|>"), F.element_at(F.split("p_name", " "), 1), F.lit(" [1, 2]<|/det|> | 4 | B2"), F.lpad((F.col("p_partkey") % 10000).cast("string"), 4, "0"),
         F.lit(" | "), (F.col("p_partkey") % 7 + 1).cast("string"), F.lit(" (60%) | APB, SWC | "), (10 + F.col("p_size")).cast("string"), F.lit(" |\n| no code | 4 | - | 5 | APB | 30 |\n"),
@@ -230,17 +230,17 @@ def annotated_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _annotated(spark, sf_dir).select("k", "status", "institution_id")
 
 
-@query(f"WITH {_ENTRIES} SELECT n_name AS institution_id, EXISTS (SELECT 1 FROM entries e WHERE e.institution_id = n_name AND academic_year = 2027 AND k % 3 = 0) AS present FROM nation")
+@query(f"WITH {_ENTRIES} SELECT n_name AS institution_id, EXISTS (SELECT 1 FROM entries e WHERE e.institution_id = n_name AND academic_year = 2027) AS present FROM nation")
 def year_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which institutions a year's entries cover."""
-    return discovery.coverage(_annotated(spark, sf_dir).where("k % 3 = 0"), t.institutions(spark, sf_dir), 2027)
+    return discovery.coverage(_annotated(spark, sf_dir), t.institutions(spark, sf_dir), 2027)
 
 
-@query(f"""WITH {_ENTRIES}, e AS (SELECT * FROM entries WHERE k % 3 = 0), m AS (SELECT n_name AS i FROM nation WHERE n_name NOT IN (SELECT institution_id FROM e WHERE academic_year = 2027 AND institution_id IS NOT NULL))
+@query(f"""WITH {_ENTRIES}, e AS (SELECT * FROM entries), m AS (SELECT n_name AS i FROM nation WHERE n_name NOT IN (SELECT institution_id FROM e WHERE academic_year = 2027 AND institution_id IS NOT NULL))
     SELECT i AS institution_id, coalesce(string_agg(DISTINCT academic_year, ',' ORDER BY academic_year DESC), '') AS years FROM m LEFT JOIN e ON e.institution_id = i AND academic_year BETWEEN 2023 AND 2026 GROUP BY i""")
 def historical_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Earlier years that cover the institutions missing now."""
-    out = discovery.historical_coverage(_annotated(spark, sf_dir).where("k % 3 = 0"), t.institutions(spark, sf_dir), 2027)
+    out = discovery.historical_coverage(_annotated(spark, sf_dir), t.institutions(spark, sf_dir), 2027)
     return out.withColumn("years", F.array_join(F.transform("years", lambda y: y.cast("string")), ","))
 
 
@@ -262,12 +262,12 @@ def tree_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams
 
 
-@query("SELECT DISTINCT sha256(text) AS sha256 FROM documents WHERE text IS NOT NULL")
+@query("SELECT DISTINCT sha256('%PDF-' || text) AS sha256 FROM documents WHERE text IS NOT NULL")
 def stream_deduplicated_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashes of a stream's contents, equal ones once."""
     folder = scratch_folder(spark)
     source = spark.readStream.schema(t.table(spark, sf_dir, "documents").schema).parquet(f"{sf_dir}/documents.parque[t]")  # as a pattern, it may be a file or a folder
-    documents = source.where("text is not null").select(F.concat(F.lit("/in/"), F.lower("source"), F.lit("/2027/"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path"), F.col("text").cast("binary").alias("content"))
+    documents = source.where("text is not null").select(F.concat(F.lit("/in/site/2027/"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path"), F.concat(F.lit("%PDF-"), "text").cast("binary").alias("content"))
     streams.run_ingestion(documents, t.institutions(spark, sf_dir), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("sha256")
 

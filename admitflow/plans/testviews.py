@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores: a given table is one file, which one task would read and work off."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def raw_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marks with repeated subjects; ``ordinal`` orders them."""
     lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -74,7 +79,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def programmes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part, nation = table(spark, sf_dir, "part"), table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    part, nation = spread(table(spark, sf_dir, "part")), table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     tree = F.element_at(F.create_map(*[F.lit(x) for k, t in TREES.items() for x in (k, json.dumps(t))]), F.col("p_type"))
     brand = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int") % 5
     none = F.array().cast("array<string>")
@@ -176,7 +181,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     d = table(spark, sf_dir, "documents")
     page = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    return d.select(F.col("source").alias("doc"), page.alias("page"), "text", "doc_id", "n_chars")
+    return spread(d.select(F.col("source").alias("doc"), page.alias("page"), "text", "doc_id", "n_chars"))
 
 
 PAGES = """
