@@ -36,8 +36,8 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+    def save(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+        df.write.mode("overwrite").option("compression", compression).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

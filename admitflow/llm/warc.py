@@ -54,7 +54,7 @@ def write_archives(pages: DataFrame, path: str, file_bytes: int = 128 << 20, min
     scratch = scratch or Scratch(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", _payload().alias("html"))
     rows = rows.select("*", F.sha1(F.col("html").cast("binary")).alias("digest"), F.octet_length("html").cast("long").alias("size"), F.monotonically_increasing_id().alias("row"))
-    rows = scratch.save(rows, "rows")
+    rows = scratch.save(rows, "rows", "zstd")
     plan = scratch.save(plan_records(rows.select("row", "page_id", "digest", "size"), min_bytes), "plan")
     uri = F.coalesce(F.regexp_replace("url", r"[\r\n]", ""), F.concat(F.lit(_ID), F.coalesce(F.col("page_id").cast("string"), F.lit(""))))
     size = F.col("size").cast("string")
