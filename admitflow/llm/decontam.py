@@ -95,6 +95,9 @@ class Lsh:
         rng = np.random.default_rng(seed)
         self.tables = []
         buf, starts, owner, offset = _window_list(items, steps)
+        # Some 32 places for each key, so that few walks of documents go on by chance; a table per sample of each walk.
+        bits = min(22, max(12, (32 * len(starts)).bit_length()))
+        self.shift = np.uint64(64 - bits)
         for _ in range(repetitions):
             walk = rng.integers(0, 2, (steps, 256), np.uint8)
             walk[:, 0] = 0  # the end of a text is never left
@@ -106,7 +109,8 @@ class Lsh:
                 if t in at:
                     h = (h + c + np.uint64(1)) * _P
                     depth += 1
-                    seen[depth] = _bitmap(h)
+                    seen[depth] = np.zeros(1 << bits, bool)
+                    seen[depth][h >> self.shift] = True
                 pos = pos + walk[t][c]
             order = np.argsort(h, kind="stable")
             self.tables.append((walk, at, seen, h[order], owner[order], offset[order]))
@@ -120,7 +124,7 @@ class Lsh:
                     h = (h + c + np.uint64(1)) * _P
                     depth += 1
                     if depth > 1:
-                        keep = np.flatnonzero(seen[depth][h >> np.uint64(44)])
+                        keep = np.flatnonzero(seen[depth][h >> self.shift])
                         pos, h, first, c = pos[keep], h[keep], first[keep], c[keep]
                         if not len(pos):
                             break
@@ -132,12 +136,6 @@ class Lsh:
                 yield np.repeat(first, n), owner[at_key], offset[at_key]
 
 
-def _bitmap(h: np.ndarray) -> np.ndarray:
-    out = np.zeros(1 << 20, bool)
-    out[h >> np.uint64(44)] = True
-    return out
-
-
 def _window_list(items: list[tuple[int, bytes]], steps: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Items in one buffer, and of each window its start, item and offset; windows that the item can't fill are left
     out but for the first."""
