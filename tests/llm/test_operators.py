@@ -370,13 +370,13 @@ def test_shards_equal_brute_force(spark):
 
 
 def test_shards_prune(spark, tmp_path):
-    """A filter on any dimension leaves most shards unread."""
+    """A filter on any dimension leaves most shards unread. Texts differ, as copies lie together whatever their values."""
     from pyspark.sql import functions as F
 
     from admitflow.llm.sharding import write_shards
 
     rng = random.Random(17)
-    rows = [(k, "x" * int(2 ** rng.uniform(3, 11)), f"lang{rng.randrange(8)}", f"source{rng.randrange(8)}") for k in range(4000)]
+    rows = [(k, f"{k:04}" + "x" * int(2 ** rng.uniform(3, 11)), f"lang{rng.randrange(8)}", f"source{rng.randrange(8)}") for k in range(4000)]
     write_shards(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), str(tmp_path / "p"), 64)
     stored = spark.read.parquet(str(tmp_path / "p"))
     by_shard = stored.groupBy("shard").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("lang", "source") for f in (F.min, F.max)], F.min(F.length("text")).alias("min_size"), F.max(F.length("text")).alias("max_size")).collect()
