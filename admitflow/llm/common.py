@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -237,3 +237,21 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str, most_rou
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     roots = now.select(F.col("b").alias("id")).distinct()
     return now.select(F.col("a").alias("id"), F.col("b").alias("label")).unionByName(roots.select("id", F.col("id").alias("label")))
+
+
+def numbered(rows: DataFrame, order: list[Column], scratch: Scratch, name: str, number: str = "number") -> DataFrame:
+    """``rows`` with their place (from 0) in the given order, written to ``scratch``.
+
+    A range partitioning deals the rows out, so a hot value is split where rows differ in a later column of the order;
+    only one count per partition comes to the driver.
+    """
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = scratch.save(ordered.withColumn(number, F.monotonically_increasing_id()), name)
+    part = F.shiftright(number, 33)
+    before, starts = 0, []
+    for p, n in sorted(placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()):
+        starts.append((p, before))
+        before += n
+    starts = placed.sparkSession.createDataFrame(starts, "number_part long, number_before long")
+    joined = placed.withColumn("number_part", part).join(F.broadcast(starts), "number_part")
+    return joined.withColumn(number, F.col(number).bitwiseAND(F.lit((1 << 33) - 1)) + F.col("number_before")).drop("number_part", "number_before")

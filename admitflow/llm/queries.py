@@ -95,6 +95,24 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resample import importance_resample
+
+    return importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sources
+
+    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "repeats")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import conversation_trie
+
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -108,10 +126,78 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_language_id,
         op10_warc_revisits,
+        op11_importance_resampling,
+        op12_source_mixing,
+        op13_conversation_trie,
     )
 }
 
+#: DuckDB has no CRC-32: its table of 256 by the shift rule, and the CRC of the bytes of ``words.w``.
+_CRC32 = """
+        t AS (
+          SELECT list(c ORDER BY b) AS tab FROM (
+            SELECT b, list_reduce(range(8), lambda a, k: xor(a >> 1, 3988292384 * (a & 1)), b) AS c FROM (SELECT unnest(range(256))::BIGINT AS b)
+          ) AS bytes(b, c)
+        ), crc AS (
+          SELECT w, 4294967295 - list_reduce(range(strlen(w)), lambda a, k: xor(a >> 8, tab[1 + xor(a & 255, ('0x' || substr(x, (2 * k + 1)::INT, 2))::BIGINT)]), 4294967295::BIGINT) AS crc
+          FROM (SELECT w, hex(encode(w)) AS x FROM words), t
+        )"""
+
 ORACLES: dict[str, str] = {
+    "op11_importance_resampling": f"""
+        WITH d AS (
+          SELECT doc_id, row_number() OVER () AS n, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+          FROM documents
+        ), b AS (
+          SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark
+        ), f AS (
+          SELECT n, w, count(*) AS c FROM (SELECT n, unnest(ws) AS w FROM d) GROUP BY n, w
+        ), words AS (
+          SELECT w FROM f UNION SELECT w FROM b
+        ), {_CRC32.strip()}, s AS (
+          SELECT crc % 10000 AS bucket, sum(c) AS s FROM f JOIN crc USING (w) GROUP BY 1
+        ), tt AS (
+          SELECT crc % 10000 AS bucket, count(*) AS t FROM b JOIN crc USING (w) GROUP BY 1
+        ), g AS (
+          SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT sum(s) FROM s) + 10000)::DOUBLE / ((s + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM tt) + 10000)::DOUBLE)))::BIGINT AS gain
+          FROM s LEFT JOIN tt USING (bucket)
+        ), w AS (
+          SELECT n, floor(sum(c * gain)::DOUBLE / sum(c)::DOUBLE)::BIGINT AS weight FROM f JOIN crc USING (w) JOIN g ON g.bucket = crc % 10000 GROUP BY n
+        ), r AS (
+          SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+            coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+          FROM d LEFT JOIN w USING (n)
+        ), k AS (
+          SELECT doc_id, n_features, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, (count(*) OVER () * 10) // 100 AS draw, n FROM (SELECT *, row_number() OVER () AS n FROM r WHERE n_features >= 20)
+        )
+        SELECT r.doc_id, r.n_features, r.weight, r.score, k.rank FROM r LEFT JOIN k ON k.doc_id = r.doc_id AND k.rank <= k.draw""",
+    "op13_conversation_trie": f"""
+        WITH own AS (
+          SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+        ), words AS (
+          SELECT DISTINCT conv_id::VARCHAR AS w FROM own
+        ), {_CRC32.strip()}, c AS (
+          SELECT w::BIGINT AS conv_id, crc % 6 AS h, w::BIGINT - w::BIGINT % 100 AS base FROM crc
+        ), lead AS (
+          SELECT c.conv_id, o.pos AS d, o.role, o.text FROM c JOIN own o ON o.conv_id = c.base AND o.pos <= c.h
+        ), k AS (
+          SELECT c.conv_id, c.h, count(lead.d) AS k FROM c LEFT JOIN lead USING (conv_id) GROUP BY ALL
+        ), turns AS (
+          SELECT * FROM lead UNION ALL SELECT conv_id, k + pos - h, role, text FROM own JOIN k USING (conv_id) WHERE pos > h
+        ), seqs AS (
+          SELECT c.conv_id, coalesce(list(md5(length(role) || ':' || role || ':' || text) ORDER BY d) FILTER (d IS NOT NULL), []) AS seq, coalesce(list(length(text) ORDER BY d) FILTER (d IS NOT NULL), []) AS chars
+          FROM c LEFT JOIN turns USING (conv_id) GROUP BY c.conv_id
+        ), p AS (
+          SELECT conv_id, d::BIGINT AS d, array_to_string(seq[1:d], '') AS node, array_to_string(seq[1:d - 1], '') AS up, CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars, len(seq) AS n
+          FROM (SELECT *, unnest(range(len(seq) + 1)) AS d FROM seqs)
+        ), v AS (
+          SELECT node, any_value(up) AS up, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars, max(n) = any_value(d) AS leaf,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256 FROM p GROUP BY node
+        ), s AS (
+          SELECT p.node, count(*) FILTER (v.leaf) AS n_leaves, sum((v.n_convs - 1) * v.chars)::BIGINT AS saved_tokens FROM v JOIN p ON p.conv_id = v.conv_id AND p.d <= v.d GROUP BY p.node
+        )
+        SELECT v.conv_id, v.d AS depth, u.conv_id AS parent_conv_id, v.n_convs, (SELECT count(*) FROM v x WHERE x.up = v.node AND x.d = v.d + 1) AS n_children, s.n_leaves, s.saved_tokens, v.ends_sha256
+        FROM v JOIN s USING (node) LEFT JOIN v u ON v.d > 0 AND u.node = v.up""",
     "op2_exact_topk_search": """
         WITH v AS (
           SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
