@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,6 +85,31 @@ def prepare_programmes(programmes: DataFrame) -> DataFrame:
     return programmes.join(flatten_trees(programmes), "subjects", "left")
 
 
+@dataclass
+class Offer:
+    """Programmes made ready for evaluation: distinct rules, and the programmes that share them."""
+
+    rules: DataFrame
+    programmes: DataFrame
+    institutions: DataFrame
+
+    def kept(self) -> Offer:
+        """The same from written tables: trees are flattened once and not with every use."""
+        from ..sources.scratch import kept
+
+        return Offer(kept(self.rules), kept(self.programmes), kept(self.institutions))
+
+
+def offer_of(programmes: DataFrame, institutions: DataFrame) -> Offer:
+    """``programmes`` and ``institutions`` made ready; fails where an institution has no scorer."""
+    check_strategies(institutions)
+    prepared = prepare_programmes(programmes).withColumn("rule_id", F.xxhash64("subjects", "excluded_subjects"))
+    offered = prepared.join(institutions.select(F.col("id").alias("institution_id"), "scoring_strategy"), "institution_id")
+    rules = offered.groupBy("institution_id", "rule_id").agg(F.first("nodes").alias("nodes"), F.first("excluded_subjects").alias("excluded_subjects"), F.collect_set("academic_year").alias("years"))
+    plain = offered.select("institution_id", "rule_id", "scoring_strategy", F.col("academic_year").alias("year"), "qualification_code", "name", "faculty", "campus", "duration_years", "selection_notes", "ordinal", "score")
+    return Offer(rules, plain, offered.select("institution_id").distinct())
+
+
 def qualify(marks: DataFrame, requests: DataFrame, programmes: DataFrame, institutions: DataFrame) -> DataFrame:
     """A row per learner and candidate programme: learner_id, institution_id, academic_year, qualification_code,
     name, ordinal, score_required, score_actual, margin, failures, n_failures, bucket.
@@ -92,16 +118,18 @@ def qualify(marks: DataFrame, requests: DataFrame, programmes: DataFrame, instit
     failures, if the request wants them) or none. Rules are evaluated once per learner, institution and distinct
     pair of tree and exclusions, and then meet the programmes that share them.
     """
-    check_strategies(institutions)
-    prepared = prepare_programmes(programmes).withColumn("rule_id", F.xxhash64("subjects", "excluded_subjects"))
+    return qualify_offer(marks, requests, offer_of(programmes, institutions))
+
+
+def qualify_offer(marks: DataFrame, requests: DataFrame, offer: Offer) -> DataFrame:
+    """``qualify`` for programmes that were made ready before."""
     learners = learner_maps(marks).join(requests, "learner_id")
     scores = F.create_map(*[x for name, builder in SCORERS.items() for x in (F.lit(name), builder(F.col("marks")))])
     learners = learners.withColumn("scores", scores)
 
-    offered = prepared.join(institutions.select(F.col("id").alias("institution_id"), "scoring_strategy"), "institution_id")
-    every = offered.agg(F.array_sort(F.collect_set("institution_id"))).scalar()
+    rules, plain = offer.rules, offer.programmes
+    every = offer.institutions.agg(F.array_sort(F.collect_set("institution_id"))).scalar()
     pairs = learners.withColumn("institution_id", F.explode(F.coalesce("institutions", every)))
-    rules = offered.groupBy("institution_id", "rule_id").agg(F.first("nodes").alias("nodes"), F.first("excluded_subjects").alias("excluded_subjects"), F.collect_set("academic_year").alias("years"))
     judged = pairs.join(rules, "institution_id").where("academic_year is null or array_contains(years, academic_year)")
     usable, spoken = usable_levels(F.col("levels"), F.col("excluded_subjects"))
     judged = judged.withColumns({"usable": usable, "spoken": spoken})
@@ -109,7 +137,6 @@ def qualify(marks: DataFrame, requests: DataFrame, programmes: DataFrame, instit
     judged = judged.withColumns({"rule_failures": evaluate(F.col("nodes"), F.col("marks"), F.col("levels"), F.col("excluded_subjects")), "n_rule_failures": count_failures(F.col("nodes"), F.col("usable"), F.col("spoken"))})
     judged = judged.select("learner_id", "institution_id", "rule_id", "marks", "scores", "academic_year", "include_near_misses", "rule_failures", "n_rule_failures")
 
-    plain = offered.select("institution_id", "rule_id", "scoring_strategy", F.col("academic_year").alias("year"), "qualification_code", "name", "faculty", "campus", "duration_years", "selection_notes", "ordinal", "score")
     both = judged.join(plain, ["institution_id", "rule_id"]).where("academic_year is null or academic_year = year")
     both = both.withColumn("score_actual", F.element_at("scores", F.col("scoring_strategy"))).withColumn("score_required", threshold(F.col("score"), F.col("marks")))
     # Counted without the messages, so that these are made only where a caller selects them.

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,21 +44,68 @@ def _struct(ddl: str) -> str:
     return ",".join(":".join(f.strip().split(" ", 1)) for f in ddl.split(","))
 
 
+def scan_objects(spark: SparkSession, path: str) -> DataFrame:
+    """(file, key, value, error) of files that hold one JSON object each: a row per entry, value as a variant.
+
+    A file that doesn't parse, or holds something else, is a row with an error and doesn't stop the others.
+    """
+    text = spark.read.format("text").option("wholetext", True).load(path).select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("whole"))
+    kind = F.schema_of_variant("whole")
+    wrong = F.when(F.col("whole").isNull(), "not JSON").when(~kind.startswith("OBJECT"), F.concat(F.lit("not an object but "), F.lower(F.regexp_extract(kind, r"^\w+", 0))))
+    text = text.withColumn("error", wrong)
+    spark_view = text.where("error is null")
+    entries = spark_view.lateralJoin(spark.tvf.variant_explode(F.col("whole").outer())).select("file", "key", "value", F.lit(None).cast("string").alias("error"))
+    return entries.unionByName(text.where("error is not null").select("file", "error"), allowMissingColumns=True)
+
+
 def profiles(spark: SparkSession, path: str) -> DataFrame:
-    """(institution_id, profile) of a registry file: an object of profiles by institution; profile is JSON text."""
-    text = spark.read.format("text").option("wholetext", True).load(path)
-    return text.select(F.explode(F.from_json("value", "map<string,string>")).alias("institution_id", "profile"))
+    """(institution_id, profile) of registry files, objects of profiles by institution; profile is JSON text."""
+    return scan_objects(spark, path).where("error is null").select(F.col("key").alias("institution_id"), F.to_json("value").alias("profile"))
 
 
-def checked_profiles(spark: SparkSession, path: str) -> dict[str, dict]:
-    """The registry as dictionaries; fails with all problems of its profiles."""
+def profile_scan(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(profiles without problems, problems) of registry files, each problem with its file and institution."""
     from ..operators.refdata import profile_problems
 
-    found = profiles(spark, path)
-    problems = profile_problems(found).orderBy("institution_id", "problem").limit(100).collect()
-    if problems:
-        raise ValueError("; ".join(f"{r.institution_id}: {r.problem}" for r in problems))
-    return {r.institution_id: json.loads(r.profile) for r in found.collect()}
+    entries = scan_objects(spark, path)
+    found = entries.where("error is null").select("file", F.col("key").alias("institution_id"), F.to_json("value").alias("profile"))
+    problems = profile_problems(found).join(found.select("file", "institution_id"), "institution_id").select("file", "institution_id", "problem")
+    broken = entries.where("error is not null").select("file", F.lit(None).cast("string").alias("institution_id"), F.col("error").alias("problem"))
+    return found.join(problems.select("institution_id"), "institution_id", "left_anti").select("institution_id", "profile"), problems.unionByName(broken)
+
+
+def checked_profiles(spark: SparkSession, path: str) -> DataFrame:
+    """(institution_id, profile) of registry files; fails where a profile or a file has a problem, with the first 100."""
+    good, problems = profile_scan(spark, path)
+    told = problems.orderBy("institution_id", "problem").limit(100).collect()
+    if told:
+        raise ValueError("; ".join(f"{r.institution_id or r.file}: {r.problem}" for r in told))
+    return good
+
+
+#: What a programme of an exported dataset must have, and of what kind.
+_EXPORTED = {"institution_id": "STRING", "academic_year": "BIGINT", "qualification_code": "STRING", "name": "STRING", "requirements": "OBJECT"}
+
+
+def scan_dataset(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(programmes with defaults, errors) of exported datasets, as ``exported`` but with errors as rows.
+
+    A programme that lacks a key or has it of another kind is an error of its file and place; the others are read.
+    """
+    entries = scan_objects(spark, path)
+    listed = entries.where("error is null and key = 'programmes'")
+    kind = F.schema_of_variant("value")
+    no_list = listed.where(~kind.startswith("ARRAY")).select("file", F.lit("programmes is no array").alias("error"))
+    items = listed.where(kind.startswith("ARRAY")).select("file", "value").withColumnRenamed("value", "list")
+    items = items.lateralJoin(spark.tvf.variant_explode(F.col("list").outer())).select("file", F.col("pos").alias("place"), F.col("value").alias("item"))
+    at = lambda k: F.schema_of_variant(F.try_variant_get("item", f"$.{k}", "variant"))
+    # A key that is absent gives no variant and null; one that is null gives VOID.
+    wrong = [F.when(at(k).isNull(), F.lit(f"missing {k}")).when(~at(k).startswith(want), F.concat(F.lit(f"{k} is "), F.lower(F.regexp_extract(at(k), r"^\w+", 0)))) for k, want in _EXPORTED.items()]
+    shape = F.when(F.schema_of_variant("item").startswith("OBJECT"), F.array_compact(F.array(*wrong))).otherwise(F.array(F.lit("not an object")))
+    items = items.withColumn("wrong", shape)
+    good = items.where("size(wrong) = 0").select("file", "place", F.to_json("item").alias("body"))
+    errors = items.select("file", F.explode("wrong").alias("e"), "place").select("file", F.concat(F.lit("programmes["), F.col("place").cast("string"), F.lit("]: "), F.col("e")).alias("error"))
+    return _programmes(good, ["file", "place"]), errors.unionByName(no_list).unionByName(entries.where("error is not null").select("file", "error"))
 
 
 def inbox(spark: SparkSession, path: str) -> DataFrame:

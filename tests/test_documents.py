@@ -192,7 +192,7 @@ def test_files_round_trip(spark, tmp_path):
         refdata.refuse_below(seeds, 10)
     good = {"name": "n", "layout": v.DEFAULT_PROFILE["layout"], "classification": v.DEFAULT_PROFILE["classification"]}
     (tmp_path / "registry.json").write_text(json.dumps({"u": good}))
-    assert files.checked_profiles(spark, str(tmp_path / "registry.json")) == {"u": good}
+    assert [(r.institution_id, json.loads(r.profile)) for r in files.checked_profiles(spark, str(tmp_path / "registry.json")).collect()] == [("u", good)]
     broken = {"name": "n", "layout": {**good["layout"], "code_pattern": "(", "header_keywords": [], "odd": 1}, "classification": {**good["classification"], "admin_baseline": "x"}}
     more = {"name": "n", "layout": {**good["layout"], "rotated_headers": "no", "mutually_exclusive_subjects": [["a"]], "rows_per_programme": "some"}, "classification": {**good["classification"], "weights": {**good["classification"]["weights"], "admin": {"odd": 1}}}}
     profiles = spark.createDataFrame([("u", json.dumps(broken)), ("w", '{"name": 1}'), ("x", json.dumps(good)), ("y", "[1]"), ("z", json.dumps(more))], "institution_id string, profile string")

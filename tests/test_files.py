@@ -30,8 +30,8 @@ def test_cached_pages(spark, tmp_path):
     hit, rest = files.split_cached(asked, cache)
     assert hit.count() == 1 and [r.page for r in rest.collect()] == [13]
     tagged = spark.createDataFrame([("d", 1, "x <|det|>word [1, 2]<|/det|> y")], "doc string, page int, markdown string")
-    sinks.store_markdown(tagged, str(tmp_path / "kept"))
-    assert spark.read.parquet(str(tmp_path / "kept")).first().markdown == "x word y"
+    assert sinks.store_markdown(tagged, str(tmp_path / "kept")) == 1
+    assert files.ocr_pages(spark, str(tmp_path / "kept")).collect() == [("d", 1, "x word y")]
 
 
 def test_discovery_files(spark, tmp_path):
@@ -63,16 +63,6 @@ def test_layout_and_upserts(spark, tmp_path):
     assert sorted((r.code, r.v) for r in same if r.code != "C") == [("A", 1), ("B", 1)] and len(same) == 3
 
 
-def test_revalidation_stream(spark, tmp_path):
-    from admitflow.streaming import streams
-
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in/a.json").write_text('{"row_id": 1, "body": "[]"}\n{"row_id": 2, "body": "{\\"name\\": 1}"}\n')
-    changed = spark.readStream.schema("row_id long, body string").json(str(tmp_path / "in"))
-    streams.revalidate(changed, lambda batch: refdata.structural_errors(batch, ["name"], ["name"]), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    assert [(r.row_id, r.error) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [(1, "not an object")]
-
-
 def test_repair_report(spark):
     runs = spark.createDataFrame([("d", 1, "QSAM6D"), ("d", 1, "B8BA3Q"), ("d", 2, "fine")], "doc string, page int, text string")
     got = {r.page: (r.reversed_runs, r.runs, r.passed) for r in pages.repair_report(runs, r"[A-Z]\d[A-Z0-9]{3,4}").collect()}
