@@ -29,11 +29,52 @@ def register_scorer(name: str) -> Callable:
 @register_scorer("aps_best6_excl_lo")
 def best_six(marks: Column) -> Column:
     """Sum of the six highest levels, life orientation left out; fewer subjects give what they have."""
-    counted = F.map_filter(marks, lambda k, _: k != "life_orientation")
+    counted = F.map_filter(marks, lambda k, _: ~k.isin("life_orientation", *v.TESTS))
     levels = F.sort_array(F.transform(F.map_values(counted), strict_level), asc=False)
     return F.aggregate(F.slice(levels, 1, 6), F.lit(0), lambda total, x: total + x)
 
 
+def percentages(best: int, factors: dict[str, float], divisor: float = 1.0) -> Callable[[Column], Column]:
+    """A scorer: the ``best`` highest percentages, each with the subject's factor (1 by default), over ``divisor``.
+
+    Subjects are chosen by what they add, life orientation and tests left out; fewer subjects give what they have.
+    The result is rounded down to a whole number.
+    """
+    factor = F.create_map(*[F.lit(x) for pair in {**{"": 1.0}, **factors}.items() for x in pair])
+
+    def score(marks: Column) -> Column:
+        counted = F.map_entries(F.map_filter(marks, lambda k, _: ~k.isin("life_orientation", *v.TESTS)))
+        points = F.sort_array(F.transform(counted, lambda e: e["value"] * F.coalesce(F.try_element_at(factor, e["key"]), F.lit(1.0))), asc=False)
+        return F.floor(F.aggregate(F.slice(points, 1, best), F.lit(0.0), lambda total, x: total + x) / divisor).cast("int")
+
+    return score
+
+
+def composite(named: list[list[str]], others: int, school_share: float = 0.6) -> Callable[[Column], Column]:
+    """A scorer: ``school_share`` of the mean of chosen subjects and the rest of the mean of the tests.
+
+    Of each list in ``named`` the best subject counts, and then the best ``others`` of what is left; what is missing
+    counts 0. The result is rounded down to a whole number.
+    """
+
+    def score(marks: Column) -> Column:
+        # Of equal marks the earlier name in the list is used up.
+        best = [F.array_max(F.filter(F.array(*[F.struct(F.try_element_at(marks, F.lit(s)).alias("p"), F.lit(-i).alias("i"), F.lit(s).alias("s")) for i, s in enumerate(group)]), lambda x: x["p"].isNotNull())) for group in named]
+        used = F.array_compact(F.array(*[b["s"] for b in best]))
+        left = F.map_values(F.map_filter(marks, lambda k, _: ~k.isin("life_orientation", *v.TESTS) & ~F.array_contains(used, k)))
+        more = F.aggregate(F.slice(F.sort_array(left, asc=False), 1, others), F.lit(0), lambda total, x: total + x)
+        school = sum((F.coalesce(b["p"], F.lit(0)) for b in best), more) / float(len(named) + others)
+        tests = sum((F.coalesce(F.try_element_at(marks, F.lit(t)), F.lit(0)) for t in v.TESTS[1:]), F.coalesce(F.try_element_at(marks, F.lit(v.TESTS[0])), F.lit(0))) / float(len(v.TESTS))
+        return F.floor(F.round(school * school_share + tests * (1 - school_share), 9)).cast("int")
+
+    return score
+
+
+register_scorer("percent_best6_science_doubled")(percentages(6, {"mathematics": 2.0, "physical_sciences": 2.0}))
+register_scorer("percent_best6_tenth")(percentages(6, {}, 10.0))
+register_scorer("composite_60_40")(composite([["english_hl", "english_fal"], ["mathematics"], ["physical_sciences", "life_sciences"]], 2))
+
+
 def last_marks(marks: DataFrame) -> DataFrame:
     """One mark per learner and subject: the last by ordinal."""
     return marks.groupBy("learner_id", "subject").agg(F.max_by("percentage", "ordinal").alias("percentage"))
@@ -43,15 +84,15 @@ def validate_requests(marks: DataFrame, least: int = 6, most: int = 9) -> tuple[
     """(valid marks, rejected learners with reasons).
 
     A learner is rejected for an unknown subject, a percentage outside 0 to 100 or null, or another number of rows
-    than ``least`` to ``most``, repeated subjects counted each.
+    than ``least`` to ``most``, repeated subjects counted each. Tests are no subjects and don't count.
     """
     spark = marks.sparkSession
     # All that follows groups by learner, so this is its only exchange; few bytes are much work, hence a task per core.
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     marks = marks.repartition(tasks, "learner_id")
-    known = F.coalesce(F.col("subject").isin(v.SUBJECTS), F.lit(False))
+    known = F.coalesce(F.col("subject").isin(v.SUBJECTS + v.TESTS), F.lit(False))
     in_range = F.coalesce(F.col("percentage").between(0, 100), F.lit(False))
-    facts = marks.groupBy("learner_id").agg(F.count("*").alias("n"), F.count_if(~known).alias("unknown"), F.count_if(~in_range).alias("outside"))
+    facts = marks.groupBy("learner_id").agg(F.count_if(~F.coalesce(F.col("subject").isin(v.TESTS), F.lit(False))).alias("n"), F.count_if(~known).alias("unknown"), F.count_if(~in_range).alias("outside"))
     reasons = F.concat_ws("; ", F.when(~F.col("n").between(least, most), "number of subjects"), F.when(F.col("unknown") > 0, "unknown subject"), F.when(F.col("outside") > 0, "percentage out of range"))
     facts = facts.withColumn("reasons", reasons)
     return marks.join(facts.where("reasons = ''").select("learner_id"), "learner_id", "left_semi"), facts.where("reasons <> ''").select("learner_id", "reasons")

@@ -5,7 +5,7 @@ import importlib.util
 import duckdb
 import pytest
 
-from admitflow.plans import document_queries, more_queries, stream_queries  # noqa: F401
+from admitflow.plans import document_queries, more_queries, rule_queries, stream_queries  # noqa: F401
 from admitflow.plans.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
