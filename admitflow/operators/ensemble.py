@@ -82,11 +82,19 @@ def reconcile(candidates: DataFrame) -> DataFrame:
     return fields.withColumn("career_text", F.lit(None).cast("string")).withColumn("needs_review", footnotes | F.col("unsure")).withColumn("weak_fields", weak).drop("unsure")
 
 
-def _equal(field: str, x: str, y: str) -> Column:
-    if field == "name":
-        return names_equal(F.col(f"{x}.name"), F.col(f"{y}.name"))
-    key = {"campus": "campus_key", "score": "score_key", "subjects": "tree_key", "excluded_subjects": "excluded_key"}.get(field, field)
-    return F.col(f"{x}.{key}").eqNullSafe(F.col(f"{y}.{key}"))
+def _same(key: str) -> Callable[[str, str], Column]:
+    return lambda x, y: F.col(f"{x}.{key}").eqNullSafe(F.col(f"{y}.{key}"))
+
+
+#: Whether two records agree on a gated field, by the aliases of their tables (with the columns of ``_keyed``).
+EQUAL: dict[str, Callable[[str, str], Column]] = {
+    "qualification_code": _same("qualification_code"),
+    "name": lambda x, y: names_equal(F.col(f"{x}.name"), F.col(f"{y}.name")),
+    "campus": _same("campus_key"),
+    "score": _same("score_key"),
+    "subjects": _same("tree_key"),
+    "excluded_subjects": _same("excluded_key"),
+}
 
 
 def _keyed(candidates: DataFrame) -> DataFrame:
@@ -98,7 +106,7 @@ def conflict_pages(a: DataFrame, b: DataFrame) -> DataFrame:
     both = _keyed(a).alias("a").join(_keyed(b).alias("b"), F.col("a.qualification_code") == F.col("b.qualification_code"))
     differ = F.lit(False)
     for f in GATED:
-        differ = differ | (F.col(f"a.{f}").isNotNull() & F.col(f"b.{f}").isNotNull() & ~_equal(f, "a", "b"))
+        differ = differ | (F.col(f"a.{f}").isNotNull() & F.col(f"b.{f}").isNotNull() & ~EQUAL[f]("a", "b"))
     return both.where(differ & F.col("a.source_page").isNotNull()).select(F.col("a.source_page").alias("page")).distinct()
 
 
@@ -110,11 +118,31 @@ def run_ensemble(candidates: DataFrame) -> DataFrame:
     return last.where("method <> 'c'").unionByName(third.select(last.columns))
 
 
+def ensemble_records(candidates: DataFrame) -> DataFrame:
+    """The ensemble's end product: ``reconcile`` of the records that ``run_ensemble`` lets in."""
+    return reconcile(run_ensemble(candidates))
+
+
 def unpopulated_fields(voted: DataFrame) -> DataFrame:
     """Fields for which no record ever got a vote."""
     return voted.groupBy("field").agg(F.bool_or((F.col("confidence") > 0) | F.col("minority").isNotNull()).alias("tried")).where("not tried").select("field")
 
 
+def _judged(cast: DataFrame, voted: DataFrame, truth: DataFrame) -> DataFrame:
+    """(code, field, same) of the gated fields on which all votes agree, for the codes of ``truth``."""
+    agreed = voted.where(F.col("field").isin(GATED) & (F.col("confidence") == 1.0))
+    keys = cast.where("value is not null").groupBy("code", "field").agg(F.min_by("key", "method").alias("key"))
+    right = votes(truth.withColumn("method", F.lit("t"))).select("code", "field", F.col("value").alias("true_value"), F.col("key").alias("true_key"))
+    same = F.when(F.col("field") == "name", names_equal(F.col("true_value"), F.col("value"))).otherwise(F.col("key").eqNullSafe(F.col("true_key")))
+    return agreed.join(keys, ["code", "field"]).join(right, ["code", "field"]).select("code", "field", F.coalesce(same, F.lit(False)).alias("same"))
+
+
+def wrong_by_field(candidates: DataFrame, truth: DataFrame) -> DataFrame:
+    """(field, agreed, wrong): how often all votes on a gated field agree, and how often they are all wrong."""
+    cast = kept(votes(candidates))
+    return _judged(cast, vote(cast), truth).groupBy("field").agg(F.count("*").alias("agreed"), F.count_if(~F.col("same")).alias("wrong"))
+
+
 def gate(candidates: DataFrame, truth: DataFrame, least_recall: float = 0.98, most_wrong: float = 0.02) -> DataFrame:
     """One row: recall over ``truth``, share of agreed fields that are wrong, share of records for review, and the
     decision: recall above ``least_recall`` and wrong below ``most_wrong``, both strictly."""
@@ -122,12 +150,7 @@ def gate(candidates: DataFrame, truth: DataFrame, least_recall: float = 0.98, mo
     voted = kept(vote(cast))
     found = voted.select("code").distinct()
     recall = truth.select(F.col("qualification_code").alias("code")).distinct().join(found.withColumn("hit", F.lit(1)), "code", "left").agg(F.count("*").alias("present"), F.count("hit").alias("found"))
-    agreed = voted.where(F.col("field").isin(GATED) & (F.col("confidence") == 1.0))
-    keys = cast.where("value is not null").groupBy("code", "field").agg(F.min_by("key", "method").alias("key"))
-    right = votes(truth.withColumn("method", F.lit("t"))).select("code", "field", F.col("value").alias("true_value"), F.col("key").alias("true_key"))
-    judged = agreed.join(keys, ["code", "field"]).join(right, ["code", "field"])
-    same = F.when(F.col("field") == "name", names_equal(F.col("true_value"), F.col("value"))).otherwise(F.col("key").eqNullSafe(F.col("true_key")))
-    wrong = judged.agg(F.count("*").alias("agreed"), F.count_if(~same).alias("wrong"))
+    wrong = _judged(cast, voted, truth).agg(F.count("*").alias("agreed"), F.count_if(~F.col("same")).alias("wrong"))
     relevant = voted.join(unpopulated_fields(voted), "field", "left_anti")
     queue = voted.select("code").distinct().join(relevant.groupBy("code").agg(F.bool_or(F.col("confidence") < 1).alias("review")), "code", "left").agg(F.count("*").alias("records"), F.count_if(F.coalesce("review", F.lit(False))).alias("for_review"))
     ratio = lambda x, y: F.coalesce(F.try_divide(F.col(x).cast("double"), F.col(y)), F.lit(0.0))
@@ -143,3 +166,16 @@ def page_report(predicted: DataFrame, known: DataFrame, least_recall: float = 0.
     counts = both.agg(F.count_if(F.expr("k = 1 and p = 1")).alias("hits"), F.count_if(F.expr("k = 1 and p is null")).alias("missed"), F.count_if(F.expr("p = 1 and k is null")).alias("extra"))
     ratio = lambda y: F.coalesce(F.try_divide(F.col("hits").cast("double"), F.col("hits") + F.col(y)), F.lit(0.0))
     return counts.withColumns({"precision": ratio("extra"), "recall": ratio("missed")}).withColumn("passed", F.col("recall") > least_recall)
+
+
+def page_differences(predicted: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc, page, what) of the known pages that were missed and of the pages that were predicted in excess."""
+    missed = known.select("doc", "page").join(predicted, ["doc", "page"], "left_anti").select("doc", "page", F.lit("missed").alias("what"))
+    extra = predicted.select("doc", "page").join(known, ["doc", "page"], "left_anti").select("doc", "page", F.lit("extra").alias("what"))
+    return missed.distinct().unionByName(extra.distinct())
+
+
+def page_lists(predicted: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc, missed_pages, extra_pages): the numbers of ``page_differences`` per document, in order."""
+    pages = lambda what: F.sort_array(F.collect_list(F.when(F.col("what") == what, F.col("page"))))
+    return page_differences(predicted, known).groupBy("doc").agg(pages("missed").alias("missed_pages"), pages("extra").alias("extra_pages"))

@@ -175,11 +175,16 @@ def merged_programmes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def export_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of each exported programme: by institution, faculty (none last) and code."""
     rows = refdata.export_view(t.programmes(spark, sf_dir), [2026])
-    place = F.monotonically_increasing_id()
-    part = rows.withColumns({"part": F.shiftrightunsigned(place, 33), "at": place})
+    return _placed(rows, "institution_id", "qualification_code")
+
+
+def _placed(ordered: DataFrame, *columns: str) -> DataFrame:
+    """Rows of a sorted table with their place from 1: by partition and what the partitions before it hold."""
+    at = F.monotonically_increasing_id()
+    part = ordered.select(*columns, F.shiftrightunsigned(at, 33).alias("part"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("at"))
     before = part.groupBy("part").agg(F.count("*").alias("n"))
     starts = before.alias("x").join(before.alias("y"), F.expr("y.part < x.part"), "left").groupBy("x.part").agg(F.coalesce(F.sum("y.n"), F.lit(0)).alias("start")).select(F.col("part").alias("p"), "start")
-    return part.join(F.broadcast(starts), F.col("part") == F.col("p")).select("institution_id", "qualification_code", (F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).cast("int").alias("place"))
+    return part.join(F.broadcast(starts), F.col("part") == F.col("p")).select(*columns, (F.col("start") + F.col("at") + 1).cast("int").alias("place"))
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'x' END AS campus, doc_id % 3 = 1 AS extended, CASE WHEN doc_id % 5 = 0 THEN 'flagged' ELSE 'verified' END AS confidence FROM documents")
@@ -307,9 +312,8 @@ def draft_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {t.PAGES}, n AS (SELECT doc, count(*) AS total, count(*) FILTER (WHERE page % 9 = 0) AS rotated FROM page_text GROUP BY doc) SELECT doc, (row_number() OVER (ORDER BY rotated DESC, doc))::INT AS place FROM n""")
 def triage_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of each document in a report, most first, in order of names on ties."""
-    documents = pages.triage(base._triage_pages(spark, sf_dir)).select("doc", F.col("rotated_pages").alias("estimated_programme_rows"))
-    ranked = pages.triage_report(documents).agg(F.collect_list("doc").alias("docs"))
-    return ranked.select(F.posexplode("docs").alias("place", "doc")).select("doc", (F.col("place") + 1).alias("place"))
+    found = pages.triage(base._triage_pages(spark, sf_dir)).withColumn("estimated_programme_rows", F.col("rotated_pages"))
+    return _placed(pages.triage_report(found), "doc")
 
 
 @query("""SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'uj' WHEN 1 THEN 'prospectus' WHEN 2 THEN 'tut-' || page_id ELSE 'x' END AS institution_id, CASE page_id % 4 WHEN 0 THEN 2025 + page_id % 3 WHEN 1 THEN 2026 WHEN 2 THEN 2020 ELSE 2020 END::INT AS academic_year FROM pages""")

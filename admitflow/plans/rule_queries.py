@@ -85,3 +85,63 @@ def score_percentage_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six tenths of five subjects' mean and four tenths of three tests' mean; who took no test has 0 there."""
     return _scored(spark, sf_dir, "composite_60_40")
+
+
+# The ensemble's end product
+
+
+def _nine_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The methods' records with gaps and errors in all voted fields."""
+    n, is_ = F.col("ordinal"), lambda m: F.col("method") == m
+    higher = F.transform("score", lambda e: F.struct((e["min_score"] + 1).alias("min_score"), e["requires_subject"].alias("requires_subject")))
+    odd = json.dumps({"kind": "subject", "subject": "music", "min_level": 7})
+    return base._candidates(spark, sf_dir).withColumns({
+        "duration_years": F.when(is_("b") & (n % 21 == 5), F.lit(9.0)).when(~is_("c"), (n % 4).cast("double")),
+        "score": F.when(is_("b") & (n % 9 == 4), higher).otherwise(F.col("score")),
+        "subjects": F.when(is_("b") & (n % 14 == 3), odd).otherwise(F.col("subjects")),
+        "excluded_subjects": F.when(~(is_("a") & (n % 5 == 2)), F.col("excluded_subjects")),
+    })
+
+
+_NINE = f"""WITH {base._CANDIDATES.split("cast_votes AS (")[0].rstrip().rstrip(",")}, full_cand AS (
+      SELECT method, code, c.name, c.faculty, c.campus, c.extended, CASE WHEN method = 'b' AND n % 21 = 5 THEN '9' WHEN method <> 'c' THEN (n % 4)::VARCHAR END AS duration_years,
+        p.least || p.conditional::VARCHAR || CASE WHEN method = 'b' AND n % 9 = 4 THEN '+' ELSE '' END AS score, CASE WHEN method = 'b' AND n % 14 = 3 THEN 'odd' ELSE p_type END AS subjects,
+        CASE WHEN NOT (method = 'a' AND n % 5 = 2) THEN p.excl::VARCHAR END AS excluded_subjects, p.source_page
+      FROM cand c JOIN programmes p ON p.qualification_code = code
+    ), pages AS (SELECT DISTINCT a.source_page FROM full_cand a JOIN full_cand b ON a.code = b.code AND a.method = 'a' AND b.method = 'b'
+      WHERE (a.name IS NOT NULL AND NOT contains(lower(a.name), lower(b.name)) AND NOT contains(lower(b.name), lower(a.name))) OR a.campus <> b.campus OR a.score <> b.score OR a.subjects <> b.subjects OR a.excluded_subjects <> b.excluded_subjects
+    ), member AS (SELECT * FROM full_cand WHERE method <> 'c' OR source_page IN (SELECT source_page FROM pages)
+    ), cast_votes AS (SELECT code, method, 'qualification_code' AS field, code AS value FROM member {" ".join(f"UNION ALL SELECT code, method, '{f}', {f} FROM member" for f in ensemble.KEYS if f != "qualification_code")}
+    ), by_key AS (SELECT code, field, value, count(value) AS n, min(method) AS first FROM cast_votes GROUP BY ALL
+    ), agg AS (SELECT code, field, sum(n) AS votes, max(n) AS most, arg_max(value, n * 10 - (ascii(first) - 97)) FILTER (WHERE value IS NOT NULL) AS best FROM by_key GROUP BY ALL
+    ), voted AS (SELECT code, field, CASE WHEN votes > 0 AND (votes = 1 OR most > 1) THEN best END AS value,
+      CASE WHEN votes = 0 THEN '0.0' WHEN votes = 1 THEN '0.5' WHEN most = votes THEN '1.0' WHEN most > 1 THEN '0.66' ELSE '0.0' END AS confidence FROM agg)"""
+
+
+@query(f"""{_NINE} SELECT code, string_agg(field || '=' || confidence, ';' ORDER BY field) AS confidence, bool_or(confidence <> '1.0') AS needs_review, count(*) FILTER (WHERE confidence <> '1.0') AS weak_fields,
+    max(value) FILTER (WHERE field = 'name') AS name, max(value) FILTER (WHERE field = 'faculty') AS faculty, max(value) FILTER (WHERE field = 'extended') AS extended, (max(value) FILTER (WHERE field = 'duration_years'))::DOUBLE AS duration_years FROM voted GROUP BY code""")
+def ensemble_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records reconciled over nine fields from two methods, and from a third on the pages where these conflict."""
+    r = ensemble.ensemble_records(_nine_fields(spark, sf_dir))
+    value = lambda f: F.element_at("values", f)
+    shown = F.array_join(F.transform(F.map_entries("confidence"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
+    return r.select("code", shown.alias("confidence"), "needs_review", F.size("weak_fields").cast("long").alias("weak_fields"), value("name").alias("name"), value("faculty").alias("faculty"), value("extended").alias("extended"), value("duration_years").cast("double").alias("duration_years"))
+
+
+@query(base._GATE.split("SELECT (SELECT count(*) FROM truth) AS present")[0] + """SELECT field, count(*) AS agreed, count(*) FILTER (WHERE (field = 'name' AND NOT contains(lower(true_name), lower(value)) AND NOT contains(lower(value), lower(true_name))) OR (field = 'campus' AND value <> true_campus)) AS wrong FROM agreed GROUP BY field
+    UNION ALL SELECT unnest(['qualification_code', 'score', 'subjects', 'excluded_subjects']), fixed // 4, 0 FROM fixed""")
+def wrong_by_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields on which the methods agree, and how often they are all wrong."""
+    truth = t.programmes(spark, sf_dir).where("ordinal % 2 = 0").drop("institution_id", "academic_year")
+    return ensemble.wrong_by_field(base._candidates(spark, sf_dir), truth)
+
+
+@query(f"""WITH {t.PAGES}, k AS (SELECT doc, page FROM page_text SEMI JOIN (SELECT * FROM labels WHERE quality = 0) l ON page_text.doc_id = l.doc_id), p AS (SELECT doc, page FROM page_text WHERE n_chars % 3 = 0
+    ), m AS (SELECT doc, page, 'missed' AS what FROM k ANTI JOIN p USING (doc, page) UNION ALL SELECT doc, page, 'extra' FROM p ANTI JOIN k USING (doc, page))
+    SELECT doc, coalesce(string_agg(page, ',' ORDER BY page) FILTER (WHERE what = 'missed'), '') AS missed_pages, coalesce(string_agg(page, ',' ORDER BY page) FILTER (WHERE what = 'extra'), '') AS extra_pages FROM m GROUP BY doc""")
+def page_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of the pages that a prediction missed and of those in excess, per document."""
+    p = t.pages(spark, sf_dir).select("doc", "page", "doc_id", "n_chars")
+    known = p.join(t.table(spark, sf_dir, "labels").where("quality = 0").select("doc_id"), "doc_id", "left_semi").select("doc", "page")
+    shown = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+    return ensemble.page_lists(p.where("n_chars % 3 = 0").select("doc", "page"), known).select("doc", shown("missed_pages"), shown("extra_pages"))

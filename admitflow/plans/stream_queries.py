@@ -1,16 +1,18 @@
-"""Registered queries of streams with state, keyed tables, partitioned writers and scans of files."""
+"""Registered queries of streams with state, keyed tables, partitioned writers, scans of files and page layouts."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import names
+from ..operators import discovery, geometry, refdata
 from ..operators import qualify as q
-from ..operators import refdata
 from ..sources import files, sinks
 from ..sources.keyed_table import KeyedTable
 from ..sources.scratch import scratch_folder
 from ..streaming import states, streams
+from . import document_queries as docs
 from . import more_queries as more
 from . import queries as base
 from . import testviews as t
@@ -290,3 +292,92 @@ def seeds_against_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = p.where("ordinal % 10 < 8").select("institution_id", "academic_year", "qualification_code", F.lit(1).alias("hit"), F.col("subjects").alias("theirs"))
     both = seeds.join(found, ["institution_id", "academic_year", "qualification_code"], "left")
     return both.groupBy("institution_id").agg(F.count("hit").cast("int").alias("found"), F.count("subjects").cast("int").alias("expected"))
+
+
+@query(f"""WITH {t.PROGRAMMES} SELECT n.n_name AS id, 'aps_best6_excl_lo' AS scoring_strategy, p.qualification_code, CASE WHEN p.duration_years <> 0 THEN p.duration_years END AS duration_years FROM nation n LEFT JOIN programmes p ON p.institution_id = n.n_name AND p.academic_year = 2026 AND p.confidence = 'verified'""")
+def exported_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verified programmes of a year, exported as JSON and read again, with the institutions of a file that holds all."""
+    path = f"{scratch_folder(spark)}/export"
+    whole = t.institutions(spark, sf_dir).agg(F.to_json(F.sort_array(F.collect_list(F.struct("id", "name", "scoring_strategy")))).alias("list"))
+    _files(whole, F.lit("institutions.json"), F.col("list"), f"{path}/file")
+    rows = refdata.refuse_below(refdata.export_view(t.programmes(spark, sf_dir), [2026], verified_only=True), 1)
+    sinks.export_dataset(t.institutions(spark, sf_dir), rows.select("institution_id", "qualification_code", "duration_years"), path)
+    institutions = files.institutions(spark, f"{path}/file/institutions.json")
+    programmes = spark.read.schema("institution_id string, qualification_code string, duration_years double").json(f"{path}/programmes")
+    return institutions.join(programmes, F.col("id") == F.col("institution_id"), "left").select("id", "scoring_strategy", "qualification_code", "duration_years")
+
+
+@query("""SELECT CASE WHEN k % 3 = 0 THEN 'one' ELSE 'two' END AS source, k, institution_id FROM (SELECT c_custkey AS k, 'NATION_' || c_custkey % 20 AS institution_id, c_custkey % 6 <> 0 AS mapped FROM customer) WHERE mapped""")
+def fetched_discoveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mapped entries of discovery files, one file per source."""
+    root, k = f"{scratch_folder(spark)}/found", F.col("c_custkey")
+    entry = F.struct(F.when(k % 3 == 0, "one").otherwise("two").alias("source"), F.lit(2027).alias("academic_year"), k.cast("string").alias("source_id"), F.when(k % 6 != 0, F.concat(F.lit("NATION_"), (k % 20).cast("string"))).alias("institution_id"), F.when(k % 6 != 0, "MAPPED").otherwise("UNMAPPED").alias("status"))
+    each = t.table(spark, sf_dir, "customer").select(entry.alias("e"))
+    listed = each.groupBy("e.source").agg(F.to_json(F.struct(F.collect_list("e").alias("entries"))).alias("body"))
+    _files(listed, F.concat("source", F.lit(".json")), F.col("body"), root)
+    return discovery.to_fetch(files.discovered(spark, f"{root}/*.json")).select("source", F.col("source_id").cast("long").alias("k"), "institution_id")
+
+
+_VARIANTS = [(n, i) for i, known in names.INSTITUTION_NAMES.items() for n in known]
+
+
+@query(f"""WITH n(k, institution_id) AS (VALUES {", ".join(f"({k}, '{i}')" for k, (_, i) in enumerate(_VARIANTS))})
+    SELECT c_custkey AS k, CASE WHEN c_custkey % 4 = 0 THEN 'UNMAPPED' ELSE 'MAPPED' END AS status, CASE WHEN c_custkey % 4 <> 0 THEN institution_id END AS institution_id FROM customer JOIN n ON n.k = c_custkey % {len(_VARIANTS)}""")
+def known_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Display names, in other case and spacing, mapped to the institutions known by them; others are never guessed."""
+    k = F.col("c_custkey")
+    name = F.element_at(F.array(*[F.lit(n) for n, _ in _VARIANTS]), (k % len(_VARIANTS) + 1).cast("int"))
+    shown = F.concat(F.when(k % 2 == 0, F.upper(name)).otherwise(F.replace(name, F.lit(" "), F.lit("  "))), F.when(k % 4 == 0, " Trust").otherwise(""))
+    entries = t.table(spark, sf_dir, "customer").select("c_custkey", k.cast("string").alias("source_id"), shown.alias("display_name"))
+    return discovery.annotate(entries, names.institution_names(spark)).select(F.col("c_custkey").alias("k"), "status", "institution_id")
+
+
+@query("""SELECT doc_id, 'nation' || doc_id % 4 || '/2027' AS folder, (CASE WHEN doc_id % 10 = 7 THEN 4 ELSE 5 END + strlen(text))::BIGINT AS length FROM documents WHERE text IS NOT NULL AND doc_id % 10 <> 3""")
+def inbox_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary documents found anywhere below a folder; other files are left alone."""
+    root, rows = f"{scratch_folder(spark)}/in", _inbox_rows(spark, sf_dir)
+    _files(rows, F.when(F.col("doc_id") % 10 == 3, F.concat("path", F.lit(".part"))).otherwise(F.col("path")), F.col("content"), root)
+    found = files.inbox(spark, root)
+    return found.select(F.regexp_extract("path", r"/0*(\d+)\.pdf$", 1).cast("long").alias("doc_id"), F.regexp_extract("path", r"/in/(.*)/[^/]+$", 1).alias("folder"), "length")
+
+
+# Page layouts
+
+
+@query(f"""WITH {docs._CHARS}, r AS (SELECT page, string_agg(text, chr(10) ORDER BY run) AS runs FROM numbered GROUP BY page
+    ), w AS (SELECT doc_id::INT AS page, array_to_string(list_filter(string_split(text, ' '), lambda x: x <> ''), ' ') AS line FROM documents WHERE text <> ''
+    ) SELECT w.page, md5(line || coalesce(chr(10) || runs, '')) AS digest FROM w LEFT JOIN r USING (page) WHERE line <> '' OR runs IS NOT NULL""")
+def prose_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prose of each page: upright words in reading order on one line, then a line per rotated run."""
+    d = t.spread(t.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    words = d.select(F.lit("all").alias("doc"), F.col("doc_id").cast("int").alias("page"), F.posexplode(F.filter(F.split("text", " "), lambda x: x != "")).alias("n", "text"))
+    # Ten words a line; within a line their tops differ by less than the rounding.
+    words = words.select("doc", "page", "text", (F.col("n") % 10 * 40.0).alias("x0"), (F.floor(F.col("n") / 10) * 12.0 + F.col("n") % 3 * 0.01).alias("top"))
+    return geometry.prose_text(words, docs._chars(spark, sf_dir)).select("page", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+def _block(spark: SparkSession, sf_dir: str, place: int, letter: str, level: Column, base_: int) -> DataFrame:
+    """Characters of one header block and its data row, of the ``place``-th block of each page."""
+    k = F.col("p_partkey")
+    code = F.concat(F.lit(letter), F.lpad((k % 10000).cast("string"), 4, "0"))
+    line = lambda text, x, advance: F.struct((F.lit(text) if isinstance(text, str) else text).alias("text"), F.lit(float(x)).alias("x"), F.lit(float(advance)).alias("advance"))
+    lines = F.array(line("Code", 50, base_ + 4000), line("English", 100, base_ + 4000), line("Mathematics", 160, base_ + 4000), line(code, 50, base_ + 1000), line("4", 100, base_ + 1000), line(level.cast("string"), 160, base_ + 1000))
+    each = t.table(spark, sf_dir, "part").select(k.cast("int").alias("page"), F.posexplode(lines).alias("n", "l")).select("page", "n", "l.*")
+    chars = each.select("page", "n", "x", "advance", F.posexplode(F.split("text", "")).alias("i", "text")).where("text <> ''")
+    top = F.when(F.col("n") < 3, 10.0).otherwise(100.0) + F.col("i")
+    return chars.select(F.lit("d").alias("doc"), "page", (F.col("n") * 100 + F.col("i") + place * 10_000).alias("seq"), "text", F.lit(False).alias("upright"), F.lit(0.0).alias("a"), F.lit(8.0).alias("b"), F.lit(-8.0).alias("c"), F.lit(0.0).alias("d"), F.col("x").alias("e"), (F.col("advance") / 8 + F.col("i") * 2).alias("f"), F.col("x").alias("x0"), (F.col("x") + 8).alias("x1"), top.alias("top"), (top + 1).alias("bottom"))
+
+
+_BLOCK_TREE = """'{"kind":"all","rules":[{"kind":"subject","language":"english","min_level":4},{"kind":"subject","subject":"mathematics","min_level":' || level || '}]}'"""
+
+
+@query(f"""SELECT rotated, page, code, {_BLOCK_TREE} AS tree FROM (SELECT true AS rotated, p_partkey::INT AS page, 'B2' || lpad((p_partkey % 10000)::VARCHAR, 4, '0') AS code, p_partkey % 7 + 1 AS level FROM part
+    UNION ALL SELECT true, p_partkey::INT, 'C3' || lpad((p_partkey % 10000)::VARCHAR, 4, '0'), p_partkey % 5 + 1 FROM part)""")
+def two_block_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of pages with two header blocks, a section each; a layout without rotation has none."""
+    k = F.col("p_partkey")
+    chars = _block(spark, sf_dir, 0, "B2", k % 7 + 1, 0).unionByName(_block(spark, sf_dir, 1, "C3", k % 5 + 1, 6000))
+    words = spark.createDataFrame([], "doc string, page int, text string, x0 double, x1 double, top double")
+    flat = {"layout": {**docs._METHOD_PROFILE["layout"], "rotated_headers": False}}
+    got = lambda profile, rotated: geometry.text_layer_records(chars, words, docs._no_exclusions(spark), profile).select(F.lit(rotated).alias("rotated"), "page", "code", "tree")
+    return got(docs._METHOD_PROFILE, True).unionByName(got(flat, False))

@@ -176,12 +176,12 @@ QUALIFY = qualify_sql("JOIN customer ON c_custkey = w.learner_id JOIN nation ON
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as pages: the source is the document, pages are numbered by doc_id."""
+    """Documents as pages: the source is the document, pages are numbered by doc_id; texts are not sorted with them."""
     from pyspark.sql import Window
 
     d = table(spark, sf_dir, "documents")
-    page = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    return spread(d.select(F.col("source").alias("doc"), page.alias("page"), "text", "doc_id", "n_chars"))
+    numbers = d.select("doc_id", F.col("source").alias("doc"), F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).alias("page"))
+    return spread(d.select("doc_id", "text", "n_chars")).join(numbers, "doc_id").select("doc", "page", "text", "doc_id", "n_chars")
 
 
 PAGES = """
