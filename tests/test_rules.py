@@ -226,3 +226,42 @@ def test_counts_are_those_of_the_failures(spark):
     usable, spoken = usable_levels(F.col("levels"), F.col("excluded"))
     got = df.select(F.size(evaluate(F.col("nodes"), F.col("marks"), F.col("levels"), F.col("excluded"))).alias("n"), count_failures(F.col("nodes"), usable, spoken).alias("c")).collect()
     assert len(got) >= 150 and all(r.n == r.c for r in got) and len({r.n for r in got}) > 3
+
+
+def test_trees_in_sql_have_the_nodes_of_python(spark):
+    """Random trees, and everything that can be wrong with one."""
+    import json
+    import random
+
+    from admitflow.operators.rules import flatten_tree
+    from admitflow.operators.trees import flatten_trees_sql
+
+    rng = random.Random(3)
+    leaves = [{"kind": "subject", "subject": s, "min_level": m} for s in ("music", "english_hl", "klingon_fal", None, 5) for m in (1, 9, "4", None, True, 4.5, 4.0)]
+    leaves += [{"kind": "subject", "language": x, "min_level": 2, "min_level_fal": f} for x in ("english", "isizulu", "latin", None, 7) for f in (4, 9, None)] + [{"kind": "subject", "language": "english", "min_level": 0}]
+    leaves += [{"kind": "any_additional_language", "min_level": m} for m in (3, 8)] + [{"kind": "any_additional_language"}, {"kind": "riddle"}, {"x": 1}, "text", 5, None, True, [1], 2.5, {"kind": "subject"}, {"kind": "subject", "subject": "music", "language": "english", "min_level": 3}, {"kind": None}, {"kind": 7}]
+
+    def tree(depth):
+        if not depth or rng.random() < 0.3:
+            return rng.choice(leaves)
+        return {"kind": rng.choice(["all", "any"]), "rules": rng.choice([[tree(depth - 1) for _ in range(rng.randint(1, 4))]] * 8 + [[], None, "x", {"a": 1}])}
+
+    texts = {json.dumps(tree(4)) for _ in range(400)} | {json.dumps(x) for x in leaves} | {"{oops", "", "null", "[]", '{"kind":"all"}', '{"kind":"any"}'}
+    rows = spark.createDataFrame([(x,) for x in texts] + [(None,)], "subjects string")
+    got = {r.subjects: [n.asDict() for n in r.nodes] for r in flatten_trees_sql(rows).collect()}
+    assert got == {x: flatten_tree(x) for x in texts}
+
+
+def test_scorers_by_percentages(spark):
+    from admitflow.operators import qualify as q
+
+    marks = {"english_hl": 60, "mathematics": 75, "physical_sciences": 51, "life_sciences": 52, "history": 90, "music": 41, "geography": 40, "life_orientation": 99, "nbt_mathematics": 33, "nbt_academic_literacy": 66, "nbt_quantitative_literacy": 51}
+    row = spark.createDataFrame([(marks,)], "marks map<string,int>").select(*[b(F.col("marks")).alias(n) for n, b in q.SCORERS.items()]).first()
+    assert row.percent_best6_science_doubled == 150 + 102 + 90 + 60 + 52 + 41
+    assert row.percent_best6_tenth == (90 + 75 + 60 + 52 + 51 + 41) // 10
+    # English, mathematics, life sciences, then history and physical sciences.
+    assert row.composite_60_40 == int(0.6 * (60 + 75 + 52 + 90 + 51) / 5 + 0.4 * 50)
+    assert row.aps_best6_excl_lo == 7 + 6 + 5 + 4 + 4 + 3
+    tests = spark.createDataFrame([(1, 0, s, p) for s, p in marks.items()], "learner_id long, ordinal long, subject string, percentage int")
+    valid, rejected = q.validate_requests(tests)
+    assert valid.count() == len(marks) and rejected.count() == 0
