@@ -95,7 +95,8 @@ class Lsh:
         rng = np.random.default_rng(seed)
         self.tables = []
         buf, starts, owner, offset = _window_list(items, steps)
-        # Some 32 places for each key, so that few walks of documents go on by chance; a table per sample of each walk.
+        # Some 32 places for each key, so that few walks of documents go on by chance; a table per sample of each walk,
+        # a bit per place: at most 2^19 bytes each, so 96 tables of a class are 50 MB for the largest slice of items.
         bits = min(22, max(12, (32 * len(starts)).bit_length()))
         self.shift = np.uint64(64 - bits)
         for _ in range(repetitions):
@@ -109,8 +110,9 @@ class Lsh:
                 if t in at:
                     h = (h + c + np.uint64(1)) * _P
                     depth += 1
-                    seen[depth] = np.zeros(1 << bits, bool)
-                    seen[depth][h >> self.shift] = True
+                    places = np.zeros(1 << bits, bool)
+                    places[h >> self.shift] = True
+                    seen[depth] = np.packbits(places, bitorder="little")
                 pos = pos + walk[t][c]
             order = np.argsort(h, kind="stable")
             self.tables.append((walk, at, seen, h[order], owner[order], offset[order]))
@@ -124,7 +126,8 @@ class Lsh:
                     h = (h + c + np.uint64(1)) * _P
                     depth += 1
                     if depth > 1:
-                        keep = np.flatnonzero(seen[depth][h >> self.shift])
+                        place = h >> self.shift
+                        keep = np.flatnonzero(seen[depth][place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
                         pos, h, first, c = pos[keep], h[keep], first[keep], c[keep]
                         if not len(pos):
                             break
