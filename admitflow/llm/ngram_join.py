@@ -73,7 +73,7 @@ def _sign(n_gram: int):
                     keys.append(xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None)
                     sizes.append(len(grams))
                     sigs.append(signature(grams, a, b).tobytes() if len(grams) else None)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sigs, pa.binary())], ["doc_id", "key", "n", "sig"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sigs, pa.binary())], ["doc_id", "mark", "key", "n", "sig"])
 
     return run
 
@@ -235,9 +235,10 @@ def ngram_jaccard_join(docs: DataFrame, threshold: float = 0.8, n_gram: int = 5,
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    docs = docs.select("doc_id", "text").where("doc_id is not null")
-    signed = scratch.save(docs.mapInArrow(released(_sign(n_gram)), "doc_id long, key binary, n int, sig binary"), "signed")
-    classes = signed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("mult"), F.first("sig").alias("sig"))
+    # Rows of one doc_id are told apart by their texts, so that a class finds the rows of its own text only.
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark")).where("doc_id is not null")
+    signed = scratch.save(docs.mapInArrow(released(_sign(n_gram)), "doc_id long, mark long, key binary, n int, sig binary"), "signed")
+    classes = signed.where("key is not null").groupBy("key").agg(F.min(F.struct("doc_id", "mark")).alias("row"), F.count("*").alias("mult"), F.first("sig").alias("sig")).withColumn("copy_id", F.col("row.doc_id"))
     classes = scratch.save(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
 
     bands = classes.select("c", F.posexplode(F.array(*[F.substring("sig", i * ROWS * 2 + 1, ROWS * 2) for i in range(BANDS)])).alias("band", "value"))
@@ -245,15 +246,16 @@ def ngram_jaccard_join(docs: DataFrame, threshold: float = 0.8, n_gram: int = 5,
     buckets = bands.groupBy("bucket").agg(F.count("*").alias("size"), F.sum(F.xxhash64("c").cast("decimal(38,0)")).alias("sum"), F.expr("bit_xor(xxhash64(c, 7L))").alias("xor"))
     # Buckets with the same members are worked off once.
     buckets = buckets.where("size > 1").groupBy("size", "sum", "xor").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
-    members = _blocks(bands.join(buckets, "bucket"), "size", 1024)
+    buckets = scratch.save(buckets.withColumn("n", F.col("size")), "buckets")
+    members = _blocks(join_per_key(bands, buckets, "bucket"), "size", 1024)
     members = members.join(classes.select("c", "sig"), "c").select("bucket", "low", "high", "chunk", "c", "sig")
     edges = scratch.save(stream_groups(members, ["bucket", "low", "high"], _prune(cutoffs(threshold, tolerance)), "a long, b long"), "edges")
 
     near = scratch.save(connected_components(edges, scratch, "near"), "components")
     sizes = scratch.save(near.groupBy("label").agg(F.count("*").alias("size"), F.count("*").alias("n")), "sizes")
     near = join_per_key(near, sizes, "label").select(F.col("id").alias("c"), F.col("label").alias("comp"), F.col("size").alias("parts"))
-    near = near.join(classes.select("c", "copy_id", "mult", "key"), "c")
-    texts = docs.join(near.withColumnRenamed("copy_id", "doc_id"), "doc_id").select("text", "key", "c", "mult", "comp", "parts")
+    near = scratch.save(near.join(classes.select("c", "row", "mult", "key"), "c").withColumn("n", F.col("mult")), "near")
+    texts = join_per_key(docs.withColumn("row", F.struct("doc_id", "mark")), near, "row").select("text", "key", "c", "mult", "comp", "parts")
     sets = texts.mapInArrow(released(_shingles(n_gram)), "c long, mult long, comp long, parts long, grams binary")
     pairs = _blocks(sets, "parts", block)
     checked = scratch.save(stream_groups(pairs, ["comp", "low", "high"], _verify(threshold), "c long, links long, root long"), "checked")
@@ -265,7 +267,7 @@ def ngram_jaccard_join(docs: DataFrame, threshold: float = 0.8, n_gram: int = 5,
     lowest = scratch.save(named.groupBy("label").agg(F.min("copy_id").alias("class_id"), F.count("*").alias("n")), "lowest")
     named = join_per_key(named, lowest, "label").select("key", "class_id", "copy_id", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.col("mult").alias("n"))
     named = scratch.save(named, "named")
-    scratch.drop("classes", "edges", "components", "checked", "sizes", "labels", "lowest")
+    scratch.drop("classes", "buckets", "edges", "components", "near", "checked", "sizes", "labels", "lowest")
     whole = signed.select("doc_id", "key", F.col("n").cast("long").alias("n_grams"))
     shared = join_per_key(whole.where("key is not null"), named, "key").select("doc_id", "class_id", "copy_id", "n_links", "n_grams")
     blank = whole.where("key is null").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id"), F.lit(0).cast("long").alias("n_links"), "n_grams")

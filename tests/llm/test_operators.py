@@ -58,6 +58,37 @@ def brute_links(rows):
     return sorted((d, least[root(k)], links[k]) for k, (d, _) in enumerate(sets))
 
 
+def test_join_of_many_texts_under_one_id(spark):
+    """Classes and rows of one doc_id don't multiply: 5,000 rows, of which pairs are near copies."""
+    import time
+
+    from admitflow.llm.ngram_join import ngram_jaccard_join
+
+    rng = random.Random(8)
+    texts = []
+    for _ in range(2500):
+        base = words(rng, 60).split()
+        texts += [" ".join(base), " ".join([*base[:-1], "other"])]
+    took = []
+    for ids in (range(len(texts)), [7] * len(texts)):
+        began = time.perf_counter()
+        got = ngram_jaccard_join(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")).collect()
+        took.append(time.perf_counter() - began)
+        assert len(got) == 5000 and {r.n_links for r in got} == {1}
+    assert took[1] < 3 * took[0] + 10
+
+
+def test_sampled_walks_are_kept_as_bits():
+    from admitflow.llm.decontam import Lsh
+
+    rng = random.Random(5)
+    items = [(i, words(rng, 40).encode()) for i in range(300)]
+    lsh = Lsh(items, 64, 2, 6, 16)
+    assert sum(t.nbytes for _, _, seen, *_ in lsh.tables for t in seen.values()) <= 6 * 16 * 2**19
+    buf = np.frombuffer(items[11][1] + bytes(97), np.uint8)
+    assert any((item == 11).any() for _, item, _ in lsh.find(buf, np.array([0], np.int32)))
+
+
 def test_join_finds_every_link(spark):
     from admitflow.llm.ngram_join import ngram_jaccard_join
 
