@@ -4,7 +4,7 @@ Vectors are range-partitioned by length and worked off in buckets of similar len
 k-th score, first from the longest vectors and then from what its task has found, gives a cosine threshold that is
 local to the bucket: it skips the bucket, cuts it by length or by the ranges of a few large coordinates, or is too
 low to prune. What is left is verified by exact products. Queries and vectors are stored in blocks of bounded size,
-and tasks read pairs of blocks; neither passes through the driver.
+and a bucket goes to the groups of query blocks that it can still improve; neither passes through the driver.
 """
 
 from __future__ import annotations
@@ -142,8 +142,19 @@ def _packed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int,
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    number = TaskContext.get().partitionId() << 33
     for dims, ids, v in _packed(batches, BUCKET):
-        yield pa.RecordBatch.from_arrays([pa.array([dims], pa.int32()), pa.array([ids.tobytes()]), pa.array([v.tobytes()])], ["v_dims", "v_ids", "v"])
+        longest = float(np.sqrt((v * v).sum(axis=1)).max())
+        yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([dims], pa.int32()), pa.array([longest]), pa.array([ids.tobytes()]), pa.array([v.tobytes()])], ["bucket", "dims", "longest", "ids", "v"])
+        number += 1
+
+
+def needed_length(norms: np.ndarray, bounds: np.ndarray) -> float:
+    """Length below which no vector can reach the bound of any of the queries, with room for rounding."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        each = np.where(norms > 0, bounds / norms, np.where(bounds > 0, np.inf, -np.inf))
+    least = float(each.min())
+    return least - 1e-6 * abs(least) if np.isfinite(least) else least
 
 
 def _blocks(seeds, k: int):
@@ -153,32 +164,52 @@ def _blocks(seeds, k: int):
             first = Search(ids, q, k)
             if dims in seeds.value:
                 first.bucket(*seeds.value[dims])
-            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([dims], pa.int32()), pa.array([ids.tobytes()]), pa.array([q.tobytes()]), pa.array([first.best.bound.tobytes()])], ["block", "q_dims", "q_ids", "q", "bound"])
+            least = needed_length(first.norm, first.best.bound)
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([dims], pa.int32()), pa.array([least]), pa.array([ids.tobytes()]), pa.array([q.tobytes()]), pa.array([first.best.bound.tobytes()])], ["block", "dims", "least", "ids", "v", "bound"])
             number += 1
 
     return run
 
 
 def _search(k: int):
+    """Rows of a group come together, its blocks first and then its buckets, the longest vectors first."""
+
+    def results(open_: list[Search]) -> Iterator[pa.RecordBatch]:
+        for search in open_:
+            found, at = np.nonzero(np.isfinite(search.best.score))
+            yield pa.RecordBatch.from_arrays([pa.array(search.ids[found]), pa.array(search.best.vec[found, at]), pa.array(search.best.score[found, at].astype(np.int64))], ["query_id", "vec_id", "score"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: dict[int, Search] = {}
+        now, open_ = None, []
         for batch in batches:
             column = dict(zip(batch.schema.names, batch.columns))
-            for r, block in enumerate(column["block"].to_pylist()):
-                get = lambda name, kind: np.frombuffer(column[name][r].as_buffer(), kind)  # noqa: B023, E731
-                if block not in open_:
-                    ids = get("q_ids", np.int64).copy()
-                    open_[block] = Search(ids, get("q", np.float64).reshape(len(ids), -1).copy(), k, get("bound", np.float64))
-                ids = get("v_ids", np.int64)
-                vectors = get("v", np.float64).reshape(len(ids), -1)
-                open_[block].bucket(ids, vectors, np.sqrt((vectors * vectors).sum(axis=1)))
-        for search in open_.values():
-            found, at = np.nonzero(np.isfinite(search.best.score))
-            yield pa.RecordBatch.from_arrays([pa.array(search.ids[found]), pa.array(search.best.vec[found, at]), pa.array(search.best.score[found, at].astype(np.int64))], ["query_id", "vec_id", "score"])
+            for r, (group, bound) in enumerate(zip(column["group"].to_pylist(), column["bound"])):
+                if group != now:
+                    yield from results(open_)
+                    now, open_ = group, []
+                ids = np.frombuffer(column["ids"][r].as_buffer(), np.int64)
+                vectors = np.frombuffer(column["v"][r].as_buffer(), np.float64).reshape(len(ids), -1)
+                if bound.is_valid:
+                    open_.append(Search(ids.copy(), vectors.copy(), k, np.frombuffer(bound.as_buffer(), np.float64)))
+                    continue
+                norms = np.sqrt((vectors * vectors).sum(axis=1))
+                for search in open_:
+                    search.bucket(ids, vectors, norms)
+        yield from results(open_)
 
     return run
 
 
+def pairs_left(buckets: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(bucket, group) of the buckets whose longest vector can still reach a bound of the group's queries.
+
+    Only numbers are joined: a row per bucket of ``BUCKET`` vectors with a row per group of ``OPEN`` * ``BLOCK`` queries.
+    """
+    groups = blocks.groupBy("group", "dims").agg(F.min("least").alias("least"))
+    narrow = buckets.select("bucket", "dims", "longest")
+    return narrow.join(F.broadcast(groups), (narrow["dims"] == groups["dims"]) & (narrow["longest"] >= groups["least"])).select("bucket", "group")
+
+
 def top_k_search(vectors: DataFrame, queries: str, k: int = 5, scale: float = 256.0) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` highest integer inner products of each row that ``queries`` selects.
 
@@ -188,8 +219,9 @@ def top_k_search(vectors: DataFrame, queries: str, k: int = 5, scale: float = 25
     query is asked once, with the smallest of its vectors. A vector is a candidate of queries with as many
     dimensions. Products are exact while they stay below 2^53. Other columns are ignored.
 
-    Every block of queries meets every bucket of vectors, as a product of two stored tables; a task keeps the best
-    of its few blocks and its bounds rise from bucket to bucket. Only the ``SEEDS`` longest vectors are broadcast.
+    A table of numbers says which buckets can still improve which groups of query blocks; only these are sent. A task
+    keeps the best of its few blocks, and its bounds rise from bucket to bucket. Broadcast are the ``SEEDS`` longest
+    vectors, and a row of numbers for each group of 16,384 queries.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark)
@@ -200,14 +232,18 @@ def top_k_search(vectors: DataFrame, queries: str, k: int = 5, scale: float = 25
         seeds.setdefault(len(r.v) // 8, []).append(r)
     shared = spark.sparkContext.broadcast({d: (np.array([r.vec_id for r in x]), _unpack([r.v for r in x]), np.array([r.norm for r in x])) for d, x in seeds.items()})
     order = [F.octet_length("v"), F.desc("norm"), F.col("vec_id")]
-    buckets = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("vec_id", "v").mapInArrow(_buckets, "v_dims int, v_ids binary, v binary")
+    buckets = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("vec_id", "v").mapInArrow(_buckets, "bucket long, dims int, longest double, ids binary, v binary")
     buckets = scratch.save(buckets, "buckets")
     asked = scratch.save(rows.where(queries).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     count = max(1, -(-asked.count() // BLOCK))
-    blocks = asked.repartition(count).sortWithinPartitions(F.octet_length("v"), "vec_id").mapInArrow(_blocks(shared, k), "block long, q_dims int, q_ids binary, q binary, bound binary")
-    blocks = scratch.save(blocks, "blocks").repartition(-(-count // OPEN))
+    blocks = asked.repartition(count).sortWithinPartitions(F.octet_length("v"), "vec_id").mapInArrow(_blocks(shared, k), "block long, dims int, least double, ids binary, v binary, bound binary")
+    # A group has blocks of one number of dimensions.
+    blocks = blocks.withColumn("group", F.struct("dims", F.floor(F.shiftright("block", 33) / OPEN).alias("part")))
+    blocks = scratch.save(blocks, "blocks")
     scratch.drop("rows", "queries")
-    pairs = buckets.hint("shuffle_replicate_nl").join(blocks, F.col("v_dims") == F.col("q_dims"))
-    out = pairs.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    sent = buckets.join(scratch.save(pairs_left(buckets, blocks), "pairs"), "bucket").select("group", F.lit(1).alias("kind"), F.col("longest").alias("place"), "ids", "v", F.lit(None).cast("binary").alias("bound"))
+    both = blocks.select("group", F.lit(0).alias("kind"), F.lit(0.0).alias("place"), "ids", "v", "bound").unionByName(sent)
+    both = both.repartition("group").sortWithinPartitions("group", "kind", F.desc("place"))
+    out = both.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -58,6 +58,32 @@ def brute_links(rows):
     return sorted((d, least[root(k)], links[k]) for k, (d, _) in enumerate(sets))
 
 
+def test_buckets_that_cannot_improve_a_group_are_not_sent(spark, monkeypatch):
+    """Long vectors settle the queries: of the buckets of short ones none is paired, and results are as by brute force."""
+    from admitflow.llm import topk_search
+
+    counted, pairs_left = [], topk_search.pairs_left
+
+    def counting(buckets, blocks):
+        pairs = pairs_left(buckets, blocks)
+        counted.append((pairs.count(), buckets.count() * blocks.select("group").distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(topk_search, "pairs_left", counting)
+    rng = np.random.default_rng(3)
+    n = 5 * topk_search.BUCKET
+    vectors = rng.normal(size=(n, 6)) * np.where(np.arange(n) < 5000, 50.0, 0.02)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    got = topk_search.top_k_search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 1000 = 0").collect()
+    whole = np.floor(vectors * 256)
+    for q in range(0, n, 1000):
+        scores = whole @ whole[q]
+        best = [i for i in np.lexsort((np.arange(n), -scores)).tolist() if i != q][:5]
+        assert sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q) == [(k + 1, i, int(scores[i])) for k, i in enumerate(best)]
+    (sent, every), = counted
+    assert every >= 5 and 0 < sent <= every // 2
+
+
 def test_join_of_many_texts_under_one_id(spark):
     """Classes and rows of one doc_id don't multiply: 5,000 rows, of which pairs are near copies."""
     import time
