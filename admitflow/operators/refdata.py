@@ -74,7 +74,8 @@ def node_problems(node: Column) -> Column:
     has = lambda f: F.array_contains(keys, f)
     shown = lambda f: F.coalesce(at(f), F.lit("None"))
     # Text that looks like a number is none.
-    number = lambda f: F.when(~F.contains(node, F.concat(F.lit(f'"{f}": "'), at(f))), at(f).cast("double"))
+    given = lambda f: F.try_variant_get(F.try_parse_json(node), f"$.{f}", "variant")
+    number = lambda f: F.when(F.schema_of_variant(given(f)).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(given(f), "$", "double"))
     ranged = lambda f: F.coalesce(number(f).between(1, 7), F.lit(False))
     kind = shown("kind")
     group, subject, more = kind.isin(*GROUPS), kind == "subject", kind == "any_additional_language"

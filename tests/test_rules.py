@@ -265,3 +265,11 @@ def test_scorers_by_percentages(spark):
     tests = spark.createDataFrame([(1, 0, s, p) for s, p in marks.items()], "learner_id long, ordinal long, subject string, percentage int")
     valid, rejected = q.validate_requests(tests)
     assert valid.count() == len(marks) and rejected.count() == 0
+
+
+def test_levels_given_as_text_are_no_numbers(spark):
+    from admitflow.operators.refdata import node_problems
+
+    levels = {'"4"': False, "4": True, "4.5": True, "8": False, "true": False, "null": False}
+    rows = spark.createDataFrame([(f'{{"kind":{space}"subject","subject":"music","min_level":{space}{x}}}', ok) for x, ok in levels.items() for space in ("", " ")], "node string, ok boolean")
+    assert all((not r.problems) == r.ok for r in rows.select("ok", node_problems(F.col("node")).alias("problems")).collect())
