@@ -2,13 +2,14 @@
 
 Training counts tokens per task, turns distinct tokens into character 4-grams there and sums those with one small
 shuffle; all training texts count. Each model is a set of sorted hash arrays. Scoring looks distinct tokens up once
-and adds their log-probabilities over the whole text. Models too large for one task are cut into slices by the last
-but one character of their grams, which all that a gram's probability needs has in common but for the single
-characters; each slice scores its own grams in a pass of its own, and the sums are those of the whole model.
+and adds their log-probabilities over the whole text. Models are cut into slices of a bounded size by the two middle
+characters of their 4-grams. Shorter grams are counted by Spark and sent along, so that one task makes a slice from
+its own rows; each slice scores its own grams in a pass of its own, and the sums are those of the whole model.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -17,7 +18,6 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,8 +82,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """``keys[o]`` are the sorted grams of order o that any language has, ``logs[o]`` the log-probability of the
     last character in each language; ``backs[o]`` are contexts of o characters with the log of what they leave
-    to the shorter context in each language. Only grams whose last but one character is in ``span`` are scored;
-    ``rest`` are the slices with the others."""
+    to the shorter context in each language. Only grams whose place (see ``_place``) is in ``span`` are scored;
+    ``rest`` are the numbers of the slices with the others, which ``stored`` holds."""
 
     langs: list[str]
     keys: dict[int, np.ndarray]
@@ -93,14 +93,15 @@ class Model:
     floor: float
     scale: float = 1.0
     limits: tuple[np.ndarray, np.ndarray] | None = None
-    span: tuple[int, int] = (0, 1 << 16)
-    rest: list[Broadcast] = field(default_factory=list)
+    span: tuple[int, int] = (0, 1 << 32)
+    rest: list[int] = field(default_factory=list)
+    stored: DataFrame | None = None
 
     def words(self, words: list[str]) -> np.ndarray:
         """Log-likelihood of each word in each language, and in the last column the number of characters scored."""
         keys, owner = _grams(words)
-        if self.span != (0, 1 << 16):
-            at = (keys >> np.uint64(16)) & np.uint64(0xFFFF)
+        if self.span != (0, 1 << 32):
+            at = (keys & np.uint64(0xFFFF0000)) | ((keys >> np.uint64(32)) & np.uint64(0xFFFF))
             own = (at >= np.uint64(self.span[0])) & (at < np.uint64(self.span[1]))
             keys, owner = keys[own], owner[own]
         if not self.langs:  # nothing was learned
@@ -132,14 +133,15 @@ class Model:
 
 @dataclass
 class Whole:
-    """What a slice needs of all slices: single characters with their counts by language, and by order and language
-    how many grams count once and twice."""
+    """What a slice needs of all slices: by language single characters, and pairs of which the slice has the first,
+    with their counts; by order and language how many grams count once and twice."""
 
     single: dict[str, tuple[np.ndarray, np.ndarray]]
+    pairs: dict[str, tuple[np.ndarray, np.ndarray]]
     rare: dict[tuple[int, str], tuple[int, int]]
 
 
-def kneser_ney(rows: dict[str, tuple[np.ndarray, np.ndarray]], whole: Whole | None = None, span: tuple[int, int] = (0, 1 << 16)) -> Model:
+def kneser_ney(rows: dict[str, tuple[np.ndarray, np.ndarray]], whole: Whole | None = None, span: tuple[int, int] = (0, 1 << 32)) -> Model:
     """The model from each language's 4-grams and their counts; of one slice where ``whole`` is given."""
     langs = sorted(rows)
     singles = [k & np.uint64(0xFFFF) for k, _ in (whole.single if whole else rows).values()]
@@ -153,7 +155,7 @@ def kneser_ney(rows: dict[str, tuple[np.ndarray, np.ndarray]], whole: Whole | No
             k, n = np.unique(by_order[o + 1][0] & np.uint64((1 << 16 * o) - 1), return_counts=True)
             by_order[o] = (k, n.astype(np.float64))
         if whole:
-            by_order[1] = whole.single[lang]
+            by_order[1], by_order[2] = whole.single[lang], whole.pairs[lang]
         tables[lang] = by_order
     keys = {o: np.unique(np.concatenate([tables[x][o][0] for x in langs])) for o in range(1, ORDER + 1)}
     contexts = {o: np.unique(keys[o + 1] >> np.uint64(16)) for o in range(1, ORDER)}
@@ -231,7 +233,8 @@ def _through(docs: DataFrame, model: Model) -> tuple[DataFrame, str | None]:
     while name in docs.columns:
         name += "_"
     scratch, kept = Scratch(docs.sparkSession), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    for k, part in enumerate(model.rest):
+    for k, number in enumerate(model.rest):
+        part = docs.sparkSession.sparkContext.broadcast(_load(model.stored, number))
         score = _score(part, name if k else None)
 
         def run(batches: Iterator[pa.RecordBatch], score=score) -> Iterator[pa.RecordBatch]:
@@ -239,6 +242,7 @@ def _through(docs: DataFrame, model: Model) -> tuple[DataFrame, str | None]:
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(out.tolist(), pa.list_(pa.float64()))], [*rows.schema.names, name])
 
         docs = scratch.save(docs.mapInArrow(released(run), f"{kept}, `{name}` array<double>"), f"slice{k}")
+        part.destroy()
         if k:
             scratch.drop(f"slice{k - 1}")
     return docs, name
@@ -278,36 +282,86 @@ def _calibrate(model: Model, rows: list) -> None:
     model.limits = (mean, spread)
 
 
-def _last_but_one() -> Column:
-    return F.shiftrightunsigned("gram", 16).bitwiseAND(F.lit(0xFFFF))
+def _place() -> Column:
+    """A 4-gram's two middle characters as a number, the third first."""
+    return F.shiftleft(_first(2), 16).bitwiseOR(_first(3))
 
 
-def _spans(counts: DataFrame, langs: int, most_grams: int) -> list[tuple[int, int]]:
-    """Ranges of the last but one character whose grams make one slice: at most ``most_grams`` rows, and four cells
-    of the model to each, unless a single character has more."""
-    by_char = counts.groupBy("gram").agg(F.count("*").alias("n")).groupBy(_last_but_one().alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("grams")).orderBy("c").collect()
+def _first(o: int) -> Column:
+    """First character of the last ``o`` of a gram."""
+    return F.shiftrightunsigned("gram", 16 * (o - 1)).bitwiseAND(F.lit(0xFFFF))
+
+
+def _starts(counts: DataFrame, langs: int, most_grams: int) -> list[int]:
+    """Places at which slices start: each has at most ``most_grams`` rows, and four cells of the model to each.
+
+    Slices are cut between third characters, and between second ones where a third character has more grams than
+    that. The driver sees one number per character, of which there are at most 65,536, and as many for each of these.
+    """
+    size = F.greatest(F.sum("n"), F.floor(F.count("*") * langs / 4)).alias("size")
+    grams = counts.groupBy("gram").agg(F.count("*").alias("n"))
+    third = {r.c: r.size for r in grams.groupBy(_first(2).alias("c")).agg(size).collect()}
+    parts = {c << 16: n for c, n in third.items() if n <= most_grams}
+    large = [c for c, n in third.items() if n > most_grams]
+    if large:
+        parts |= {r.c: r.size for r in grams.where(_first(2).isin(large)).groupBy(_place().alias("c")).agg(size).collect()}
     starts, held = [0], 0
-    for r in by_char:
-        size = max(r.n, r.grams * langs // 4)
-        if held and held + size > most_grams:
-            starts.append(r.c)
+    for c in sorted(parts):
+        if held and held + parts[c] > most_grams:
+            starts.append(c)
             held = 0
-        held += size
-    return list(zip(starts, [*starts[1:], 1 << 16]))
+        held += parts[c]
+    return starts
 
 
-def _whole(counts: DataFrame, langs: list[str], scratch: Scratch) -> Whole:
+def _slice_rows(counts: DataFrame, langs: list[str], starts: list[int], scratch: Scratch) -> tuple[DataFrame, dict[tuple[int, str], tuple[int, int]]]:
+    """(slice, o, lang, gram, n): 4-grams in their slice, pairs in all slices of their first character, single
+    characters in all; and by order and language how many grams count once and twice."""
     orders = {ORDER: counts}
     for o in range(ORDER - 1, 0, -1):
         shorter = orders[o + 1].groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 16 * o) - 1)).alias("gram")).agg(F.count("*").alias("n"))
         orders[o] = scratch.save(shorter, f"grams{o}")
-    single = orders[1].orderBy("lang", "gram").toArrow()
-    lang, gram, n = pc.index_in(single["lang"], pa.array(langs)).to_numpy(), single["gram"].to_numpy().view(np.uint64), single["n"].to_numpy().astype(np.float64)
     rare = {(o, x): (0, 0) for o in orders for x in langs}
     for o, df in orders.items():
         rare |= {(o, r.lang): (r.once, r.twice) for r in df.groupBy("lang").agg(F.expr("count_if(n = 1)").alias("once"), F.expr("count_if(n = 2)").alias("twice")).collect()}
-    scratch.drop(*[f"grams{o}" for o in range(1, ORDER)])
-    return Whole({x: (gram[lang == j], n[lang == j]) for j, x in enumerate(langs)}, rare)
+
+    def slice_of(place: Column) -> Column:
+        return F.size(F.filter(F.array(*map(F.lit, starts)), lambda s: s <= place)) - 1 if len(starts) > 1 else F.lit(0)
+
+    def sent(o: int, first: Column, last: Column) -> DataFrame:
+        return orders[o].select(F.explode(F.sequence(first, last)).alias("slice"), F.lit(o).alias("o"), "lang", "gram", "n")
+
+    char = F.shiftleft(_first(2), 16)
+    own = slice_of(_place())
+    return sent(ORDER, own, own).union(sent(2, slice_of(char), slice_of(char + 0xFFFF))).union(sent(1, F.lit(0), F.lit(len(starts) - 1))), rare
+
+
+def _make(langs: list[str], starts: list[int], rare: dict[tuple[int, str], tuple[int, int]], piece: int = 1 << 22):
+    """A slice's rows to its model, pickled and cut into pieces."""
+    ends = [*starts[1:], 1 << 32]
+
+    def run(rows: pa.Table) -> pa.Table:
+        k = rows["slice"][0].as_py()
+        o, lang = rows["o"].to_numpy(), pc.index_in(rows["lang"], pa.array(langs)).to_numpy()
+        gram, n = rows["gram"].to_numpy().view(np.uint64), rows["n"].to_numpy()
+
+        def table(order: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+            out = {}
+            for j, x in enumerate(langs):
+                at = np.flatnonzero((o == order) & (lang == j))
+                at = at[np.argsort(gram[at])]
+                out[x] = (gram[at], n[at].astype(np.float64))
+            return out
+
+        data = pickle.dumps(kneser_ney(table(ORDER), Whole(table(1), table(2), rare), (starts[k], ends[k])), 5)
+        schema = pa.schema([("slice", pa.int32()), ("at", pa.int64()), ("data", pa.binary())])
+        return pa.Table.from_batches([pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([at]), pa.array([data[at : at + piece]])], schema=schema) for at in range(0, len(data), piece)])
+
+    return run
+
+
+def _load(stored: DataFrame, number: int) -> Model:
+    return pickle.loads(b"".join(r.data for r in sorted(stored.where(F.col("slice") == number).collect(), key=lambda r: r.at)))
 
 
 def train_language_models(training: DataFrame, sample_rows: int = 4000, most_grams: int = 4_000_000) -> Model:
@@ -315,8 +369,9 @@ def train_language_models(training: DataFrame, sample_rows: int = 4000, most_gra
 
     All texts and all their 4-grams count. Calibration uses about ``sample_rows`` of the distinct rows, at every size
     of the table (see ``bounded_sample``).
-    The driver and a task hold about ``most_grams`` 4-grams at once: a larger model is made and used in slices, with
-    the same results. Each slice past the first costs another pass over the texts.
+    A task holds about ``most_grams`` 4-grams at once. Each slice of the model is made in a task of its own and kept
+    in the shared folder; the driver passes on one at a time. Results are the same for any number of slices, but each
+    past the first costs another pass over the texts.
     """
     training = training.select("doc_id", "text", "lang").where("text is not null and lang is not null")
     spark, scratch = training.sparkSession, Scratch(training.sparkSession)
@@ -325,20 +380,14 @@ def train_language_models(training: DataFrame, sample_rows: int = 4000, most_gra
     langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
     if not langs:
         return Model([], {}, {}, {}, {}, 0.0)
-    spans = _spans(counts, len(langs), most_grams)
-    whole = _whole(counts, langs, scratch) if len(spans) > 1 else None
-
-    def part(span: tuple[int, int]) -> Model:
-        got = counts.where(_last_but_one().between(span[0], span[1] - 1)).toArrow()
-        lang, gram, n = pc.index_in(got["lang"], pa.array(langs)).to_numpy(), got["gram"].to_numpy().view(np.uint64), got["n"].to_numpy()
-        return kneser_ney({x: (gram[lang == j], n[lang == j]) for j, x in enumerate(langs)}, whole, span)
-
-    rest = [spark.sparkContext.broadcast(part(span)) for span in spans[1:]]
-    model = part(spans[0])
-    model.rest = rest
-    scratch.drop("grams")
+    starts = _starts(counts, len(langs), most_grams)
+    rows, rare = _slice_rows(counts, langs, starts, scratch)
+    stored = scratch.save(rows.groupBy("slice").applyInArrow(_make(langs, starts, rare), "slice int, at long, data binary"), "slices")
+    scratch.drop("grams", *[f"grams{o}" for o in range(1, ORDER)])
+    model = _load(stored, 0)
+    model.rest, model.stored = list(range(1, len(starts))), stored
     sample, before = _through(bounded_sample(training, sample_rows).select("text", "lang"), model)
-    shared = spark.sparkContext.broadcast(replace(model, rest=[]))
+    shared = spark.sparkContext.broadcast(replace(model, rest=[], stored=None))
     _calibrate(model, sample.mapInArrow(released(_sample(shared, before)), "lang string, v array<double>").collect())
     return model
 
@@ -354,7 +403,7 @@ def identify_language(docs: DataFrame, model: Model, reject_spreads: float = 8.0
     """
     new = ["lang_pred", "score", "cross_entropy", "rejected"]
     docs = docs.drop(*new)
-    shared = docs.sparkSession.sparkContext.broadcast(replace(model, rest=[]))
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, rest=[], stored=None))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", lang_pred string, score double, cross_entropy double, rejected boolean"
     docs, before = _through(docs, model)
     score = _score(shared, before)

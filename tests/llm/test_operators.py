@@ -739,6 +739,36 @@ def test_language_models_in_slices(spark):
         assert np.allclose([r.score, r.cross_entropy], [many[k].score, many[k].cross_entropy], rtol=1e-5)
 
 
+def test_language_models_of_a_character_that_fills_slices(spark):
+    """A character between many others is in more grams than a slice may hold: it is cut by the one before it."""
+    from admitflow.llm.common import Scratch
+    from admitflow.llm.langid import _first, _slice_rows, _starts, identify_language, train_language_models
+
+    rng = random.Random(21)
+    han = [chr(0x4E00 + k) for k in range(200)]
+    rows = [(k, " ".join("x".join(rng.choice(han[at : at + 120]) for _ in range(3)) for _ in range(60)), lang) for k, (lang, at) in enumerate([("low", 0), ("high", 80)] * 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole, sliced = train_language_models(docs), train_language_models(docs, most_grams=300)
+    assert sum(m.span[0] >> 16 == ord("x") for m in _slices(sliced)) > 3
+    assert all(len(m.keys[4]) <= 300 for m in _slices(sliced)) and sum(len(m.keys[4]) for m in _slices(sliced)) == len(whole.keys[4])
+    one, many = ({r.doc_id: r for r in identify_language(docs, m).collect()} for m in (whole, sliced))
+    for k, _, lang in rows:
+        assert one[k].lang_pred == many[k].lang_pred == lang
+        assert np.allclose([one[k].score, one[k].cross_entropy], [many[k].score, many[k].cross_entropy], rtol=1e-5)
+    assert _starts(spark.createDataFrame([], "lang string, gram long, n long"), 2, 10) == [0]
+    grams = spark.createDataFrame([("a", (1 << 48) | (2 << 32) | (3 << 16) | 4, 1), ("a", (1 << 48) | (5 << 32) | (3 << 16) | 4, 2)], "lang string, gram long, n long")
+    sent, rare = _slice_rows(grams, ["a"], [0, (3 << 16) | 5], Scratch(spark))
+    assert sorted((r["slice"], r.o, r.gram & 0xFFFFFFFF, r.n) for r in sent.collect()) == [(0, 1, 4, 1), (0, 2, (3 << 16) | 4, 2), (0, 4, (3 << 16) | 4, 1), (1, 1, 4, 1), (1, 2, (3 << 16) | 4, 2), (1, 4, (3 << 16) | 4, 2)]
+    assert rare == {(4, "a"): (1, 1), (3, "a"): (2, 0), (2, "a"): (0, 1), (1, "a"): (1, 0)}
+    assert grams.select(_first(2).alias("c")).distinct().collect()[0].c == 3
+
+
+def _slices(model):
+    from admitflow.llm.langid import _load
+
+    return [_load(model.stored, k) for k in [0, *model.rest]]
+
+
 def test_language_of_letters_beyond_16_bits(spark):
     from admitflow.llm.langid import _grams, identify_language, train_language_models
 
