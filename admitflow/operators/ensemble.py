@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import names_equal, score_key, set_key
-from ..sources.scratch import kept
 from .rules import tree_keys
 
 METHODS = ["a", "b", "c"]
@@ -44,7 +43,7 @@ def votes(candidates: DataFrame) -> DataFrame:
 
 
 def vote(cast: DataFrame) -> DataFrame:
-    """(code, field, value, confidence, minority) from ``votes``.
+    """(code, field, value, confidence, minority, key) from ``votes``; ``key`` is that of the value.
 
     No vote: null, 0. One: its value, 0.5. All agree: 1. More agree than on any other value: 0.66 and the others as
     minority. Else null and 0, all as minority. The value is that of the first method that agrees.
@@ -60,7 +59,7 @@ def vote(cast: DataFrame) -> DataFrame:
     confidence = F.when(F.col("votes") == 0, 0.0).when(F.col("votes") == 1, 0.5).when(F.col("most") == F.col("votes"), 1.0).when(F.col("most") > 1, 0.66).otherwise(0.0)
     against = F.filter("entries", lambda e: ~settled | ~e["key"].eqNullSafe(F.col("win.key")))
     minority = F.map_from_entries(F.array_sort(F.transform(against, lambda e: F.struct(e["method"], e["value"]))))
-    return top.select("code", "field", F.when(settled & (F.col("votes") > 0), F.col("win.first.value")).alias("value"), confidence.alias("confidence"), F.when((F.col("votes") > 1) & (F.size(against) > 0), minority).alias("minority"))
+    return top.select("code", "field", F.when(settled & (F.col("votes") > 0), F.col("win.first.value")).alias("value"), confidence.alias("confidence"), F.when((F.col("votes") > 1) & (F.size(against) > 0), minority).alias("minority"), F.when(settled & (F.col("votes") > 0), F.col("win.key")).alias("key"))
 
 
 def reconcile(candidates: DataFrame) -> DataFrame:
@@ -125,37 +124,49 @@ def ensemble_records(candidates: DataFrame) -> DataFrame:
 
 def unpopulated_fields(voted: DataFrame) -> DataFrame:
     """Fields for which no record ever got a vote."""
-    return voted.groupBy("field").agg(F.bool_or((F.col("confidence") > 0) | F.col("minority").isNotNull()).alias("tried")).where("not tried").select("field")
+    return voted.groupBy("field").agg(F.bool_or(_tried()).alias("tried")).where("not tried").select("field")
 
 
-def _judged(cast: DataFrame, voted: DataFrame, truth: DataFrame) -> DataFrame:
-    """(code, field, same) of the gated fields on which all votes agree, for the codes of ``truth``."""
-    agreed = voted.where(F.col("field").isin(GATED) & (F.col("confidence") == 1.0))
-    keys = cast.where("value is not null").groupBy("code", "field").agg(F.min_by("key", "method").alias("key"))
-    right = votes(truth.withColumn("method", F.lit("t"))).select("code", "field", F.col("value").alias("true_value"), F.col("key").alias("true_key"))
+def _tried() -> Column:
+    return (F.col("confidence") > 0) | F.col("minority").isNotNull()
+
+
+def _judged(voted: DataFrame, truth: DataFrame) -> DataFrame:
+    """``voted`` in full outer join with the fields of ``truth``: agreed where all votes on a gated field that the truth
+    holds agree, same where they also agree with it. A null code meets none."""
+    right = votes(truth.withColumn("method", F.lit("t"))).select("code", "field", F.col("value").alias("true_value"), F.col("key").alias("true_key"), F.lit(True).alias("true"))
+    both = voted.withColumn("voted", F.lit(True)).join(right, ["code", "field"], "full_outer")
+    agreed = F.col("voted") & F.col("true") & F.col("field").isin(GATED) & (F.col("confidence") == 1.0)
     same = F.when(F.col("field") == "name", names_equal(F.col("true_value"), F.col("value"))).otherwise(F.col("key").eqNullSafe(F.col("true_key")))
-    return agreed.join(keys, ["code", "field"]).join(right, ["code", "field"]).select("code", "field", F.coalesce(same, F.lit(False)).alias("same"))
+    return both.withColumns({"agreed": F.coalesce(agreed, F.lit(False)), "same": F.coalesce(same, F.lit(False))})
 
 
 def wrong_by_field(candidates: DataFrame, truth: DataFrame) -> DataFrame:
     """(field, agreed, wrong): how often all votes on a gated field agree, and how often they are all wrong."""
-    cast = kept(votes(candidates))
-    return _judged(cast, vote(cast), truth).groupBy("field").agg(F.count("*").alias("agreed"), F.count_if(~F.col("same")).alias("wrong"))
+    return _judged(vote(votes(candidates)), truth).where("agreed").groupBy("field").agg(F.count("*").alias("agreed"), F.count_if(~F.col("same")).alias("wrong"))
 
 
 def gate(candidates: DataFrame, truth: DataFrame, least_recall: float = 0.98, most_wrong: float = 0.02) -> DataFrame:
     """One row: recall over ``truth``, share of agreed fields that are wrong, share of records for review, and the
-    decision: recall above ``least_recall`` and wrong below ``most_wrong``, both strictly."""
-    cast = kept(votes(candidates))
-    voted = kept(vote(cast))
-    found = voted.select("code").distinct()
-    recall = truth.select(F.col("qualification_code").alias("code")).distinct().join(found.withColumn("hit", F.lit(1)), "code", "left").agg(F.count("*").alias("present"), F.count("hit").alias("found"))
-    wrong = _judged(cast, voted, truth).agg(F.count("*").alias("agreed"), F.count_if(~F.col("same")).alias("wrong"))
-    relevant = voted.join(unpopulated_fields(voted), "field", "left_anti")
-    queue = voted.select("code").distinct().join(relevant.groupBy("code").agg(F.bool_or(F.col("confidence") < 1).alias("review")), "code", "left").agg(F.count("*").alias("records"), F.count_if(F.coalesce("review", F.lit(False))).alias("for_review"))
+    decision: recall above ``least_recall`` and wrong below ``most_wrong``, both strictly.
+
+    Votes are read once: records are told by code, then counted by the sets of their weak and their tried fields, of
+    which there are few, as only all of them together tell which fields count for review.
+    """
+    named = lambda c: F.sort_array(F.collect_set(F.when(F.col("voted") & c, F.col("field"))))
+    by_code = _judged(vote(votes(candidates)), truth).groupBy("code").agg(
+        F.bool_or("true").alias("present"), F.bool_or("voted").alias("found"), F.count_if("agreed").alias("agreed"), F.count_if(F.col("agreed") & ~F.col("same")).alias("wrong"),
+        named(F.col("confidence") < 1).alias("weak"), named(_tried()).alias("tried"),
+    )
+    coded = F.col("code").isNotNull()
+    kinds = by_code.withColumn("weak", F.when(coded, F.col("weak")).otherwise(F.array().cast("array<string>"))).groupBy("weak", "tried").agg(
+        F.count_if("present").alias("present"), F.count_if(F.col("present") & F.col("found") & coded).alias("found"), F.sum("agreed").alias("agreed"), F.sum("wrong").alias("wrong"), F.count_if("found").alias("records")
+    )
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("present", "found", "agreed", "wrong", "records")]
+    one = kinds.agg(*sums, F.flatten(F.collect_set("tried")).alias("tried"), F.collect_list(F.struct("weak", "records")).alias("kinds"))
+    review = F.aggregate("kinds", F.lit(0).cast("bigint"), lambda n, k: n + F.when(F.arrays_overlap(k["weak"], F.col("tried")), k["records"]).otherwise(0))
     ratio = lambda x, y: F.coalesce(F.try_divide(F.col(x).cast("double"), F.col(y)), F.lit(0.0))
-    row = lambda df: df.select(F.struct("*")).scalar()
-    one = recall.select("*", row(wrong).alias("w"), row(queue).alias("q")).select("present", "found", "w.*", "q.*")
+    one = one.select("present", "found", "agreed", "wrong", "records", review.alias("for_review"))
     one = one.withColumns({"recall": ratio("found", "present"), "false_agreement": ratio("wrong", "agreed"), "queue_fraction": ratio("for_review", "records")})
     return one.withColumn("passed", (F.col("recall") > least_recall) & (F.col("false_agreement") < most_wrong))
 

@@ -33,12 +33,19 @@ def rotated_runs(chars: DataFrame) -> DataFrame:
     """
     turn = F.struct(*[F.bround(F.col(k), 2).alias(k) for k in "abcd"])
     c = chars.where("not upright").select(*PAGE, "seq", "text", "x0", "top", "bottom", turn.alias("turn"), s.perpendicular().alias("perp"), s.advance().alias("advance"))
-    c = islands(c, [*PAGE, "turn", "perp"], ["advance", "seq"], F.col("advance"), RUN_GAP, "part")
-    inside = F.sort_array(F.collect_list(F.struct("advance", "seq", "text", "top", "bottom")))
-    r = c.groupBy(*PAGE, "turn", "perp", "part").agg(inside.alias("chars"), F.avg("x0").alias("x0"), F.min("top").alias("top"), F.max("bottom").alias("bottom"))
+    # One exchange by page does for lines and places; a page's characters fit in a task. Lines are cut as arrays.
+    lines = c.repartition(*PAGE).groupBy(*PAGE, "turn", "perp").agg(F.sort_array(F.collect_list(F.struct("advance", "seq", "text", "x0", "top", "bottom"))).alias("line"))
+    wide = lambda i: F.get("line", i)["advance"] - F.get("line", i - 1)["advance"] > RUN_GAP
+    starts = F.filter(F.sequence(F.lit(0), F.size("line") - 1), lambda i: (i == 0) | F.coalesce(wide(i), F.lit(False)))
+    cut = F.transform("starts", lambda i, k: F.slice("line", i + 1, F.coalesce(F.get("starts", k + 1), F.size("line")) - i))
+    r = lines.withColumn("starts", starts).select(*PAGE, "turn", "perp", F.posexplode(cut).alias("part", "chars"))
     place = F.row_number().over(Window.partitionBy(*PAGE).orderBy("turn", "perp", "part")) - 1
+    each = lambda k: F.transform("chars", lambda x: x[k])
+    known = F.filter(each("x0"), lambda x: x.isNotNull())
+    mean = F.try_divide(F.aggregate(known, F.lit(0.0), lambda n, x: n + x), F.size(known))
     return r.select(
-        *PAGE, place.alias("run"), F.array_join(F.transform("chars", lambda x: x["text"]), "").alias("text"), "x0", F.element_at("chars", 1)["advance"].alias("first"), F.element_at("chars", -1)["advance"].alias("last"), "top", "bottom", "chars"
+        *PAGE, place.alias("run"), F.array_join(each("text"), "").alias("text"), mean.alias("x0"), F.element_at("chars", 1)["advance"].alias("first"), F.element_at("chars", -1)["advance"].alias("last"),
+        F.array_min(each("top")).alias("top"), F.array_max(each("bottom")).alias("bottom"), "chars",
     )
 
 

@@ -316,6 +316,17 @@ def triage_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _placed(pages.triage_report(found), "doc")
 
 
+@query("""WITH p AS (SELECT 'n' || c_nationkey AS doc, c_custkey % 7 + c_custkey % 3 // 2 + CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END AS n FROM customer
+    ), d AS (SELECT doc, count(*) AS page_count, sum(n)::BIGINT AS estimated_programme_rows FROM p GROUP BY doc)
+    SELECT doc, page_count, estimated_programme_rows, CASE WHEN estimated_programme_rows >= 50 THEN 'LIKELY_FULL' ELSE 'LIKELY_SUMMARY' END AS verdict, (row_number() OVER (ORDER BY estimated_programme_rows DESC, doc))::INT AS place FROM d""")
+def triage_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents placed by their estimated programmes: lines of names and numbers, lines of codes and scores, level cells by four."""
+    k = F.col("c_custkey")
+    lines = F.concat(F.repeat(F.lit("Bachelor of Arts  5 4 30\n"), (k % 7).cast("int")), F.when(k % 3 == 2, "B8BA3Q: from 28 on\n").otherwise("no score here\n"), F.when(k % 5 == 0, "| 5 (60%+) 4 (50%) 3(40-49%) 5 (60%) 4 ( 50 ) |").otherwise("| 5 (60%) 4 (50%) |"))
+    p = t.table(spark, sf_dir, "customer").select(F.concat(F.lit("n"), "c_nationkey").alias("doc"), k.alias("page"), lines.alias("text"), F.lit(0).alias("n_rotated"))
+    return _placed(pages.triage_report(pages.triage(p)), "doc", "page_count", "estimated_programme_rows", "verdict")
+
+
 @query("""SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'uj' WHEN 1 THEN 'prospectus' WHEN 2 THEN 'tut-' || page_id ELSE 'x' END AS institution_id, CASE page_id % 4 WHEN 0 THEN 2025 + page_id % 3 WHEN 1 THEN 2026 WHEN 2 THEN 2020 ELSE 2020 END::INT AS academic_year FROM pages""")
 def document_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Institution and year from the paths of documents."""

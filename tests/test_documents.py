@@ -59,6 +59,14 @@ def test_runs_part_at_gaps_and_columns(spark):
     assert texts[1].startswith("base\n") and {"ab", "cd", "ef"} < set(texts[1].split("\n")) and texts[2] == ""
 
 
+def test_runs_of_odd_characters(spark):
+    lost = ("d", 2, 9, "z", False, 0.0, 8.0, -8.0, 0.0, 10.0, None, None, None, None, None)
+    rows = turned("ab", 10.0, 0.0, 0, 1.0) + [r[:1] + (2,) + r[2:] for r in turned("ba", 10.0, 0.0, 5, 1.0)] + [lost] + [r[:4] + (True,) + r[5:] for r in turned("up", 10.0, 0.0, 0, 1.0)]
+    got = {(r.page, r.text): (r.run, r.x0, r.top, r.bottom) for r in geometry.rotated_runs(spark.createDataFrame(rows, PAGE_CHARS)).collect()}
+    assert got == {(1, "ab"): (0, 10.0, 1.0, 3.0), (2, "z"): (0, None, None, None), (2, "ba"): (1, 10.0, 1.0, 3.0)}
+    assert geometry.rotated_runs(spark.createDataFrame([], PAGE_CHARS)).count() == 0
+
+
 def grid(rows, strategy="lattice", page=1):
     return [("d", page, strategy, r, c, t, 10, 0) for r, row in enumerate(rows) for c, t in enumerate(row)]
 
@@ -156,6 +164,21 @@ def test_votes(spark):
     assert merged["X"].selection_notes == ["n1", "n2"] and merged["X"].needs_review and merged["X"].career_text is None and merged["X"].weak_fields == {"name": 0.66}
 
 
+def test_gate(spark):
+    columns = "method string, ordinal int, qualification_code string, name string, faculty string, campus array<string>, score array<struct<min_score:int,requires_subject:string>>, subjects string, excluded_subjects array<string>"
+    rows = [("a", 0, "X", "Arts", None, ["p"], None, None, None), ("b", 0, "X", "Arts", None, ["p"], None, None, None), ("a", 0, "Y", "Law", None, ["p"], None, None, None), ("b", 0, "Y", "Law", None, ["q"], None, None, None), ("a", 0, None, "None", None, None, None, None, None)]
+    truth = [("t", 0, "X", "Arts and more", None, ["q"], None, None, None), ("t", 0, "Z", "Music", None, None, None, None, None), ("t", 0, None, "None", None, None, None, None, None)]
+    frame = lambda x: spark.createDataFrame(x, columns)
+    one = ensemble.gate(frame(rows), frame(truth).drop("method")).first()
+    # X: code, name and campus agreed, campus wrong; Y isn't in the truth and is weak in campus; faculty and the like were never tried.
+    assert (one.present, one.found, one.agreed, one.wrong, one.records, one.for_review) == (3, 1, 3, 1, 3, 1)
+    assert (one.recall, one.false_agreement, one.queue_fraction, one.passed) == (1 / 3, 1 / 3, 1 / 3, False)
+    wrong = {r.field: (r.agreed, r.wrong) for r in ensemble.wrong_by_field(frame(rows), frame(truth).drop("method")).collect()}
+    assert wrong == {"qualification_code": (1, 0), "name": (1, 0), "campus": (1, 1)}
+    none = ensemble.gate(frame([]), frame([]).drop("method")).first()
+    assert (none.present, none.records, none.recall, none.false_agreement, none.queue_fraction, none.passed) == (0, 0, 0.0, 0.0, 0.0, False)
+
+
 def test_discovery(spark):
     html = '<h2 class="a elementor-heading-title"><a href="https://h/prospectuses/uj/">UJ &amp; friends Prospectus</a></h2><h2 class="elementor-heading-title">none</h2><h2 class="elementor-heading-title"><a href="/prospectuses/eduvos">E</a></h2>'
     listing = spark.createDataFrame([("headings", 2027, html), ("headings", 2027, None)], "source string, academic_year int, html string")
