@@ -19,13 +19,15 @@ from .queries import query
 
 
 def _chars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The characters of each document, rotated but in every third document; lines break every 20."""
-    d = t.spread(t.table(spark, sf_dir, "documents").select("doc_id", "text"))
-    c = d.select("doc_id", F.posexplode(F.split("text", "")).alias("seq", "text"))
+    """The characters of each document, partitioned by page, rotated but in every third document; lines break every 20."""
+    # Texts are dealt out by page before they are taken apart; many tasks, as each sorts some 100 bytes a character.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16 * spark.sparkContext.defaultParallelism)
+    d = t.table(spark, sf_dir, "documents").select(F.lit("all").alias("doc"), F.col("doc_id").cast("int").alias("page"), "doc_id", "text").repartition(tasks, "page")
+    c = d.select("doc", "page", "doc_id", F.posexplode(F.split("text", "")).alias("seq", "text"))
     n = F.col("seq")
     piece = F.floor(n / 20)
     return c.where(F.length("text") > 0).select(
-        F.lit("all").alias("doc"), F.col("doc_id").cast("int").alias("page"), "seq", "text", (F.col("doc_id") % 3 == 0).alias("upright"),
+        "doc", "page", "seq", "text", (F.col("doc_id") % 3 == 0).alias("upright"),
         F.lit(0.0).alias("a"), F.lit(8.0).alias("b"), F.lit(-8.0).alias("c"), F.lit(0.0).alias("d"), (F.floor(n / 60) * 20).cast("double").alias("e"), (n * 5 + piece * 30).cast("double").alias("f"),
         (F.floor(n / 60) * 20).cast("double").alias("x0"), (F.floor(n / 60) * 20 + 8).cast("double").alias("x1"), (n * 5).cast("double").alias("top"), (n * 5 + 5).cast("double").alias("bottom"),
     )
@@ -39,14 +41,14 @@ _CHARS = """chars AS (SELECT doc_id::INT AS page, n, ch, n // 60 AS col, n // 20
 @query(f"WITH {_CHARS} SELECT page, run, text, x0, top, bottom FROM numbered")
 def rotated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of rotated characters in reading order."""
-    return geometry.rotated_runs(_chars(spark, sf_dir)).select("page", "run", "text", "x0", "top", "bottom")
+    return geometry.rotated_runs(_chars(spark, sf_dir), placed=True).select("page", "run", "text", "x0", "top", "bottom")
 
 
 @query(f"WITH {_CHARS}, r AS (SELECT page, string_agg(text, chr(10) ORDER BY run) AS runs FROM numbered GROUP BY page) SELECT doc_id::INT AS page, md5('base' || coalesce(chr(10) || runs, '')) AS digest FROM documents LEFT JOIN r ON page = doc_id")
 def repaired_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with the ordered text of their rotated runs put behind."""
     base = t.table(spark, sf_dir, "documents").select(F.lit("all").alias("doc"), F.col("doc_id").cast("int").alias("page"), F.lit("base").alias("text"))
-    return geometry.repaired_text(base, _chars(spark, sf_dir)).select("page", F.md5(F.col("text").cast("binary")).alias("digest"))
+    return geometry.repaired_text(base, _chars(spark, sf_dir), placed=True).select("page", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
 @query("""WITH e AS (SELECT *, CASE WHEN epoch(ts) - lag(epoch(ts)) OVER w > 3600 THEN 1 ELSE 0 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),

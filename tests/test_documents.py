@@ -67,6 +67,33 @@ def test_runs_of_odd_characters(spark):
     assert geometry.rotated_runs(spark.createDataFrame([], PAGE_CHARS)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["rotated_runs", "repaired_pages", "prose_pages"])
+def test_characters_are_not_exchanged(spark, name):
+    """Texts are dealt out by page; the characters made from them stay where they are."""
+    from admitflow.plans import stream_queries  # noqa: F401
+    from admitflow.plans.queries import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().split("\n")
+    at = next(k for k, line in enumerate(plan) if "posexplode(split(" in line)
+    depth = lambda k: len(plan[k]) - len(plan[k].lstrip(" +-:"))
+    above, low = [], depth(at)
+    for k in range(at, -1, -1):
+        if depth(k) < low:
+            above, low = [*above, plan[k]], depth(k)
+    places = next(k for k, line in enumerate(above) if "Window " in line)
+    assert not any("Exchange" in line for line in above[:places])
+
+
+def test_prose_of_rows_and_of_arrays(spark):
+    words = [("d", 1, "b", 9.0, 10.0, 5.0), ("d", 1, "a", 1.0, 2.0, 5.04), ("d", 3, "c", 1.0, 2.0, 1.0)]
+    rows = spark.createDataFrame(words, PAGE_WORDS)
+    arrays = rows.groupBy("doc", "page").agg(F.collect_list(F.struct("top", "x0", "text")).alias("words")).unionByName(spark.createDataFrame([("d", 4, [])], "doc string, page int, words array<struct<top:double,x0:double,text:string>>"))
+    chars = spark.createDataFrame(turned("ab", 10.0, 0.0, 0, 0.0) + [r[:1] + (2,) + r[2:] for r in turned("cd", 10.0, 0.0, 0, 0.0)], PAGE_CHARS)
+    for given, placed in ((rows, False), (arrays, False), (arrays, True)):
+        got = geometry.prose_text(given, chars.repartition(3, "page") if placed else chars, placed).collect()
+        assert {r.page: r.text for r in got} == {1: "a b\nab", 2: "\ncd", 3: "c"}
+
+
 def grid(rows, strategy="lattice", page=1):
     return [("d", page, strategy, r, c, t, 10, 0) for r, row in enumerate(rows) for c, t in enumerate(row)]
 
