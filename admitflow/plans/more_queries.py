@@ -57,8 +57,8 @@ def open_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = q.validate_requests(t.marks(spark, sf_dir))
     k = F.col("c_custkey")
     asked = t.table(spark, sf_dir, "customer").select(k.alias("learner_id"), (2025 + k % 3).cast("int").alias("academic_year"), F.lit(None).cast("array<string>").alias("institutions"), (k % 2 == 0).alias("include_near_misses"))
-    got = q.qualify(valid, asked, t.programmes(spark, sf_dir), t.institutions(spark, sf_dir))
-    return got.groupBy("learner_id").agg(F.count("*").alias("evaluated_count"), F.count_if(F.col("bucket") == "qualified").alias("qualified"), F.count_if(F.col("bucket") == "near_miss").alias("near_misses"), F.countDistinct("institution_id").alias("institutions"))
+    got = q.count_pairs(valid, asked, q.offer_of(t.programmes(spark, sf_dir), t.institutions(spark, sf_dir)))
+    return q.summarise_counts(got).drop("score")
 
 
 @query(f"""WITH {t.MARKS}, m AS (SELECT o_custkey AS learner_id, CASE WHEN l_partkey % 97 = 0 THEN 'alchemy' ELSE 'music' END AS subject, CASE WHEN l_suppkey % 89 = 0 THEN 101 WHEN l_suppkey % 83 = 0 THEN NULL ELSE 50 END AS percentage FROM lineitem JOIN orders ON l_orderkey = o_orderkey

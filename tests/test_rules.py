@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from admitflow.functions import vocabulary as v
+from admitflow.operators import qualify as q
 from admitflow.operators.rules import _display, evaluate, flatten_trees, tree_key
 
 
@@ -273,3 +274,23 @@ def test_levels_given_as_text_are_no_numbers(spark):
     levels = {'"4"': False, "4": True, "4.5": True, "8": False, "true": False, "null": False}
     rows = spark.createDataFrame([(f'{{"kind":{space}"subject","subject":"music","min_level":{space}{x}}}', ok) for x, ok in levels.items() for space in ("", " ")], "node string, ok boolean")
     assert all((not r.problems) == r.ok for r in rows.select("ok", node_problems(F.col("node")).alias("problems")).collect())
+
+
+def test_pairs_are_counted_without_rows(spark):
+    """Counts equal those of the rows, for requests with and without a year, institutions, repeats and near misses."""
+    from admitflow.plans import testviews as t
+
+    sf = "/root/testdata/sf0.001"
+    valid, _ = q.validate_requests(t.marks(spark, sf))
+    k = F.col("learner_id")
+    year = F.when(k % 3 > 0, 2024 + k % 3).cast("int")
+    asked = t.requests(spark, sf).select(
+        "learner_id", year.alias("academic_year"), F.when(k % 4 == 0, F.lit(None).cast("array<string>")).when(k % 4 == 1, F.array(F.lit("PERU"), F.lit("nowhere"), F.lit(None).cast("string"), F.lit("PERU"), F.lit(""))).when(k % 4 == 2, F.lit([]).cast("array<string>")).otherwise(F.col("institutions")).alias("institutions"), (k % 5 > 0).alias("include_near_misses")
+    )
+    offer = q.offer_of(t.programmes(spark, sf), t.institutions(spark, sf)).kept()
+    rows, counts = q.qualify_offer(valid, asked, offer), q.count_pairs(valid, asked, offer)
+    want = q.summarise(rows).join(rows.groupBy("learner_id").agg(F.countDistinct("institution_id").alias("institutions")), "learner_id")
+    assert sorted(map(tuple, q.summarise_counts(counts).collect())) == sorted(map(tuple, want.collect()))
+    told = rows.where("bucket = 'near_miss'").select(F.explode("failures").alias("f")).groupBy("f.kind", "f.subject").count()
+    assert sorted(map(tuple, q.count_reasons(counts).collect()), key=repr) == sorted(map(tuple, told.collect()), key=repr)
+    assert "qualification_code" not in counts._jdf.queryExecution().optimizedPlan().toString()
