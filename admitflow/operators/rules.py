@@ -132,12 +132,13 @@ def _failure(kind, message, required, actual, subject) -> Column:
 _NONE = f"array<{FAILURE}>"
 
 
-def evaluate(nodes: Column, marks: Column, levels: Column, excluded: Column) -> Column:
+def evaluate(nodes: Column, marks: Column, levels: Column, excluded: Column, told: bool = True) -> Column:
     """Failures of a flattened tree for a learner: an empty array where the learner passes.
 
     ``marks`` and ``levels`` map subjects to percentages and levels (null level: not usable); subjects in
-    ``excluded`` count as absent.
+    ``excluded`` count as absent. Without ``told`` failures have no messages.
     """
+    failure = lambda kind, message, *rest: _failure(kind, message if told else None, *rest)
     none = F.array().cast(_NONE)
     shut = F.coalesce(excluded, F.array().cast("array<string>"))
     level = lambda key: F.when(~F.array_contains(shut, key), F.try_element_at(levels, key))
@@ -148,13 +149,13 @@ def evaluate(nodes: Column, marks: Column, levels: Column, excluded: Column) ->
         message = F.when(has.isNull(), F.concat(F.lit("Requires "), name, F.lit(" as a matric subject"))).otherwise(
             F.concat(F.lit("Requires "), name, F.lit(" level "), text(bar), F.lit(" ("), fewest(bar), F.lit("%+); you have level "), text(has), F.lit(" ("), text(F.try_element_at(marks, key)), F.lit("%)"))
         )
-        return F.array(_failure("subject", message, bar, has, field))
+        return F.array(failure("subject", message, bar, has, field))
 
     def language(n: Column) -> Column:
         hl, fal = level(n["hl"]), level(n["fal"])
         home = hl.isNotNull() & (fal.isNull() | (n["min_level"] - hl <= n["min_level_fal"] - fal))
         nearest = F.when(home, below(n["hl"], n["hl_name"], n["min_level"], hl, n["language"])).otherwise(below(n["fal"], n["fal_name"], n["min_level_fal"], fal, n["language"]))
-        absent = F.array(_failure("subject", F.concat(F.lit("Requires "), n["name"], F.lit(" as a matric subject")), n["min_level"], None, n["language"]))
+        absent = F.array(failure("subject", F.concat(F.lit("Requires "), n["name"], F.lit(" as a matric subject")), n["min_level"], None, n["language"]))
         passed = F.coalesce(hl >= n["min_level"], F.lit(False)) | F.coalesce(fal >= n["min_level_fal"], F.lit(False))
         return F.when(passed, none).when(hl.isNull() & fal.isNull(), absent).otherwise(nearest)
 
@@ -165,7 +166,7 @@ def evaluate(nodes: Column, marks: Column, levels: Column, excluded: Column) ->
         best = F.array_max(F.transform(others, lambda x: F.greatest(level(F.concat(x, F.lit("_hl"))), level(F.concat(x, F.lit("_fal"))))))
         ending = F.when(best.isNull(), F.lit("you do not offer a second language")).otherwise(F.concat(F.lit("your best additional language is level "), text(best)))
         message = F.concat(F.lit("Requires an additional language at level "), text(n["min_level"]), F.lit(" ("), fewest(n["min_level"]), F.lit("%+); "), ending)
-        return F.when(F.coalesce(best >= n["min_level"], F.lit(False)), none).otherwise(F.array(_failure("any_additional_language", message, n["min_level"], best, None)))
+        return F.when(F.coalesce(best >= n["min_level"], F.lit(False)), none).otherwise(F.array(failure("any_additional_language", message, n["min_level"], best, None)))
 
     def closest(n: Column, acc: Column) -> Column:
         # Fewest failures, the first branch on ties.
@@ -180,7 +181,7 @@ def evaluate(nodes: Column, marks: Column, levels: Column, excluded: Column) ->
             .when(n["kind"] == "all", F.flatten(F.transform(n["children"], lambda c: F.element_at(acc, c + 1))))
             .when(n["kind"] == "any", closest(n, acc))
             .when(n["kind"] == "additional", additional(n, acc))
-            .otherwise(F.array(_failure(n["fail_kind"], n["message"], None, None, None)))
+            .otherwise(F.array(failure(n["fail_kind"], n["message"], None, None, None)))
         )
         return F.array_append(acc, out)
 

@@ -294,3 +294,10 @@ def test_pairs_are_counted_without_rows(spark):
     told = rows.where("bucket = 'near_miss'").select(F.explode("failures").alias("f")).groupBy("f.kind", "f.subject").count()
     assert sorted(map(tuple, q.count_reasons(counts).collect()), key=repr) == sorted(map(tuple, told.collect()), key=repr)
     assert "qualification_code" not in counts._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_counted_failures_have_no_messages(spark):
+    from admitflow.plans.queries import QUERIES
+
+    plan = QUERIES["failure_reasons"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "you have level" not in plan and "n_rule_failures" in plan
