@@ -180,3 +180,12 @@ def test_rejected_and_accepted_requests_of_a_stream(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert {(r.learner_id, r.rejected) for r in out.where("rejected is not null").collect()} == {(3, "number of subjects"), (4, "number of subjects"), (5, "unknown subject")}
     assert {r.learner_id for r in out.where("rejected is null").select("learner_id").collect()} == {1}
+
+
+def test_rejections_judge_no_programme(spark, monkeypatch):
+    from admitflow.operators import qualify
+    from admitflow.plans import stream_queries
+
+    monkeypatch.setattr(qualify, "qualify_offer", None)
+    got = stream_queries.stream_rejections(spark, "/root/testdata/sf0.001").collect()
+    assert got and {r.rejected for r in got} == {"number of subjects"}
