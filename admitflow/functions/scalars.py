@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -11,6 +12,11 @@ from pyspark.sql import functions as F
 from . import vocabulary as v
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a value, which is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def level(pct: Column) -> Column:
     """Achievement level 1 to 7 of a percentage; null outside 0 to 100 or for null."""
     bands = reduce(lambda c, b: c.when(pct >= b[1], b[0]), sorted(v.LEVEL_FROM.items(), reverse=True), F.when(~pct.between(0, 100), F.lit(None).cast("int")))

@@ -36,6 +36,10 @@ def build_tree(cells: Column, exclusive: list[list[str]] = ()) -> Column:
     stands alone as the first; empty cells say nothing. Two or more plain nodes of an exclusive group become one
     choice at the front.
     """
+    return s.bound(cells, lambda x: _built(x, exclusive))
+
+
+def _built(cells: Column, exclusive: list[list[str]]) -> Column:
     entry = "array<struct<json:string,slug:string>>"
     one = lambda c, slug: F.array(F.struct(c.alias("json"), slug.alias("slug")))
 
@@ -48,13 +52,17 @@ def build_tree(cells: Column, exclusive: list[list[str]] = ()) -> Column:
 
     safe = F.array().cast(entry)
     nodes = F.aggregate(F.filter(cells, lambda c: c["cell"]["kind"].isin("level", "alternative")), safe, step)
-    front, rest = F.array().cast(_TEXTS), nodes
-    for group in exclusive:
-        members, others = _split_group(rest, group)
-        several = F.size(members) > 1
-        front = F.when(several, F.array_append(front, any_of(members["json"]))).otherwise(front)
-        rest = F.when(several, others).otherwise(rest)
-    tree = F.concat(F.lit('{"kind":"all","rules":['), F.array_join(F.concat(front, rest["json"]), ","), F.lit("]}"))
+
+    def written(nodes: Column) -> Column:
+        front, rest = F.array().cast(_TEXTS), nodes
+        for group in exclusive:
+            members, others = _split_group(rest, group)
+            several = F.size(members) > 1
+            front = F.when(several, F.array_append(front, any_of(members["json"]))).otherwise(front)
+            rest = F.when(several, others).otherwise(rest)
+        return F.concat(F.lit('{"kind":"all","rules":['), F.array_join(F.concat(front, rest["json"]), ","), F.lit("]}"))
+
+    tree = s.bound(nodes, written)
     out = F.filter(cells, lambda c: c["cell"]["kind"] == "not_accepted")
     return F.struct(tree.alias("tree"), F.array_sort(F.array_distinct(F.transform(out, lambda c: c["slug"]))).alias("excluded"))
 
@@ -83,16 +91,19 @@ def score_cell(text: Column) -> Column:
     One distinct number: an entry per subject named, or one without. Several: an entry each, if every number is
     followed by a subject before the next one.
     """
-    joined = F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" "))
-    numbers = s.score_candidates(joined)
     entry = lambda score, subject: F.struct(score.cast("int").alias("min_score"), subject.cast("string").alias("requires_subject"))
-    names = s.all_aliases(joined)
-    first = F.try_element_at(numbers, F.lit(1))
-    single = F.when(F.size(names) > 0, F.transform(names, lambda a: entry(first, a))).otherwise(F.array(entry(first, F.lit(None))))
-    spans = F.slice(F.split(joined, s.SCORE_CANDIDATE), 2, 1_000_000)
-    several = F.transform(numbers, lambda n, i: entry(n, s.longest_alias(F.try_element_at(spans, i + 1))))
-    clean = F.when(F.forall(several, lambda e: e["requires_subject"].isNotNull()), several)
-    return F.when(F.size(numbers) == 0, None).when(F.size(F.array_distinct(numbers)) == 1, single).otherwise(clean)
+
+    def settled(x: Column) -> Column:
+        joined, numbers = x["joined"], x["numbers"]
+        first = F.try_element_at(numbers, F.lit(1))
+        single = s.bound(s.all_aliases(joined), lambda names: F.when(F.size(names) > 0, F.transform(names, lambda a: entry(first, a))).otherwise(F.array(entry(first, F.lit(None)))))
+        spans = F.slice(F.split(joined, s.SCORE_CANDIDATE), 2, 1_000_000)
+        several = s.bound(spans, lambda after: F.transform(numbers, lambda n, i: entry(n, s.longest_alias(F.try_element_at(after, i + 1)))))
+        clean = s.bound(several, lambda each: F.when(F.forall(each, lambda e: e["requires_subject"].isNotNull()), each))
+        return F.when(F.size(numbers) == 0, None).when(F.size(F.array_distinct(numbers)) == 1, single).otherwise(clean)
+
+    joined = F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" "))
+    return s.bound(joined, lambda j: s.bound(F.struct(j.alias("joined"), s.score_candidates(j).alias("numbers")), settled))
 
 
 def row_subject_cells(cells: Column, markers: Column, not_accepted: Column, alternatives: Column) -> Column:
@@ -144,8 +155,8 @@ def markdown_records(pages: DataFrame, profile: dict) -> DataFrame:
     has = lambda h, *words: F.lit(False) if not words else F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low(h), w))
     # Headers are resolved once a table, before its rows are taken apart.
     t = t.withColumn("slugs", F.transform("header", lambda h: s.resolve_header(h, markers)))
-    role = lambda h, i: F.when(i + 1 == F.col("code_col"), "code").when(F.element_at("slugs", i + 1).isNotNull(), "subject").when(has(h, "aps", "score"), "aps").when(has(h, "campus"), "campus").when(has(h, "programme", "qualification", "course", "name"), "name").otherwise("ignored")
-    t = t.withColumn("roles", F.transform("header", role))
+    role = lambda h, i, slugs: F.when(i + 1 == F.col("code_col"), "code").when(F.element_at(slugs, i + 1).isNotNull(), "subject").when(has(h, "aps", "score"), "aps").when(has(h, "campus"), "campus").when(has(h, "programme", "qualification", "course", "name"), "name").otherwise("ignored")
+    t = t.withColumn("roles", s.bound(F.col("slugs"), lambda slugs: F.transform("header", lambda h, i: role(h, i, slugs))))
     t = t.select("*", F.explode("rows").alias("cells")).drop("rows", "best")
     at = lambda name: F.try_element_at("cells", F.nullif(F.array_position("roles", name), F.lit(0)).cast("int"))
     t = t.withColumn("code", F.try_element_at("cells", F.col("code_col"))).where(F.regexp_like("code", whole))

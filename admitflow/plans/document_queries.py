@@ -81,7 +81,7 @@ def _cell(text):
       CASE WHEN k = 6 THEN m WHEN k IN (3, 4, 7) AND n BETWEEN 1 AND 7 THEN n END::INT AS level FROM c""")
 def interpreted_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kind and level of requirement cells."""
-    part = t.table(spark, sf_dir, "part").withColumn("text", F.expr(_CELL))
+    part = t.spread(t.table(spark, sf_dir, "part")).withColumn("text", F.expr(_CELL))
     return part.withColumn("cell", _cell(F.col("text"))).select("p_partkey", "cell.kind", "cell.level")
 
 
@@ -92,7 +92,7 @@ def interpreted_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
       CASE WHEN k % 5 IN (3, 4) THEN 'mathematical_literacy' ELSE '' END AS excluded FROM c""")
 def built_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule trees from rows of cells: plain levels of exclusive subjects, a marked alternative, a rejection."""
-    part = t.table(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") % 5).alias("k"), (F.col("p_partkey") % 3 + 2).alias("a"), (F.col("p_partkey") % 4 + 3).alias("b"))
+    part = t.spread(t.table(spark, sf_dir, "part")).select("p_partkey", (F.col("p_partkey") % 5).alias("k"), (F.col("p_partkey") % 3 + 2).alias("a"), (F.col("p_partkey") % 4 + 3).alias("b"))
     third = F.when(F.col("k") == 0, F.col("b").cast("string")).when(F.col("k") < 3, F.concat(F.lit("OR "), F.col("b").cast("string"))).otherwise("Not accepted")
     cell = lambda slug, text: F.struct(F.lit(slug).alias("slug"), _cell(text).alias("cell"))
     row = F.array(cell("english", F.lit("4")), cell("mathematics", F.col("a").cast("string")), cell("mathematical_literacy", third))
@@ -107,7 +107,7 @@ def score_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = (14 + F.col("p_size") % 35).cast("string")
     k = F.col("p_partkey") % 6
     text = F.when(k == 0, n).when(k == 1, F.concat(n, F.lit(" with Mathematics OR "), n, F.lit(" with\nMathematics Literacy"))).when(k == 2, "20 with Mathematics OR 30 with Technical Mathematics").when(k == 3, "20 or 30 with Mathematics").when(k == 4, "3 (40%+)").otherwise("")
-    scored = t.table(spark, sf_dir, "part").withColumn("s", cells.score_cell(text))
+    scored = t.spread(t.table(spark, sf_dir, "part")).withColumn("s", cells.score_cell(text))
     return scored.select("p_partkey", F.array_join(F.transform("s", lambda e: F.concat_ws(":", e["min_score"].cast("string"), F.coalesce(e["requires_subject"], F.lit("")))), ";").alias("score"))
 
 
@@ -250,7 +250,7 @@ def historical_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def display_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Display names and levels of subject keys."""
     key = F.element_at(F.array(*[F.lit(x) for x in ("mathematics", "physical_sciences", "english_hl")]), (F.col("p_partkey") % 3 + 1).cast("int"))
-    return t.table(spark, sf_dir, "part").select("p_partkey", F.lower(s.subject_name(key)).alias("name"), s.level(s.least_percentage((F.col("p_partkey") % 7 + 1).cast("int"))).alias("level"))
+    return t.spread(t.table(spark, sf_dir, "part")).select("p_partkey", F.lower(s.subject_name(key)).alias("name"), s.level(s.least_percentage((F.col("p_partkey") % 7 + 1).cast("int"))).alias("level"))
 
 
 @query(f"WITH {t.PROGRAMMES} SELECT p_type, count(*) AS programmes FROM programmes GROUP BY 1")

@@ -389,7 +389,7 @@ def merged_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subjects of column headers, several where slashes divide them."""
     k = F.col("p_partkey") % 4
     text = F.when(k == 0, "Mathematics* / Mathematics  Literacy").when(k == 1, "physical SCIENCE").when(k == 2, "Campus / other").otherwise("x/English")
-    return t.table(spark, sf_dir, "part").select("p_partkey", F.array_join(s.resolve_merged_header(text, F.array(F.lit("*"))), ",").alias("slugs"))
+    return t.spread(t.table(spark, sf_dir, "part")).select("p_partkey", F.array_join(s.resolve_merged_header(text, F.array(F.lit("*"))), ",").alias("slugs"))
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'mathematics=4,english=5' WHEN 1 THEN 'history=3' ELSE '' END AS found FROM part""")
@@ -399,7 +399,7 @@ def row_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     lit = lambda *x: F.array(*[F.lit(c) for c in x])
     row = F.when(k == 0, lit("B2ABC", "Mathematics\nEnglish", "4 (50%)\n5", "4")).when(k == 1, lit("History", "3", "Music", "")).otherwise(lit("History\nMusic", "3", "x"))
     found = cells.row_subject_cells(row, lit("*"), lit("Not accepted"), lit("OR"))
-    return t.table(spark, sf_dir, "part").select("p_partkey", F.array_join(F.transform(found, lambda c: F.concat(c["slug"], F.lit("="), c["cell"]["level"].cast("string"))), ",").alias("found"))
+    return t.spread(t.table(spark, sf_dir, "part")).select("p_partkey", F.array_join(F.transform(found, lambda c: F.concat(c["slug"], F.lit("="), c["cell"]["level"].cast("string"))), ",").alias("found"))
 
 
 # Discovery and ingestion
