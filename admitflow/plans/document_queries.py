@@ -319,7 +319,7 @@ def _table_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.concat(F.lit("B2"), F.lpad((k % 10000).cast("string"), 4, "0"))
     text = lambda *cells: F.array(*[c if hasattr(c, "cast") else F.lit(c) for c in cells])
     rows = F.array(text("Code", "Programme", "English", "OR", "Mathematics", "APS"), text(code, F.element_at(F.split("p_name", " "), 1), "4 (50%)", F.when(k % 2 == 0, "OR").otherwise(""), (k % 7 + 1).cast("string"), (14 + F.col("p_size") % 30).cast("string")), text("no", "code", "4", "", "4", "30"))
-    part = t.table(spark, sf_dir, "part").select(F.lit("d").alias("doc"), k.cast("int").alias("page"), F.posexplode(rows).alias("row", "cells"))
+    part = t.spread(t.table(spark, sf_dir, "part")).select(F.lit("d").alias("doc"), k.cast("int").alias("page"), F.posexplode(rows).alias("row", "cells"))
     ruled = part.select("doc", "page", F.lit("lattice").alias("strategy"), "row", F.posexplode("cells").alias("col", "text"))
     ruled = ruled.withColumns({"n_chars": F.lit(4), "n_rotated": F.when(F.col("col") == 2, 4).otherwise(0)}).withColumn("text", F.when(F.col("col") == 2, F.reverse("text")).otherwise(F.col("text")))
     loose = part.where("row = 0").select("doc", "page", F.lit("stream").alias("strategy"), "row", F.lit(0).alias("col"), F.lit("nothing").alias("text"), F.lit(4).alias("n_chars"), F.lit(0).alias("n_rotated"))

@@ -361,7 +361,7 @@ def _many_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         row("", "", "Geography", "5", ""),
         row(code(3), F.concat(name, F.lit(" second APB")), F.lit("History\nMusic"), "4", "31"),
     )
-    part = t.table(spark, sf_dir, "part").select(F.lit("d").alias("doc"), k.cast("int").alias("page"), F.posexplode(rows).alias("row", "cells"))
+    part = t.spread(t.table(spark, sf_dir, "part")).select(F.lit("d").alias("doc"), k.cast("int").alias("page"), F.posexplode(rows).alias("row", "cells"))
     out = part.select("doc", "page", F.lit("lattice").alias("strategy"), "row", F.posexplode("cells").alias("col", "text"))
     return out.withColumns({"n_chars": F.lit(4), "n_rotated": F.lit(0)})
 
