@@ -349,7 +349,7 @@ def text_layer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.concat(F.lit("B2"), F.lpad((k % 10000).cast("string"), 4, "0"))
     line = lambda text, x, advance: F.struct((text if hasattr(text, "cast") else F.lit(text)).alias("text"), F.lit(float(x)).alias("x"), F.lit(float(advance)).alias("advance"))
     lines = F.array(line("Code", 50, 4000), line("English", 100, 4000), line("OR", 130, 4000), line("Mathematics", 160, 4000), line("APS", 210, 4000), line(code, 50, 1000), line("4", 100, 1000), line((k % 7 + 1).cast("string"), 160, 1000), line(F.when(k % 2 == 0, "OR").otherwise(""), 130, 1000))
-    part = t.table(spark, sf_dir, "part").withColumn("page", k.cast("int"))
+    part = t.spread(t.table(spark, sf_dir, "part")).withColumn("page", k.cast("int"))
     each = part.select("page", F.posexplode(lines).alias("n", "l")).select("page", "n", "l.*").where("text <> ''")
     chars = each.select("page", "n", "x", "advance", F.posexplode(F.split("text", "")).alias("i", "text")).where("text <> ''")
     top = F.when(F.col("advance") > 2000, 10.0).otherwise(100.0) + F.col("i")

@@ -310,3 +310,26 @@ def test_tables_of_pages_are_not_sent_through_the_driver(spark):
 
     plan = QUERIES["text_layer_records"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+@pytest.mark.parametrize("name", ["score_cells", "built_trees", "row_subjects", "interpreted_cells", "display_names", "merged_headers"])
+def test_rows_of_one_file_are_worked_off_by_all_cores(spark, name):
+    from admitflow.plans import document_queries, more_queries  # noqa: F401
+    from admitflow.plans.queries import QUERIES
+
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_cells_and_characters_of_one_file_are_made_by_all_cores(spark):
+    from admitflow.plans import document_queries, more_queries, stream_queries
+
+    sf = "/root/testdata/sf0.001"
+    made = [document_queries._table_cells(spark, sf), more_queries._many_rows(spark, sf), stream_queries._block(spark, sf, 0, "B2", F.lit(4), 0)]
+    assert all(df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism for df in made)
+
+
+def test_a_bound_value_is_worked_out_once(spark):
+    from admitflow.functions.scalars import bound
+
+    got = spark.range(20).select(bound(F.rand(), lambda x: x == x).alias("same"), bound(F.lit(None).cast("int"), lambda x: x.isNull()).alias("none"))
+    assert all(r.same and r.none for r in got.collect())
