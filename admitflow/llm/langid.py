@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded_sample, released
+from .common import Scratch, released
 
 ORDER = 4
 _ALNUM = re.compile(r"[^\W\d_]+")
@@ -248,37 +248,69 @@ def _through(docs: DataFrame, model: Model) -> tuple[DataFrame, str | None]:
     return docs, name
 
 
-def _sample(model, before: str | None):
+#: Scales of the posterior that are tried, and bins of cross-entropy per nat.
+SCALES, BINS = np.geomspace(0.1, 20, 40), 4096
+
+
+def _scored(model, before: str | None):
+    """Rows with letters as (mark, lang, v): the digest of text and language, the language, and their ``_score``."""
     score = _score(model, before)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, out in score(batches):
-            yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array(out.tolist(), pa.list_(pa.float64()))], ["lang", "v"])
+            at = np.flatnonzero(out[:, -1] > 0)
+            yield pa.RecordBatch.from_arrays([part.column("mark").take(at), part.column("lang").take(at), pa.array(out[at].tolist(), pa.list_(pa.float64()))], ["mark", "lang", "v"])
+
+    return run
+
+
+def _measured(langs: list[str]):
+    """(lang, bin, n, size, x, xx): without a language, n rows and the sum x of their losses for each of ``SCALES``; with
+    one, the rows of a bin of cross-entropy, their characters, and these times entropy and its square."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v = batch.column("v").flatten().to_numpy().reshape(batch.num_rows, -1)
+            truth = pc.index_in(batch.column("lang"), pa.array(langs)).to_numpy()
+            n, entropy = v[:, -1], -v[:, :-1] / v[:, -1:]
+            own, loss = entropy[np.arange(len(v)), truth], np.zeros(len(SCALES))
+            for k, scale in enumerate(SCALES):
+                logit = -entropy * scale * np.sqrt(n)[:, None]
+                logit -= logit.max(axis=1, keepdims=True)
+                loss[k] = (np.log(np.exp(logit).sum(axis=1)) - logit[np.arange(len(v)), truth]).sum()
+            cells, at = np.unique(np.stack([truth, np.floor(own * BINS).astype(np.int64)]), axis=1, return_inverse=True)
+            sums = [np.bincount(at.ravel(), weights=w) for w in (np.ones(len(v)), n, n * own, n * own**2)]
+            none = np.zeros(len(SCALES))
+            columns = [np.concatenate(x) for x in zip((np.arange(len(SCALES)), none + len(v), none, loss, none), (cells[1], *sums))]
+            names = pa.array([None] * len(SCALES) + [langs[j] for j in cells[0]], pa.string())
+            yield pa.RecordBatch.from_arrays([names, *[pa.array(c, pa.int64() if i < 2 else pa.float64(), safe=False) for i, c in enumerate(columns)]], ["lang", "bin", "n", "size", "x", "xx"])
 
     return run
 
 
-def _calibrate(model: Model, rows: list) -> None:
-    """Fits the scale of the posterior and each language's limit of cross-entropy on the sample."""
-    rows = [r for r in rows if r.v[-1] > 0]
-    if not rows:
+def _middle(cells: list) -> float:
+    """Median of binned values, to half a bin."""
+    cells = sorted(cells, key=lambda r: r.bin)
+    upto = np.cumsum([r.n for r in cells])
+    ends = [cells[int(np.searchsorted(upto, k))].bin for k in ((upto[-1] + 1) // 2, upto[-1] // 2 + 1)]
+    return (sum(ends) / 2 + 0.5) / BINS
+
+
+def _calibrate(model: Model, sums: list) -> None:
+    """Sets the scale of the posterior and each language's limit of cross-entropy from the sums of ``_measured``."""
+    losses = [r for r in sums if r.lang is None]
+    if not losses:
         return
-    v = np.array([r.v for r in rows])
-    truth = np.array([model.langs.index(r.lang) for r in rows])
-    n, entropy = v[:, -1], -v[:, :-1] / v[:, -1:]
-    best = (np.inf, 1.0)
-    for scale in np.geomspace(0.1, 20, 40):
-        logit = -entropy * scale * np.sqrt(n)[:, None]
-        logit -= logit.max(axis=1, keepdims=True)
-        loss = (np.log(np.exp(logit).sum(axis=1)) - logit[np.arange(len(v)), truth]).mean()
-        best = min(best, (loss, scale))
-    model.scale = best[1]
-    own = entropy[np.arange(len(v)), truth]
+    model.scale = min((r.x / r.n, SCALES[r.bin]) for r in losses)[1]
+    cells = [r for r in sums if r.lang is not None]
     mean, spread = np.zeros(len(model.langs)), np.zeros(len(model.langs))
-    for j in range(len(model.langs)):
-        x, size = own[truth == j], n[truth == j]
-        mean[j] = np.median(x) if len(x) else np.median(own)
-        spread[j] = np.sqrt((((x - mean[j]) ** 2) * size).mean()) if len(x) else 1.0
+    for j, lang in enumerate(model.langs):
+        own = [r for r in cells if r.lang == lang]
+        mean[j] = _middle(own or cells)
+        size, x, xx, n = (sum(getattr(r, k) for r in own) for k in ("size", "x", "xx", "n"))
+        spread[j] = np.sqrt(max(0.0, xx - 2 * mean[j] * x + mean[j] ** 2 * size) / n) if own else 1.0
     model.limits = (mean, spread)
 
 
@@ -364,11 +396,11 @@ def _load(stored: DataFrame, number: int) -> Model:
     return pickle.loads(b"".join(r.data for r in sorted(stored.where(F.col("slice") == number).collect(), key=lambda r: r.at)))
 
 
-def train_language_models(training: DataFrame, sample_rows: int = 4000, most_grams: int = 4_000_000) -> Model:
+def train_language_models(training: DataFrame, most_grams: int = 4_000_000) -> Model:
     """Models from ``training(doc_id, text, lang)``; null texts and languages are left out.
 
-    All texts and all their 4-grams count. Calibration uses about ``sample_rows`` of the distinct rows, at every size
-    of the table (see ``bounded_sample``).
+    All texts and all their 4-grams count. Calibration uses every distinct text of a language: all are scored, and the
+    driver gets sums by scale and by bin of cross-entropy, whose number doesn't grow with the table.
     A task holds about ``most_grams`` 4-grams at once. Each slice of the model is made in a task of its own and kept
     in the shared folder; the driver passes on one at a time. Results are the same for any number of slices, but each
     past the first costs another pass over the texts.
@@ -386,9 +418,12 @@ def train_language_models(training: DataFrame, sample_rows: int = 4000, most_gra
     scratch.drop("grams", *[f"grams{o}" for o in range(1, ORDER)])
     model = _load(stored, 0)
     model.rest, model.stored = list(range(1, len(starts))), stored
-    sample, before = _through(bounded_sample(training, sample_rows).select("text", "lang"), model)
+    rows, before = _through(training.select(F.xxhash64("lang", "text").alias("mark"), "text", "lang"), model)
     shared = spark.sparkContext.broadcast(replace(model, rest=[], stored=None))
-    _calibrate(model, sample.mapInArrow(released(_sample(shared, before)), "lang string, v array<double>").collect())
+    scored = rows.mapInArrow(released(_scored(shared, before)), "mark long, lang string, v array<double>")
+    once = scored.groupBy("mark", "lang").agg(F.first("v").alias("v")).select("lang", "v")
+    sums = once.mapInArrow(_measured(langs), "lang string, bin long, n long, size double, x double, xx double").groupBy("lang", "bin")
+    _calibrate(model, sums.agg(*[F.sum(c).alias(c) for c in ("n", "size", "x", "xx")]).collect())
     return model
 
 

@@ -809,3 +809,48 @@ def test_archives(spark, tmp_path):
     write_archives(table, str(tmp_path / "small"), file_bytes=1000)
     counts = [sum(1 for _ in parse(gzip.open(f))) for f in (tmp_path / "small").glob("*.gz")]
     assert sum(counts) == len(records) and max(counts) == 1
+
+
+def test_every_distinct_text_calibrates(spark, monkeypatch):
+    from admitflow.llm import langid
+
+    got = []
+    monkeypatch.setattr(langid, "_calibrate", lambda model, rows: got.extend(rows))
+    docs = spark.range(6000).selectExpr("id as doc_id", "translate(string(id), '0123456789', 'abcdefghij') as text", "if(id % 3 = 0, 'x', 'y') as lang")
+    langid.train_language_models(docs.union(docs.limit(100)))
+    assert len(got) >= len(langid.SCALES) and {r.n for r in got if r.lang is None} == {6000}
+    assert sum(r.n for r in got if r.lang == "x") == 2000 and sum(r.n for r in got if r.lang == "y") == 4000
+
+
+def test_sums_calibrate_as_rows_do():
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from admitflow.llm import langid
+
+    rng, langs = np.random.default_rng(3), ["a", "b", "c"]
+    n, truth = rng.integers(5, 500, 999), rng.integers(0, 2, 999)
+    entropy = 2 + rng.random((999, 3)) - 0.3 * np.eye(3)[truth]
+    v = np.column_stack([-entropy * n[:, None], n])
+    rows = pa.RecordBatch.from_arrays([pa.array([langs[j] for j in truth]), pa.array(v.tolist(), pa.list_(pa.float64()))], ["lang", "v"])
+    sums = {}
+    for part in langid._measured(langs)([rows.slice(0, 300), rows.slice(300), rows.slice(0, 0)]):
+        for r in part.to_pylist():
+            held = sums.setdefault((r["lang"], r["bin"]), dict.fromkeys(("n", "size", "x", "xx"), 0))
+            for k in held:
+                held[k] += r[k]
+    model = SimpleNamespace(langs=langs)
+    langid._calibrate(model, [SimpleNamespace(lang=a, bin=b, **x) for (a, b), x in sums.items()])
+    own = entropy[np.arange(999), truth]
+    loss = []
+    for scale in langid.SCALES:
+        logit = -entropy * scale * np.sqrt(n)[:, None]
+        logit -= logit.max(axis=1, keepdims=True)
+        loss.append((np.log(np.exp(logit).sum(axis=1)) - logit[np.arange(999), truth]).mean())
+    assert model.scale == langid.SCALES[int(np.argmin(loss))]
+    for j in range(2):
+        middle = np.median(own[truth == j])
+        assert abs(model.limits[0][j] - middle) < 1 / langid.BINS
+        assert abs(model.limits[1][j] - np.sqrt((((own - middle) ** 2) * n)[truth == j].mean())) < 0.01
+    assert abs(model.limits[0][2] - np.median(own)) < 1 / langid.BINS and model.limits[1][2] == 1.0
