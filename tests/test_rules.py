@@ -301,3 +301,24 @@ def test_counted_failures_have_no_messages(spark):
 
     plan = QUERIES["failure_reasons"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "you have level" not in plan and "n_rule_failures" in plan
+
+
+def test_programmes_that_share_rules_and_scores_are_judged_once(spark):
+    """Judged rows are far fewer than pairs, and list the same rows as qualification, years and other requests included."""
+    from admitflow.plans import testviews as t
+
+    sf = "/root/testdata/sf0.001"
+    valid, _ = q.validate_requests(t.marks(spark, sf))
+    k = F.col("learner_id")
+    asked = t.requests(spark, sf).withColumns({"academic_year": F.when(k % 3 > 0, 2024 + k % 3).cast("int"), "institutions": F.when(k % 4 == 0, F.lit(None).cast("array<string>")).otherwise(F.col("institutions"))})
+    copies = t.programmes(spark, sf).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(5)))).withColumn("qualification_code", F.concat_ws("-", "qualification_code", "copy")).drop("copy")
+    offer = q.offer_of(copies, t.institutions(spark, sf)).kept()
+    judged = q.judge(valid, asked, offer, ["qualification_code"])
+    rows = q.listed(judged)
+    assert rows.columns[:3] == ["learner_id", "institution_id", "qualification_code"]
+    assert judged.count() * 2 < rows.count()
+    of = ["learner_id", "qualification_code", "n_failures", "bucket"]
+    pairs = asked.join(valid.select("learner_id").distinct(), "learner_id").crossJoin(copies.select("institution_id", "academic_year", "qualification_code").withColumnRenamed("academic_year", "year"))
+    pairs = pairs.where("(academic_year is null or academic_year = year) and (institutions is null or array_contains(institutions, institution_id))")
+    assert sorted(map(tuple, rows.select("learner_id", "qualification_code").collect())) == sorted(map(tuple, pairs.select("learner_id", "qualification_code").collect()))
+    assert sorted(map(tuple, rows.select(*of).collect())) == sorted(map(tuple, q.qualify_offer(valid, asked, offer).select(*of).collect()))
