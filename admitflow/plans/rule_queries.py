@@ -44,6 +44,9 @@ def flattened_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = trees.flatten_trees_sql(part).select("subjects", F.posexplode("nodes").alias("place", "n"))
     numbers = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
     depth = F.size(F.split("n.path", r"\[")) - 1
+    # Dealt out by tree to a set number of tasks, as a join of few bytes would be put in one.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    part = part.repartition(tasks, "subjects")
     return part.join(flat, "subjects").select("p_partkey", "place", "n.path", depth.alias("depth"), "n.kind", numbers(F.col("n.children")).alias("children"), numbers(F.col("n.consumers")).alias("consumers"))
 
 

@@ -322,3 +322,15 @@ def test_programmes_that_share_rules_and_scores_are_judged_once(spark):
     pairs = pairs.where("(academic_year is null or academic_year = year) and (institutions is null or array_contains(institutions, institution_id))")
     assert sorted(map(tuple, rows.select("learner_id", "qualification_code").collect())) == sorted(map(tuple, pairs.select("learner_id", "qualification_code").collect()))
     assert sorted(map(tuple, rows.select(*of).collect())) == sorted(map(tuple, q.qualify_offer(valid, asked, offer).select(*of).collect()))
+
+
+def test_flattened_nodes_are_joined_by_more_than_one_task(spark):
+    from admitflow.plans import rule_queries
+
+    # As for tables too large to be sent to all tasks.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = rule_queries.flattened_nodes(spark, "/root/testdata/sf0.001")
+        assert got.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
