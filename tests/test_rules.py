@@ -334,3 +334,14 @@ def test_flattened_nodes_are_joined_by_more_than_one_task(spark):
         assert got.select(F.spark_partition_id()).distinct().count() > 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_near_misses_are_ranked_without_an_exchange_of_pairs(spark):
+    from admitflow.plans import queries
+    from admitflow.plans import testviews as t
+
+    sf = "/root/testdata/sf0.001"
+    got = queries.qualify_near_misses(spark, sf)
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+    want = q.near_misses(queries._results(spark, sf)).select(got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
