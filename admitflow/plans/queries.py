@@ -66,7 +66,8 @@ def qualify_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {t.QUALIFY} SELECT learner_id, qualification_code, margin, rank FROM (SELECT *, row_number() OVER (PARTITION BY learner_id ORDER BY margin DESC, ordinal)::INT AS rank FROM results WHERE bucket = 'qualified')")
 def qualify_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Qualified programmes in the order shown to the learner."""
-    return q.rank_qualified(_results(spark, sf_dir)).select("learner_id", "qualification_code", "margin", "rank")
+    valid, _ = q.validate_requests(t.marks(spark, sf_dir))
+    return q.qualified_in_order(valid, t.requests(spark, sf_dir), q.offer_of(t.programmes(spark, sf_dir), t.institutions(spark, sf_dir)))
 
 
 @query(f"WITH {t.QUALIFY} SELECT learner_id, count(*) AS evaluated_count, count(*) FILTER (WHERE bucket = 'qualified') AS qualified, count(*) FILTER (WHERE bucket = 'near_miss') AS near_misses, max(score_actual) AS score FROM results GROUP BY learner_id")

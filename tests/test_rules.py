@@ -345,3 +345,19 @@ def test_near_misses_are_ranked_without_an_exchange_of_pairs(spark):
     assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
     want = q.near_misses(queries._results(spark, sf)).select(got.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_qualified_in_order_are_those_that_a_window_ranks(spark):
+    """Requests with and without a year; the query sorts no pairs."""
+    from admitflow.plans import testviews as t
+    from admitflow.plans.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    marks, _ = q.validate_requests(t.marks(spark, sf))
+    asked = t.requests(spark, sf).withColumn("academic_year", F.when(F.col("learner_id") % 2 == 0, 2026).cast("int"))
+    offer = q.offer_of(t.programmes(spark, sf), t.institutions(spark, sf))
+    columns = ["learner_id", "qualification_code", "margin", "rank"]
+    expected = q.rank_qualified(q.qualify_offer(marks, asked, offer)).select(columns).collect()
+    got = q.qualified_in_order(marks, asked, offer).select(columns).collect()
+    assert len(got) > 30 and sorted(map(tuple, got)) == sorted(map(tuple, expected))
+    assert "Window" not in QUERIES["qualify_ranked"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
