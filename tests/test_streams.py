@@ -232,3 +232,24 @@ def test_rejections_judge_no_programme(spark, monkeypatch):
     monkeypatch.setattr(qualify, "qualify_offer", None)
     got = stream_queries.stream_rejections(spark, "/root/testdata/sf0.001").collect()
     assert got and {r.rejected for r in got} == {"number of subjects"}
+
+
+def test_answers_grow_with_requests_and_not_with_programmes(spark, tmp_path):
+    """The table has a row per learner, and lists what one qualification of all gives."""
+    from admitflow.operators import qualify as q
+    from admitflow.plans import testviews as t
+
+    sf = "/root/testdata/sf0.001"
+    taken = t.marks(spark, sf).groupBy("learner_id").agg(F.collect_list(F.struct("subject", "percentage")).alias("marks"))
+    asked = t.requests(spark, sf).withColumn("academic_year", F.when(F.col("learner_id") % 2 == 0, 2026).cast("int")).join(taken, "learner_id").select("learner_id", "academic_year", "institutions", "include_near_misses", "marks")
+    asked.write.parquet(str(tmp_path / "in"))
+    offer = q.offer_of(t.programmes(spark, sf), t.institutions(spark, sf)).kept()
+    requests = spark.readStream.schema(streams.REQUEST).parquet(str(tmp_path / "in"))
+    streams.qualify_requests(requests, offer, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == out.select("learner_id").distinct().count()
+    valid, _ = q.validate_requests(t.marks(spark, sf))
+    columns = ["learner_id", "qualification_code", "margin", "failures", "bucket"]
+    expected = q.qualify_offer(valid, asked.drop("marks"), offer).select(columns)
+    got = q.listed(streams.answers(spark, str(tmp_path / "out"), offer)).select(columns)
+    assert sorted(got.collect(), key=repr) == sorted(expected.collect(), key=repr) and got.count()
