@@ -45,7 +45,8 @@ def marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A request's marks: the last of each subject, for the subjects that the learner takes."""
     from ..operators.qualify import last_marks
 
-    kept = last_marks(raw_marks(spark, sf_dir).where((F.col("learner_id") + F.col("idx")) % 4 != 0))
+    # A learner's lines are of many orders, so there is little to sum up before they are exchanged.
+    kept = last_marks(raw_marks(spark, sf_dir).where((F.col("learner_id") + F.col("idx")) % 4 != 0).repartition("learner_id"))
     return kept.withColumn("ordinal", F.lit(0))
 
 

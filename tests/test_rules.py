@@ -361,3 +361,19 @@ def test_qualified_in_order_are_those_that_a_window_ranks(spark):
     got = q.qualified_in_order(marks, asked, offer).select(columns).collect()
     assert len(got) > 30 and sorted(map(tuple, got)) == sorted(map(tuple, expected))
     assert "Window" not in QUERIES["qualify_ranked"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["failure_reasons", "qualify_results", "failure_messages", "qualify_near_misses", "qualify_ranked"])
+def test_marks_are_worked_out_once(spark, name):
+    from admitflow.plans.queries import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation" in line and "l_quantity" in line for line in plan.splitlines()) == 1
+
+
+def test_valid_marks_keep_their_columns_and_repeats(spark):
+    rows = [(1, i, "history", 50) for i in range(6)] + [(2, i, "history", 50) for i in range(5)] + [(3, 0, "alchemy", 101)] * 6 + [(None, i, "history", 50) for i in range(6)]
+    marks = spark.createDataFrame(rows, "learner_id long, ordinal int, subject string, percentage int")
+    valid, rejected = q.validate_requests(marks)
+    assert valid.columns == marks.columns and sorted(map(tuple, valid.collect())) == rows[:6]
+    assert sorted(map(tuple, rejected.collect())) == [(2, "number of subjects"), (3, "unknown subject; percentage out of range")]
