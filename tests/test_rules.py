@@ -377,3 +377,18 @@ def test_valid_marks_keep_their_columns_and_repeats(spark):
     valid, rejected = q.validate_requests(marks)
     assert valid.columns == marks.columns and sorted(map(tuple, valid.collect())) == rows[:6]
     assert sorted(map(tuple, rejected.collect())) == [(2, "number of subjects"), (3, "unknown subject; percentage out of range")]
+
+
+def test_rules_of_a_learner_are_not_put_together_again(spark):
+    from admitflow.plans.queries import QUERIES
+
+    plan = QUERIES["qualify_near_misses"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Aggregate [learner_id" in line and "institution_id" in line.split("],")[0] for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("name", ["qualify_results", "failure_messages", "qualify_ranked"])
+def test_tables_that_hold_programmes_are_not_sent_to_all(spark, name):
+    from admitflow.plans.queries import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert any("SortMergeJoin [institution_id" in line and "dealt" in line for line in plan.splitlines())
