@@ -365,6 +365,7 @@ def test_qualified_in_order_are_those_that_a_window_ranks(spark):
 
 @pytest.mark.parametrize("name", ["failure_reasons", "qualify_results", "failure_messages", "qualify_near_misses", "qualify_ranked"])
 def test_marks_are_worked_out_once(spark, name):
+    from admitflow.plans import more_queries  # noqa: F401  it registers failure_messages
     from admitflow.plans.queries import QUERIES
 
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
@@ -388,6 +389,7 @@ def test_rules_of_a_learner_are_not_put_together_again(spark):
 
 @pytest.mark.parametrize("name", ["qualify_results", "failure_messages", "qualify_ranked"])
 def test_tables_that_hold_programmes_are_not_sent_to_all(spark, name):
+    from admitflow.plans import more_queries  # noqa: F401  it registers failure_messages
     from admitflow.plans.queries import QUERIES
 
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()

@@ -253,3 +253,20 @@ def test_answers_grow_with_requests_and_not_with_programmes(spark, tmp_path):
     expected = q.qualify_offer(valid, asked.drop("marks"), offer).select(columns)
     got = q.listed(streams.answers(spark, str(tmp_path / "out"), offer)).select(columns)
     assert sorted(got.collect(), key=repr) == sorted(expected.collect(), key=repr) and got.count()
+
+
+def test_programmes_of_answers_are_merged_by_the_keys_of_one_exchange(spark, tmp_path):
+    from admitflow.operators import qualify as q
+    from admitflow.plans import testviews as t
+
+    sf = "/root/testdata/sf0.001"
+    offer = q.offer_of(t.programmes(spark, sf), t.institutions(spark, sf)).kept()
+    valid, _ = q.validate_requests(t.marks(spark, sf))
+    q.judge_learners(valid, t.requests(spark, sf), offer).write.parquet(str(tmp_path / "judged"))
+    judged = spark.read.parquet(str(tmp_path / "judged"))
+    got = q.judge_of(judged, offer, ["qualification_code"])
+    joins = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [institution_id" in line and "dealt" in line]
+    assert joins and all("SortMergeJoin" in line and "rule_id" not in line for line in joins)
+    of = ["learner_id", "qualification_code", "n_failures", "bucket"]
+    want = q.qualify_offer(valid, t.requests(spark, sf), offer).select(of)
+    assert sorted(map(tuple, q.listed(got).select(of).collect())) == sorted(map(tuple, want.collect()))
