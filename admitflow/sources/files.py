@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from functools import lru_cache
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -108,16 +112,79 @@ def scan_dataset(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return _programmes(good, ["file", "place"]), errors.unionByName(no_list).unionByName(entries.where("error is not null").select("file", "error"))
 
 
+#: Files of a folder that are passed on at a time.
+_LISTED = 10_000
+
+
+@lru_cache
+def _store(uri: str) -> tuple:
+    """(Arrow's file system of a URI or local path, the path in it)."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri)
+
+
+def found_files(spark: SparkSession, root: str, hidden: bool = False) -> DataFrame:
+    """(path, name, at, length, modificationTime) of all files below a folder: ``name`` is the path from there, ``at`` that
+    which ``content`` reads.
+
+    Folders are listed by tasks, level by level, and files go to tables in between, so the driver knows no file; a task
+    lists one folder at a time. What starts with _ or . is left out unless ``hidden``. ``root`` must be on a file system
+    that Arrow knows and all executors reach.
+    """
+    from .scratch import kept
+
+    root = root.rstrip("/")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        system, base = _store(root)
+        start = root.removesuffix(base) if root.endswith(base) else root.split("://")[0] + "://"
+        for at in (x for frame in frames for x in frame["at"]):
+            infos = system.get_file_info(fs.FileSelector(at or base))
+            for k in range(0, len(infos), _LISTED):
+                part = [i for i in infos[k : k + _LISTED] if hidden or not i.base_name.startswith(("_", "."))]
+                yield pd.DataFrame(
+                    {
+                        "path": [start + i.path for i in part], "name": [i.path[len(base) :].lstrip("/") for i in part], "at": [i.path for i in part],
+                        "length": [i.size or 0 for i in part], "modificationTime": pd.to_datetime([i.mtime for i in part], utc=True), "folder": [i.type == fs.FileType.Directory for i in part],
+                    }
+                )
+
+    level, levels = spark.createDataFrame([("",)], "at string"), []
+    while not levels or not level.isEmpty():
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        levels.append(kept(level.repartition(tasks, "at").mapInPandas(run, "path string, name string, at string, length long, modificationTime timestamp, folder boolean")))
+        level = levels[-1].where("folder").select("at")
+    out = levels[0]
+    for more in levels[1:]:
+        out = out.unionByName(more)
+    return out.where("not folder").drop("folder")
+
+
+def content(root: str, at: Column) -> Column:
+    """Bytes of files that ``found_files`` found below ``root``; not read where a caller doesn't select them."""
+
+    def read(place: str) -> bytes:
+        with _store(root)[0].open_input_stream(place) as f:
+            return f.read()
+
+    # Not by Arrow, whose batches hold thousands of files.
+    return F.udf(read, "binary", useArrow=False)(at)
+
+
 def inbox(spark: SparkSession, path: str) -> DataFrame:
     """Binary documents anywhere below a folder: path, length, modificationTime, content."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.pdf").load(path)
+    found = found_files(spark, path).where(F.col("name").endswith(".pdf")).repartition(spark.sparkContext.defaultParallelism)
+    return found.select("path", "modificationTime", "length", content(path, F.col("at")).alias("content"))
 
 
 def ocr_pages(spark: SparkSession, path: str) -> DataFrame:
     """(doc, page, markdown) of a cache of pages: ``doc/page_NNNN.md``."""
-    text = spark.read.format("text").option("wholetext", True).load(f"{path.rstrip('/')}/*/page_*.md")
-    name = F.col("_metadata.file_path")
-    return text.select(F.regexp_extract(name, r"([^/]+)/page_\d+\.md$", 1).alias("doc"), F.regexp_extract(name, r"page_(\d+)\.md$", 1).cast("int").alias("page"), F.col("value").alias("markdown"))
+    found = found_files(spark, path, hidden=True).where(F.col("name").rlike(r"^[^/]+/page_[^/]*\.md$")).repartition(spark.sparkContext.defaultParallelism)
+    name = F.col("name")
+    return found.select(F.regexp_extract(name, r"([^/]+)/page_\d+\.md$", 1).alias("doc"), F.regexp_extract(name, r"page_(\d+)\.md$", 1).cast("int").alias("page"), content(path, F.col("at")).cast("string").alias("markdown"))
 
 
 def split_cached(pages: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -67,3 +67,22 @@ def test_repair_report(spark):
     runs = spark.createDataFrame([("d", 1, "QSAM6D"), ("d", 1, "B8BA3Q"), ("d", 2, "fine")], "doc string, page int, text string")
     got = {r.page: (r.reversed_runs, r.runs, r.passed) for r in pages.repair_report(runs, r"[A-Z]\d[A-Z0-9]{3,4}").collect()}
     assert got == {1: (1, 2, False), 2: (0, 1, True)}
+
+
+def test_files_are_listed_by_tasks(spark, tmp_path):
+    """At any depth, without hidden ones and other endings; no plan lists files, which the driver would do."""
+    for name in ("a.pdf", "uj/2027/b #1 %20.pdf", "uj/2027/_c.pdf", "_drafts/d.pdf", "uj/.e/f.pdf", "uj/g.part"):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(name.encode())
+    (tmp_path / "in/empty").mkdir()
+    for root in (str(tmp_path / "in"), f"file://{tmp_path}/in/"):
+        got = files.inbox(spark, root)
+        assert got.columns == ["path", "modificationTime", "length", "content"]
+        assert "binaryFile" not in got._jdf.queryExecution().executedPlan().toString()
+        rows = {r.path.split("/in/")[1]: r for r in got.collect()}
+        assert {k: bytes(r.content).decode() for k, r in rows.items()} == {k: k for k in ("a.pdf", "uj/2027/b #1 %20.pdf")}
+        now = (tmp_path / "in/a.pdf").stat()
+        first = got.where("path like '%/a.pdf'").select(F.unix_micros("modificationTime"), "length").first()
+        assert abs(first[0] - now.st_mtime * 1e6) < 1e6 and first[1] == now.st_size
+    assert "Python" not in files.inbox(spark, str(tmp_path / "in")).select("length")._jdf.queryExecution().optimizedPlan().toString()
+    assert files.inbox(spark, str(tmp_path / "in/empty")).count() == 0
