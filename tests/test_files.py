@@ -86,3 +86,13 @@ def test_files_are_listed_by_tasks(spark, tmp_path):
         assert abs(first[0] - now.st_mtime * 1e6) < 1e6 and first[1] == now.st_size
     assert "Python" not in files.inbox(spark, str(tmp_path / "in")).select("length")._jdf.queryExecution().optimizedPlan().toString()
     assert files.inbox(spark, str(tmp_path / "in/empty")).count() == 0
+
+
+def test_keys_of_cached_pages_are_known_without_reading_them(spark, tmp_path):
+    for name in ("d/page_0001.md", "d/page_0002.md", "d/deep/page_0003.md", "page_0004.md", "_e/page_0005.md", "d/other.md"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(f"text ü of {name}\n")
+    got = files.ocr_pages(spark, str(tmp_path))
+    assert {tuple(r) for r in got.collect()} == {(d, p, f"text ü of {d}/page_000{p}.md\n") for d, p in (("d", 1), ("d", 2), ("_e", 5))}
+    plans = [x._jdf.queryExecution().executedPlan().toString() for x in (got, got.select("doc", "page"))]
+    assert "FileScan text" not in plans[0] and "Python" not in plans[1]
