@@ -270,3 +270,19 @@ def test_programmes_of_answers_are_merged_by_the_keys_of_one_exchange(spark, tmp
     of = ["learner_id", "qualification_code", "n_failures", "bucket"]
     want = q.qualify_offer(valid, t.requests(spark, sf), offer).select(of)
     assert sorted(map(tuple, q.listed(got).select(of).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_small_files_of_a_batch_share_tasks(spark, tmp_path):
+    from admitflow.plans import testviews as t
+
+    (tmp_path / "in/uj/2027").mkdir(parents=True)
+    for k in range(200):
+        (tmp_path / f"in/uj/2027/{k}.pdf").write_bytes(b"%PDF-" + str(k).encode())
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    with streams.files_in_groups(spark):
+        query = streams.run_ingestion(streams.read_inbox(spark, str(tmp_path / "in")), t.institutions(spark, "/root/testdata/sf0.001"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+        query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 200 and spark.conf.get("spark.sql.files.openCostInBytes") == before
+    jobs = spark.sparkContext.statusTracker()
+    stages = [jobs.getStageInfo(s) for j in jobs.getJobIdsForGroup(str(query.runId)) for s in jobs.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) <= 16
